@@ -258,3 +258,7 @@ def q_signature_class(spark, sf_dir):
     docs = V.table(spark, sf_dir, "documents")
     classes = docs.select(X.signature_class("text").alias("attack_type"))
     return classes.groupBy("attack_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+# other query families register themselves on import
+from tidewatch.plans import q_tables  # noqa: E402,F401

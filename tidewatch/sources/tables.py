@@ -68,7 +68,7 @@ def read_kisti_tsv(spark: SparkSession, path: str, columns: list[str] | None = N
     return df.select("ord", *(columns or [f.name for f in schemas.KISTI_RAW.fields]))
 
 
-def read_tsv_tolerant(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def read_tsv_tolerant(spark: SparkSession, path: str, names: list[str], header: bool = True) -> DataFrame:
     """All-string TSV; rows with too many cells are skipped, short rows are null-padded.
 
     PERMISSIVE truncates long rows and flags them (and short ones) as corrupt, so the raw
@@ -76,7 +76,7 @@ def read_tsv_tolerant(spark: SparkSession, path: str, names: list[str]) -> DataF
     header."""
     schema = StructType([StructField(n, StringType()) for n in names] + [StructField("_corrupt", StringType())])
     df = (
-        spark.read.options(header="true", sep="\t", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
+        spark.read.options(header=str(header).lower(), sep="\t", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
         .schema(schema)
         .csv(path)
     )
