@@ -32,13 +32,6 @@ def read_event_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def line_status(value: Column) -> tuple[Column, Column, Column]:
-    """(trimmed line, is_blank, is_candidate) for a raw line column."""
-    line = F.trim(value)
-    blank = line.isNull() | (line == "")
-    return line, blank, ~blank
-
-
 def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str = "ord") -> DataFrame:
     """Lines -> one row per line with ``line_kind`` in {blank, malformed, event} and ``ev``.
 
@@ -127,17 +120,26 @@ def parse_accounting(parsed: DataFrame) -> DataFrame:
 
 
 def event_lines_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S9 / ST1: a directory of rotated (whole, closed) NDJSON files as an unbounded stream."""
+    """S9 / ST1: a directory of rotated (whole, closed) NDJSON files as an unbounded stream.
+
+    Yields (value, file, block, file_mtime); the in-split line position is added per
+    micro-batch by ``with_line_order`` (row ids are not available on a streaming frame).
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(directory)
     return df.select(
         F.col("value"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-        ).alias("ord"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
     )
+
+
+def with_line_order(batch: DataFrame) -> DataFrame:
+    """Attach ``ord`` = (file, block, position) to one micro-batch of stream lines."""
+    return batch.select(
+        "value",
+        F.struct(F.col("file"), F.col("block"), F.monotonically_increasing_id().alias("pos")).alias("ord"),
+    )
