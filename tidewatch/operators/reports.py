@@ -179,7 +179,8 @@ def null_profile(df: DataFrame, cols: list[str] | None = None, nonzero_only: boo
 
 def total_nulls(df: DataFrame) -> DataFrame:
     """A10 (grand total variant)."""
-    return df.agg(sum((F.col(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint")).alias("nulls"))
+    per_row = sum((F.col(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
+    return df.agg(F.sum(per_row).cast("bigint").alias("nulls"))
 
 
 def distinct_values(df: DataFrame, c: str) -> DataFrame:
