@@ -62,15 +62,15 @@ def null_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFram
     null-key rows are joined to the right's single null-key row through a broadcast of that
     one row (size bound: 1 row).
     """
-    rcols = [c for c in right.columns if c != key]
-    marker = "__nk"
     left_nn = left.filter(F.col(key).isNotNull())
     right_nn = right.filter(F.col(key).isNotNull())
     joined_nn = left_nn.join(right_nn, on=key, how="left")
 
-    left_null = left.filter(F.col(key).isNull()).withColumn(marker, F.lit(1))
-    right_null = right.filter(F.col(key).isNull()).select(*rcols).withColumn(marker, F.lit(1))
-    joined_null = left_null.join(F.broadcast(right_null), on=marker, how="left").drop(marker)
+    left_null = left.filter(F.col(key).isNull())
+    right_null = right.filter(F.col(key).isNull()).withColumnRenamed(key, "__rk")
+    joined_null = left_null.join(
+        F.broadcast(right_null), left_null[key].eqNullSafe(right_null["__rk"]), how="left"
+    ).drop("__rk")
     return joined_nn.unionByName(joined_null.select(*joined_nn.columns))
 
 
@@ -218,6 +218,25 @@ def with_ordinal(df: DataFrame, order: list[str] | str, name: str = "ordinal") -
     )
 
 
+def rank_within_group(df: DataFrame, group: str, order: list[str], name: str = "_rank",
+                      max_broadcast_groups: int = 1_000_000) -> DataFrame:
+    """1-based rank of each row inside its ``group`` by ``order`` (plus ``_n`` = group size),
+    without ``row_number() over (partition by group)``.
+
+    A window partitioned by group puts a whole group — possibly a third of all rows — into
+    one task.  Instead the rows are range-partitioned on (group, order...) and ranked
+    globally with ``with_ordinal``; a row's in-group rank is its global rank minus the rows
+    of all earlier groups.  The per-group offsets are one row per group; they are broadcast
+    only after their row count has been checked against ``max_broadcast_groups``."""
+    ranked = with_ordinal(df, [group, *order], "__g")
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(F.col(group).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("__off", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumnRenamed(group, "__grp")
+    offsets = F.broadcast(offsets) if offsets.count() <= max_broadcast_groups else offsets
+    out = ranked.join(offsets, ranked[group].eqNullSafe(offsets["__grp"]), "inner").drop("__grp")
+    return out.withColumn(name, F.col("__g") - F.col("__off")).drop("__g", "__off")
+
+
 def zip_by_order(a: DataFrame, b: DataFrame, order_a: str, order_b: str) -> DataFrame:
     """Pair the i-th row of ``a`` with the i-th row of ``b``; length = min(len a, len b)."""
     oa = with_ordinal(a, order_a, "ordinal")

@@ -29,6 +29,7 @@ def train_forest(
     seed: int = 42,
     weight_col: str | None = None,
     max_bins: int = 32,
+    max_memory_mb: int = 256,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
     assembly by name, forest with sqrt feature subsets."""
@@ -37,7 +38,7 @@ def train_forest(
     rf = RandomForestClassifier(
         featuresCol="_features", labelCol="_label_idx", numTrees=num_trees,
         maxDepth=min(max_depth, MAX_DEPTH_CEILING), featureSubsetStrategy="sqrt", seed=seed,
-        maxBins=max_bins, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
+        maxBins=max_bins, maxMemoryInMB=max_memory_mb, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
     )
     if weight_col:
         rf.setWeightCol(weight_col)

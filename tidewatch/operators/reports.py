@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
-from tidewatch.operators.correlate import with_ordinal
+from tidewatch.operators.correlate import rank_within_group
 
 # ---------------------------------------------------------------------------------------
 # A1 / A2 / A3 / W2
@@ -116,55 +116,54 @@ def event_counts(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
+def grouped_exact_quantiles(df: DataFrame, group: str, v: str, qs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group.
+
+    Distributed: every non-null value gets its rank inside its group (``rank_within_group``:
+    one range-partitioned sort for all groups), then only the 2·len(qs) rows per group at
+    the needed ranks are kept.  No task ever holds a whole group."""
+    vals = df.select(group, F.col(v).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    ranked = rank_within_group(vals, group, ["__v"], "__r")
+    sizes = ranked.select(group, "_n").distinct()  # one row per group
+    pos = [F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h"))
+           for i, q in enumerate(qs)]
+    wanted = sizes.select(group, F.explode(F.array(*pos)).alias("p")).select(group, "p.*")
+    wanted = wanted.withColumn("lo", F.floor("h") + 1).withColumn("hi", F.ceil("h") + 1)
+    picks = wanted.select(group, "qi", F.explode(F.array("lo", "hi")).alias("__r")).distinct()
+    # group x quantile x 2 rows: bounded by the number of profiled columns
+    vals_at = ranked.join(F.broadcast(picks), on=[group, "__r"]).select(group, "qi", "__r", "__v")
+    lo = vals_at.withColumnRenamed("__r", "lo").withColumnRenamed("__v", "v_lo")
+    hi = vals_at.withColumnRenamed("__r", "hi").withColumnRenamed("__v", "v_hi")
+    both = wanted.join(lo, on=[group, "qi", "lo"]).join(hi, on=[group, "qi", "hi"])
+    frac = F.col("h") - (F.col("lo") - 1)
+    return both.select(group, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
+
+
 def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of column ``c``.
-
-    Distributed: the non-null values get their global rank through ``with_ordinal``
-    (range-partitioned sort, per-partition offsets), then only the 2·len(qs) rows at the
-    needed ranks are kept.  No task ever holds all values.
-    """
-    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked = with_ordinal(vals, "v", "r")  # 1-based rank
-    n = ranked.agg(F.count(F.lit(1)).alias("n"))
-    pos = []
-    for i, q in enumerate(qs):
-        h = (F.col("n") - 1) * F.lit(float(q))
-        pos.append(F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"), h.alias("h")))
-    wanted = n.select(F.explode(F.array(*pos)).alias("p")).select("p.*")
-    wanted = wanted.select("qi", "q", "h", (F.floor("h") + 1).alias("lo"), (F.ceil("h") + 1).alias("hi"))
-    # bounded broadcast: len(qs) rows
-    lo = ranked.join(F.broadcast(wanted.select("qi", "q", "h", F.col("lo").alias("r"))), on="r").select(
-        "qi", "q", "h", F.col("v").alias("v_lo"), F.col("r").alias("r_lo"))
-    hi = ranked.join(F.broadcast(wanted.select("qi", F.col("hi").alias("r"))), on="r").select(
-        "qi", F.col("v").alias("v_hi"))
-    both = lo.join(hi, on="qi")
-    frac = F.col("h") - (F.col("r_lo") - 1)
-    return both.select("q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
+    """Exact quantiles of one column (see ``grouped_exact_quantiles``)."""
+    one = df.select(F.lit(c).alias("__col"), F.col(c))
+    return grouped_exact_quantiles(one, "__col", c, qs).select("q", "value")
 
 
 def numeric_profile(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
-    """A9 (``describe()``): per column count, mean, std, min, 25/50/75 %, max."""
-    out = None
-    for c in cols:
-        v = F.col(c).cast("double")
-        basic = df.agg(
-            F.count(v).alias("count"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-        )
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).groupBy().pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        q = q.toDF("p25", "p50", "p75")
-        # one-row x one-row: joined on a constant key (both sides are single global aggregates)
-        row = basic.withColumn("__k", F.lit(1)).join(q.withColumn("__k", F.lit(1)), on="__k").drop("__k")
-        row = row.select(
-            F.lit(c).alias("column"),
-            F.col("count").cast("bigint").alias("count"),
-            *[F.bround(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")],
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """A9 (``describe()``): per column count, mean, std, min, 25/50/75 %, max.
+
+    All columns are unpivoted into (column, value) once; moments come from one partial
+    aggregate, quartiles from one shared ranking pass."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")).select("x.*")
+    v = F.col("v")
+    stats = long.groupBy("column").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    qs = [0.25, 0.5, 0.75]
+    quart = grouped_exact_quantiles(long, "column", "v", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
+    quart = quart.toDF("column", "p25", "p50", "p75")
+    row = stats.join(quart, on="column", how="left")  # both sides: one row per profiled column
+    return row.select(
+        "column", F.col("count").cast("bigint").alias("count"),
+        *[F.bround(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")],
+    )
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None, nonzero_only: bool = True) -> DataFrame:

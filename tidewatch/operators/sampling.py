@@ -12,10 +12,10 @@ range-partitioned on (class, hash, key) and ranked with partition offsets
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.correlate import with_ordinal
+from tidewatch.operators.correlate import rank_within_group
 
 MAX_BROADCAST_CLASSES = 1_000_000
 
@@ -27,21 +27,10 @@ def hash_key(key: Column | str, seed: int = 42) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``small`` only after checking its row count; otherwise leave it to AQE."""
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 def rank_within_class(df: DataFrame, cls: str, key: str, seed: int = 42) -> DataFrame:
     """Adds ``_h`` (hash), ``_rank`` (1-based within class by (hash, key)) and ``_n`` (class size)."""
     hashed = df.withColumn("_h", hash_key(key, seed))
-    ranked = with_ordinal(hashed, [cls, "_h", key], "_g")
-    per_class = hashed.groupBy(cls).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.col(cls).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_class.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    offsets = bounded_broadcast(offsets, MAX_BROADCAST_CLASSES)
-    out = ranked.join(offsets, on=ranked[cls].eqNullSafe(offsets[cls]), how="inner").drop(offsets[cls])
-    return out.withColumn("_rank", F.col("_g") - F.col("_off")).drop("_g", "_off")
+    return rank_within_group(hashed, cls, ["_h", key], "_rank", MAX_BROADCAST_CLASSES)
 
 
 def stratified_sample(df: DataFrame, cls: str, key: str, fraction: float = 0.1, seed: int = 42) -> DataFrame:

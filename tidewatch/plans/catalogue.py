@@ -49,7 +49,7 @@ def rule_scorer(feats: DataFrame) -> DataFrame:
 
 
 def _compare(spark, sf_dir, verdict, features="cic18"):
-    return C.compare(V.eve_events(spark, sf_dir), rule_scorer, verdict=verdict, features=features)
+    return C.compare(V.eve_table(spark, sf_dir), rule_scorer, verdict=verdict, features=features)
 
 
 # ---------------------------------------------------------------------------------------
@@ -171,7 +171,7 @@ FROM eve f LEFT JOIN best b ON f.flow_id IS NOT DISTINCT FROM b.flow_id
 WHERE f.event_type = 'flow'""")
 def q_flows_with_best_alert(spark, sf_dir):
     """J1 + J2 (existence flag ``_has_alert``)."""
-    return C.flows_with_best_alert(V.eve_events(spark, sf_dir))
+    return C.flows_with_best_alert(V.eve_table(spark, sf_dir))
 
 
 @register("parse_accounting", """

@@ -78,7 +78,7 @@ def q_rf_compare(spark, sf_dir):
     """FX10 with the forest: log flows scored by the saved model, compared with the sensor,
     summarised over the four outcome classes."""
     model, _ = cic_model(spark, sf_dir)
-    cmp = C.compare(V.eve_events(spark, sf_dir), lambda f: L.score(model, f), verdict="by_alerted")
+    cmp = C.compare(V.eve_table(spark, sf_dir), lambda f: L.score(model, f), verdict="by_alerted")
     return R.outcome_summary(cmp)
 
 

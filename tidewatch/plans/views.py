@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.sources.events import parse_event_lines, typed_events
+from tidewatch.session import scratch_path, spread
+from tidewatch.sources.events import ingest_events, parse_event_lines, typed_events
 
 PROTOS = ["TCP", "UDP", "ICMP", "ICMPv6", "SCTP", "GRE"]
 DEST_PORTS = [22, 53, 80, 443, 3389]
@@ -34,7 +35,7 @@ CATEGORIES = ["Attempted Information Leak", "A Network Trojan was detected", "We
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _pick(values: list, idx: Column) -> Column:
@@ -129,6 +130,11 @@ def eve_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_events(eve_parsed(spark, sf_dir))
 
 
+def eve_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V_EVE parsed once into a Parquet table partitioned by event type (multi-consumer use)."""
+    return ingest_events(eve_events(spark, sf_dir), scratch_path(spark, "events"))
+
+
 # ---------------------------------------------------------------------------------------
 # V_CIC — labelled flows from lineitem (header spelling of the source CSVs)
 # ---------------------------------------------------------------------------------------

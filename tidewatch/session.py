@@ -17,8 +17,10 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidewatch") -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidewatch",
+                  driver_memory: str = "8g") -> SparkSession:
+    """Local / single-JVM session (tests, bench).  On a cluster, use the cluster's session."""
+    builder = SparkSession.builder.master(master).appName(app).config("spark.driver.memory", driver_memory)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -59,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that came out with fewer splits than the cluster has cores.
+
+    A source with a single large split (one row group) would otherwise run every
+    downstream row-wise step in one task.  On a real input with many splits this is a
+    no-op (no shuffle is added)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -101,6 +101,17 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return typed_events(parse_event_lines(read_event_lines(spark, path)))
 
 
+def ingest_events(events: DataFrame, path: str) -> DataFrame:
+    """Parse once, read many: typed events written as Parquet partitioned by ``event_type``.
+
+    Queries with several consumers of one log (flows and alerts of the comparison) read
+    this table instead of re-parsing the JSON text per consumer; each consumer then gets
+    partition pruning on ``event_type`` and column pruning.  ``path`` must be in shared
+    storage (the session's checkpoint folder for ad-hoc runs)."""
+    events.write.mode("overwrite").partitionBy("event_type").parquet(path)
+    return events.sparkSession.read.parquet(path)
+
+
 def parse_accounting(parsed: DataFrame) -> DataFrame:
     """One row of line counters (total, blank, malformed, events, flows, alerts).
 
