@@ -225,16 +225,16 @@ def rank_within_group(df: DataFrame, group: str, order: list[str], name: str = "
 
     A window partitioned by group puts a whole group — possibly a third of all rows — into
     one task.  Instead the rows are range-partitioned on (group, order...) and ranked
-    globally with ``with_ordinal``; a row's in-group rank is its global rank minus the rows
-    of all earlier groups.  The per-group offsets are one row per group; they are broadcast
-    only after their row count has been checked against ``max_broadcast_groups``."""
+    globally with ``with_ordinal``; because the global order starts with the group, a
+    group's first global rank minus one is the number of rows before it.  The per-group
+    (size, first rank) rows come from one partial aggregate over the checkpointed ranks and
+    are broadcast only after their row count has been checked."""
     ranked = with_ordinal(df, [group, *order], "__g")
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.col(group).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumnRenamed(group, "__grp")
-    offsets = F.broadcast(offsets) if offsets.count() <= max_broadcast_groups else offsets
-    out = ranked.join(offsets, ranked[group].eqNullSafe(offsets["__grp"]), "inner").drop("__grp")
-    return out.withColumn(name, F.col("__g") - F.col("__off")).drop("__g", "__off")
+    firsts = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min("__g").alias("__g0"))
+    firsts = firsts.withColumnRenamed(group, "__grp")
+    firsts = F.broadcast(firsts) if firsts.count() <= max_broadcast_groups else firsts
+    out = ranked.join(firsts, ranked[group].eqNullSafe(firsts["__grp"]), "inner").drop("__grp")
+    return out.withColumn(name, F.col("__g") - F.col("__g0") + 1).drop("__g", "__g0")
 
 
 def zip_by_order(a: DataFrame, b: DataFrame, order_a: str, order_b: str) -> DataFrame:

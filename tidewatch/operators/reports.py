@@ -116,29 +116,37 @@ def event_counts(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def grouped_exact_quantiles(df: DataFrame, group: str, v: str, qs: list[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group.
-
-    Distributed: every non-null value gets its rank inside its group (``rank_within_group``:
-    one range-partitioned sort for all groups), then only the 2·len(qs) rows per group at
-    the needed ranks are kept.  No task ever holds a whole group."""
-    vals = df.select(group, F.col(v).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    ranked = rank_within_group(vals, group, ["__v"], "__r")
-    sizes = ranked.select(group, "_n").distinct()  # one row per group
+def _quantiles_from_ranks(ranked: DataFrame, group: str, qs: list[float]) -> DataFrame:
+    """Linear interpolation between the values at ranks floor(h)+1 and ceil(h)+1, h=(n-1)q."""
+    sizes = ranked.groupBy(group).agg(F.first("_n").alias("_n"))  # one row per group
     pos = [F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h"))
            for i, q in enumerate(qs)]
     wanted = sizes.select(group, F.explode(F.array(*pos)).alias("p")).select(group, "p.*")
     wanted = wanted.withColumn("lo", F.floor("h") + 1).withColumn("hi", F.ceil("h") + 1)
-    picks = wanted.select(group, "qi", F.explode(F.array("lo", "hi")).alias("__r")).distinct()
-    # group x quantile x 2 rows: bounded by the number of profiled columns
-    vals_at = ranked.join(F.broadcast(picks), on=[group, "__r"]).select(group, "qi", "__r", "__v")
+    picks = wanted.select(group, F.explode(F.array("lo", "hi")).alias("__r")).distinct()
+    # groups x quantiles x 2 rows: bounded by the number of profiled columns
+    vals_at = ranked.join(F.broadcast(picks), on=[group, "__r"]).select(group, "__r", "__v")
     lo = vals_at.withColumnRenamed("__r", "lo").withColumnRenamed("__v", "v_lo")
     hi = vals_at.withColumnRenamed("__r", "hi").withColumnRenamed("__v", "v_hi")
-    both = wanted.join(lo, on=[group, "qi", "lo"]).join(hi, on=[group, "qi", "hi"])
+    both = wanted.join(lo, on=[group, "lo"]).join(hi, on=[group, "hi"])
     frac = F.col("h") - (F.col("lo") - 1)
     return both.select(group, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
 
 
+def _ranked_values(df: DataFrame, group: str, v: str) -> DataFrame:
+    vals = df.select(group, F.col(v).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    return rank_within_group(vals, group, ["__v"], "__r")
+
+
+def grouped_exact_quantiles(df: DataFrame, group: str, v: str, qs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group.
+
+    Distributed: every non-null value gets its rank inside its group (``rank_within_group``:
+    one range-partitioned sort for all groups), then only the 2·len(qs) rows per group at
+    the needed ranks are kept.  No task ever holds a whole group."""
+    return _quantiles_from_ranks(_ranked_values(df, group, v), group, qs)
+
+
 def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
     """Exact quantiles of one column (see ``grouped_exact_quantiles``)."""
     one = df.select(F.lit(c).alias("__col"), F.col(c))
@@ -146,18 +154,21 @@ def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
-    """A9 (``describe()``): per column count, mean, std, min, 25/50/75 %, max.
+    """A9 (``describe()``): per column count, mean, std, min, 25/50/75 %, max over the
+    non-missing values (NaN counts as missing, as in pandas).  A column with no value at
+    all has no row.
 
-    All columns are unpivoted into (column, value) once; moments come from one partial
-    aggregate, quartiles from one shared ranking pass."""
+    All columns are unpivoted into (column, value) once and ranked in one shared pass; the
+    moments and the quartiles both read that checkpointed, ranked frame."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")).select("x.*")
-    v = F.col("v")
-    stats = long.groupBy("column").agg(
+    ranked = _ranked_values(long, "column", "v")
+    v = F.col("__v")
+    stats = ranked.groupBy("column").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
     qs = [0.25, 0.5, 0.75]
-    quart = grouped_exact_quantiles(long, "column", "v", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
+    quart = _quantiles_from_ranks(ranked, "column", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
     quart = quart.toDF("column", "p25", "p50", "p75")
     row = stats.join(quart, on="column", how="left")  # both sides: one row per profiled column
     return row.select(
