@@ -64,3 +64,34 @@ def test_stream_equals_batch(spark, tmp_path):
     assert key(streamed.select(*cols).collect()) == key(batch.select(*cols).collect())
     assert streamed.filter("is_alert").count() == batch.filter(F.col("model_label") != "BENIGN").count()
     assert os.path.isdir(ckpt)
+
+
+def test_stream_start_at_end_and_batch_ordinal(spark, tmp_path):
+    import time
+
+    in_dir = tmp_path / "in2"
+    in_dir.mkdir()
+    old = write_lines(in_dir / "eve-old.json", LINES)
+    past = time.time() - 3600
+    os.utime(old, (past, past))
+    out, ckpt = str(tmp_path / "out2"), str(tmp_path / "ckpt2")
+    q = start_scoring_stream(spark, str(in_dir), out, ckpt, rule_scorer, start_at_end=True,
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    assert not os.path.exists(out) or read_scored(spark, out).count() == 0  # backlog skipped
+    new = write_lines(in_dir / "eve-new.json", LINES)
+    future = time.time() + 3600
+    os.utime(new, (future, future))
+    q = start_scoring_stream(spark, str(in_dir), out, ckpt, rule_scorer, start_at_end=True,
+                             trigger={"availableNow": True}, ordinal=True)
+    q.awaitTermination()
+    rows = read_scored(spark, out).collect()
+    assert len(rows) == 4
+    assert sorted(r.batch_ordinal for r in rows) == [1, 2, 3, 4]
+
+
+def test_reference_headers(spark):
+    from tidewatch.sinks import as_reference_headers
+
+    df = spark.createDataFrame([(1.0, "x", 2.0)], "flow_bytes_per_s double, outcome string, other double")
+    assert as_reference_headers(df).columns == ["Flow Bytes/s", "outcome", "other"]

@@ -82,27 +82,42 @@ def q_rf_compare(spark, sf_dir):
     return R.outcome_summary(cmp)
 
 
+def kisti_model(spark, sf_dir, num_trees=NUM_TREES, max_depth=MAX_DEPTH):
+    """ML5 + ML4 on the KISTI rows (hash 80/20 split, balanced class weights), cached."""
+    k = ("kisti", sf_dir, num_trees, max_depth, id(spark))
+    if k not in _MODELS:
+        from tidewatch.operators import features as FX  # local: avoid a cycle at import time
+
+        df = FX.kisti_with_duration(V.kisti_frame(spark, sf_dir).drop("ord"))
+        df = CL.fill_zero(df, schemas.KISTI_FEATURES_V2).withColumn("label", F.col("attackType").cast("string"))
+        df = M.hash_split(df, "uid", 20, 42)
+        train = L.class_balanced_weights(df.filter(~F.col("is_test")), "label")
+        model = L.train_forest(train, schemas.KISTI_FEATURES_V2, label="label", num_trees=num_trees,
+                               max_depth=max_depth, weight_col="weight")
+        _MODELS[k] = (model, df)
+    return _MODELS[k]
+
+
 @register("rf_kisti_balanced")
 def q_rf_kisti_balanced(spark, sf_dir):
-    """ML2 ML3 ML5 M3 A13 O2: KISTI forest with balanced class weights on a hash 80/20 split;
+    """ML2 ML3 ML5 M3 A13: KISTI forest with balanced class weights on a hash 80/20 split;
     report on the test part with decoded class names."""
-    raw = V.kisti_frame(spark, sf_dir).drop("ord")
-    from tidewatch.operators import features as FX  # local: avoid a cycle at import time
-
-    df = FX.kisti_with_duration(raw)
-    df = CL.fill_zero(df, schemas.KISTI_FEATURES_V2).withColumn("label", F.col("attackType").cast("string"))
-    df = M.hash_split(df, "uid", 20, 42)
-    train = L.class_balanced_weights(df.filter(~F.col("is_test")), "label")
-    model = L.train_forest(train, schemas.KISTI_FEATURES_V2, label="label", num_trees=NUM_TREES,
-                           max_depth=MAX_DEPTH, weight_col="weight")
-    scored = L.score(model, df.filter(F.col("is_test")), pct_digits=None)
     from tidewatch.functions.scalar import attack_label
 
+    model, df = kisti_model(spark, sf_dir)
+    scored = L.score(model, df.filter(F.col("is_test")), pct_digits=None)
     pairs = scored.select(attack_label(F.col("label").cast("int")).alias("y"),
                           attack_label(F.col("model_label").cast("int")).alias("p"))
     return R.classification_report(pairs)
 
 
+@register("rf_kisti_importance")
+def q_rf_kisti_importance(spark, sf_dir):
+    """ML8 + O2: full feature-importance ranking of the KISTI forest."""
+    model, _ = kisti_model(spark, sf_dir)
+    return R.ranking(L.feature_importances(model, spark), "importance")
+
+
 # ---------------------------------------------------------------------------------------
 # Streaming: rotated NDJSON files -> live rules -> scored micro-batches
 # ---------------------------------------------------------------------------------------
@@ -121,7 +136,7 @@ def q_stream_score_flows(spark, sf_dir):
     in_dir, out_dir, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
     V.eve_lines(spark, sf_dir).select("value").write.mode("overwrite").text(in_dir)
     q = start_scoring_stream(spark, in_dir, out_dir, ckpt, rule_scorer, trigger={"availableNow": True},
-                             max_files_per_trigger=4)
+                             max_files_per_trigger=4, ordinal=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
