@@ -99,3 +99,13 @@ def test_fill_missing_features(spark):
 def test_require_rows(spark):
     with pytest.raises(ValueError):
         CL.require_rows(spark.range(0))
+
+
+def test_row_accounting_observe(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([(1.0,), (float("inf"),), (None,)], "x double")
+    obs = Observation("acc")
+    watched = CL.with_row_accounting(df, obs, non_finite=F.col("x") == float("inf"), missing=F.col("x").isNull())
+    assert CL.clean_finite(watched).count() == 1
+    assert obs.get == {"rows": 3, "non_finite": 1, "missing": 1}

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewatch.functions.scalar import max_probability
+from tidewatch.session import checkpoint_root
 
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
 
@@ -29,19 +30,25 @@ def train_forest(
     seed: int = 42,
     weight_col: str | None = None,
     max_bins: int = 32,
-    max_memory_mb: int = 256,
+    max_memory_mb: int | None = None,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
-    assembly by name, forest with sqrt feature subsets."""
+    assembly by name, forest with sqrt feature subsets.
+
+    Execution knobs only (the model is the same): node ids are cached between levels (the
+    cache is checkpointed every 10 levels into the shared checkpoint folder), and the
+    per-pass histogram buffer is sized from the task heap so more nodes split per data pass."""
     indexer = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     rf = RandomForestClassifier(
         featuresCol="_features", labelCol="_label_idx", numTrees=num_trees,
         maxDepth=min(max_depth, MAX_DEPTH_CEILING), featureSubsetStrategy="sqrt", seed=seed,
-        maxBins=max_bins, maxMemoryInMB=max_memory_mb, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
+        maxBins=max_bins, maxMemoryInMB=max_memory_mb or _histogram_buffer_mb(df.sparkSession),
+        cacheNodeIds=True, checkpointInterval=10, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
     )
     if weight_col:
         rf.setWeightCol(weight_col)
+    checkpoint_root(df.sparkSession)
     # IndexToString needs the fitted labels, so fit in two steps.
     prep = Pipeline(stages=[indexer, assembler]).fit(df)
     labels = prep.stages[0].labels
@@ -50,14 +57,27 @@ def train_forest(
     return PipelineModel(stages=[*prep.stages, forest, decoder])
 
 
+def _histogram_buffer_mb(spark) -> int:
+    """512 MB when tasks have a heap of 4 GB or more, else Spark's default 256 MB."""
+    conf = spark.sparkContext.getConf()
+    mem = conf.get("spark.executor.memory", None) if not spark.sparkContext.master.startswith("local") else None
+    if mem is None:
+        heap_mb = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() // (1024 * 1024)
+    else:
+        units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+        heap_mb = float(mem[:-1]) * units.get(mem[-1].lower(), 1) if mem[-1].isalpha() else float(mem) / 2**20
+    return 512 if heap_mb >= 4096 else 256
+
+
 def class_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """ML5: weight = n / (k · n_class).  Per-class counts are an aggregate of at most
-    ``k`` rows (class count), joined back with a broadcast of that bounded frame."""
+    """ML5: weight = n / (k · n_class).  The per-class counts are one row per class; the
+    totals over them use an unpartitioned window over those k rows only, and the k-row
+    weight table is broadcast back (bounded by the class count)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    # one-row totals joined on a constant key to the k-row class frame
-    weights = counts.withColumn("__c", F.lit(1)).join(tot.withColumn("__c", F.lit(1)), on="__c").select(
-        label, (F.col("_n").cast("double") / (F.col("_k") * F.col("_nc"))).alias(out)
+    everything = Window.partitionBy()
+    weights = counts.select(
+        label,
+        (F.sum("_nc").over(everything).cast("double") / (F.count(F.lit(1)).over(everything) * F.col("_nc"))).alias(out),
     )
     return df.join(F.broadcast(weights), on=label, how="left")
 

@@ -309,7 +309,7 @@ SELECT CAST(a.ordinal AS BIGINT) AS ordinal, ord_a, flow_id, src_ip, ord_b, flow
 def q_zip_by_order(spark, sf_dir):
     """I-th flow meta row paired with the i-th row of a second, shorter ordered input
     (feature rows with some lines missing); length = the shorter input."""
-    ev = V.eve_events(spark, sf_dir)
+    ev = V.eve_table(spark, sf_dir)  # two consumers: parse once
     meta = FX.flow_meta(ev).select(F.col("ord").alias("ord_a"), "flow_id", "src_ip")
     feats = FX.flow_features_18(ev, keep=("ord",)).filter(F.col("ord") % 10 != 3).select(
         F.col("ord").alias("ord_b"), "flow_duration")
@@ -324,3 +324,16 @@ def q_count_reconciliation(spark, sf_dir):
     """Row counts of the two zipped inputs and whether they agree."""
     ev = FX.flow_events(V.eve_events(spark, sf_dir))
     return C.count_reconciliation(ev, ev.filter(F.col("ord") % 10 != 3))
+
+
+@register("kisti_dedup_accounting", f"""WITH {O.EVE_CTE}, {O.KISTI_MAP}
+SELECT CAST(count(*) AS BIGINT) AS records,
+       CAST(count(DISTINCT uid) AS BIGINT) AS deduplicated,
+       CAST(count(*) - count(DISTINCT uid) AS BIGINT) AS removed
+FROM km""")
+def q_kisti_dedup_accounting(spark, sf_dir):
+    """Mapped records, rows left after the per-uid collapse (null uids dropped), rows removed."""
+    km = FX.kisti_map_events(V.eve_events(spark, sf_dir))
+    # rows after the collapse = distinct non-null uids (the collapse keeps one row per uid)
+    counts = km.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("uid").alias("deduplicated"))
+    return counts.withColumn("removed", F.col("records") - F.col("deduplicated"))
