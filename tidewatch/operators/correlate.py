@@ -199,9 +199,13 @@ def with_ordinal(df: DataFrame, order: list[str] | str, name: str = "ordinal") -
     """
     order = [order] if isinstance(order, str) else list(order)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # tie-breaker: rows with equal keys (a hot group with one repeated value) still spread
+    # over several range partitions instead of landing in one
+    keyed = df.withColumn("__tb", F.monotonically_increasing_id())
     tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        keyed.repartitionByRange(n, *order, "__tb")
+        .sortWithinPartitions(*order, "__tb")
+        .drop("__tb")
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
     )

@@ -304,26 +304,27 @@ def q_scalar_durations(spark, sf_dir):
 a AS (SELECT row_number() OVER (ORDER BY ord) AS ordinal, ord AS ord_a, flow_id, src_ip FROM eve WHERE event_type = 'flow'),
 b AS (SELECT row_number() OVER (ORDER BY ord) AS ordinal, ord AS ord_b,
              COALESCE(round_even(CAST(dur_micros AS DOUBLE) / 1000000.0::DOUBLE * 1000000.0::DOUBLE, 6), 0.0) AS flow_duration
-      FROM fb WHERE ord % 10 <> 3)
+      FROM fb WHERE dur_micros IS NOT NULL)
 SELECT CAST(a.ordinal AS BIGINT) AS ordinal, ord_a, flow_id, src_ip, ord_b, flow_duration FROM a JOIN b ON a.ordinal = b.ordinal""")
 def q_zip_by_order(spark, sf_dir):
     """I-th flow meta row paired with the i-th row of a second, shorter ordered input
-    (feature rows with some lines missing); length = the shorter input."""
+    (feature rows of the timed flows only); length = the shorter input."""
     ev = V.eve_table(spark, sf_dir)  # two consumers: parse once
     meta = FX.flow_meta(ev).select(F.col("ord").alias("ord_a"), "flow_id", "src_ip")
-    feats = FX.flow_features_18(ev, keep=("ord",)).filter(F.col("ord") % 10 != 3).select(
-        F.col("ord").alias("ord_b"), "flow_duration")
+    # second input: feature rows of the flows whose duration was measured (shorter file)
+    timed = ev.filter(F.col("flow_end").isNotNull() & F.col("flow_start").isNotNull())
+    feats = FX.flow_features_18(timed, keep=("ord",)).select(F.col("ord").alias("ord_b"), "flow_duration")
     return C.zip_by_order(meta, feats, "ord_a", "ord_b")
 
 
 @register("count_reconciliation", f"""WITH {O.EVE_CTE}
-SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) FILTER (WHERE ord % 10 <> 3) AS BIGINT) AS rows_b,
-       count(*) = count(*) FILTER (WHERE ord % 10 <> 3) AS counts_match
+SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) FILTER (WHERE dur_micros IS NOT NULL) AS BIGINT) AS rows_b,
+       count(*) = count(*) FILTER (WHERE dur_micros IS NOT NULL) AS counts_match
 FROM eve WHERE event_type = 'flow'""")
 def q_count_reconciliation(spark, sf_dir):
     """Row counts of the two zipped inputs and whether they agree."""
     ev = FX.flow_events(V.eve_events(spark, sf_dir))
-    return C.count_reconciliation(ev, ev.filter(F.col("ord") % 10 != 3))
+    return C.count_reconciliation(ev, ev.filter(F.col("flow_end").isNotNull() & F.col("flow_start").isNotNull()))
 
 
 @register("kisti_dedup_accounting", f"""WITH {O.EVE_CTE}, {O.KISTI_MAP}

@@ -182,14 +182,31 @@ def q_tsv_tolerant_scan(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # J5 J6 J7 — sample ⋉ raw, keep-first lookup, map-and-drop
 # ---------------------------------------------------------------------------------------
-@register("semi_join_sample", f"""WITH {KISTI_SQL}
-SELECT {KISTI_OUT} FROM kr WHERE uid IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0)""")
+_SAMPLE_SQL = """sample AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS uid, o_orderpriority FROM (
+    SELECT o_orderkey, o_orderpriority,
+      row_number() OVER (PARTITION BY o_orderpriority
+                         ORDER BY ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8))::BIGINT, o_orderkey) AS rk,
+      count(*) OVER (PARTITION BY o_orderpriority) AS n
+    FROM orders) t
+  WHERE rk <= greatest(1, floor(n * 0.1)))"""
+
+
+def _order_sample(spark, sf_dir):
+    """M1: the stratified 10 % sample of orders (class = priority) as sampled uids."""
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    sample = M.stratified_sample(orders, "o_orderpriority", "o_orderkey", 0.1, 42)
+    return sample.select(F.col("o_orderkey").cast("string").alias("uid"), "o_orderpriority")
+
+
+@register("semi_join_sample", f"""WITH {KISTI_SQL}, {_SAMPLE_SQL}
+SELECT {KISTI_OUT} FROM kr WHERE uid IN (SELECT uid FROM sample)""")
 def q_semi_join_sample(spark, sf_dir):
+    """Raw KISTI rows whose uid is in the stratified sample."""
     raw = CL.normalise_nulls(V.kisti_frame(spark, sf_dir))
     raw = raw.withColumn("duration", X.seconds_between_compact("detectStart", "detectEnd"))
-    sample = V.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 == 0).select(
-        F.col("o_orderkey").cast("string").alias("uid"))
-    return C.semi_join_reduce(raw, sample, "uid").select(*[c.strip('"') for c in KISTI_OUT.split(", ")])
+    return C.semi_join_reduce(raw, _order_sample(spark, sf_dir), "uid").select(
+        *[c.strip('"') for c in KISTI_OUT.split(", ")])
 
 
 @register("keep_first_lookup", f"""WITH {KISTI_SQL}
@@ -201,20 +218,17 @@ def q_keep_first_lookup(spark, sf_dir):
     return C.keep_first_lookup(V.kisti_frame(spark, sf_dir), "uid", "packetSize")
 
 
-@register("lookup_join_drop", f"""WITH {KISTI_SQL},
+@register("lookup_join_drop", f"""WITH {KISTI_SQL}, {_SAMPLE_SQL},
 lk AS (SELECT uid, "packetSize" FROM (
   SELECT uid, "packetSize", row_number() OVER (PARTITION BY uid ORDER BY k1, k2, k3, k4, k5, k6, k7, k8, k9) AS rn
   FROM kr) t WHERE rn = 1)
 SELECT s.uid, s.o_orderpriority, lk."packetSize"
-FROM (SELECT CAST(o_orderkey AS VARCHAR) AS uid, o_orderpriority FROM orders WHERE o_orderkey % 10 = 0) s
-JOIN lk ON s.uid = lk.uid WHERE lk."packetSize" IS NOT NULL""")
+FROM sample s JOIN lk ON s.uid = lk.uid WHERE lk."packetSize" IS NOT NULL""")
 def q_lookup_join_drop(spark, sf_dir):
-    """J7 + A8: sampled orders mapped through the keep-first packetSize lookup; uids with no
-    raw row or a null first value are dropped."""
+    """J7 + A8: the sampled orders mapped through the keep-first packetSize lookup; uids with
+    no raw row or a null first value are dropped."""
     lookup = C.keep_first_lookup(V.kisti_frame(spark, sf_dir), "uid", "packetSize")
-    sample = V.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 == 0).select(
-        F.col("o_orderkey").cast("string").alias("uid"), "o_orderpriority")
-    return C.lookup_join_drop(sample, lookup, "uid", "packetSize")
+    return C.lookup_join_drop(_order_sample(spark, sf_dir), lookup, "uid", "packetSize")
 
 
 # ---------------------------------------------------------------------------------------
