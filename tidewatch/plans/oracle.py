@@ -114,9 +114,9 @@ best AS (
 RULE_LABEL = """CASE WHEN total_fwd_packets >= 12 THEN 'DDoS'
          WHEN syn_flag_count = 1 AND destination_port = 22 THEN 'PortScan'
          ELSE 'BENIGN' END"""
-RULE_CONF = """CASE WHEN total_fwd_packets >= 12 THEN 90.0
-         WHEN syn_flag_count = 1 AND destination_port = 22 THEN 75.0
-         ELSE 60.0 END"""
+RULE_CONF = """CASE WHEN total_fwd_packets >= 12 THEN 90.0::DOUBLE
+         WHEN syn_flag_count = 1 AND destination_port = 22 THEN 75.0::DOUBLE
+         ELSE 60.0::DOUBLE END"""
 
 
 def outcome_sql(ids: str, model: str) -> str:
