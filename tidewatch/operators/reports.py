@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
-from tidewatch.operators.correlate import rank_within_group
+from tidewatch.operators.correlate import with_ordinal
 
 # ---------------------------------------------------------------------------------------
 # A1 / A2 / A3 / W2
@@ -116,35 +116,39 @@ def event_counts(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def _quantiles_from_ranks(ranked: DataFrame, group: str, qs: list[float]) -> DataFrame:
-    """Linear interpolation between the values at ranks floor(h)+1 and ceil(h)+1, h=(n-1)q."""
-    sizes = ranked.groupBy(group).agg(F.first("_n").alias("_n"))  # one row per group
-    pos = [F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h"))
-           for i, q in enumerate(qs)]
-    wanted = sizes.select(group, F.explode(F.array(*pos)).alias("p")).select(group, "p.*")
-    wanted = wanted.withColumn("lo", F.floor("h") + 1).withColumn("hi", F.ceil("h") + 1)
-    picks = wanted.select(group, F.explode(F.array("lo", "hi")).alias("__r")).distinct()
-    # groups x quantiles x 2 rows: bounded by the number of profiled columns
-    vals_at = ranked.join(F.broadcast(picks), on=[group, "__r"]).select(group, "__r", "__v")
-    lo = vals_at.withColumnRenamed("__r", "lo").withColumnRenamed("__v", "v_lo")
-    hi = vals_at.withColumnRenamed("__r", "hi").withColumnRenamed("__v", "v_hi")
-    both = wanted.join(lo, on=[group, "lo"]).join(hi, on=[group, "hi"])
-    frac = F.col("h") - (F.col("lo") - 1)
-    return both.select(group, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
-
-
 def _ranked_values(df: DataFrame, group: str, v: str) -> DataFrame:
+    """(group, __v, __g): non-missing values with their global rank in (group, value) order
+    (one range-partitioned sort for all groups; checkpointed by ``with_ordinal``)."""
     vals = df.select(group, F.col(v).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    return rank_within_group(vals, group, ["__v"], "__r")
+    return with_ordinal(vals, [group, "__v"], "__g")
+
+
+def _quantiles_at(ranked: DataFrame, per_group: DataFrame, group: str, qs: list[float]) -> DataFrame:
+    """Linear interpolation between the values at in-group ranks floor(h)+1 and ceil(h)+1,
+    h = (n-1)·q.  Because the global order starts with the group, those are the global ranks
+    g0 + floor(h) and g0 + ceil(h) (g0 = the group's first global rank): only those rows are
+    read back, through a broadcast of the wanted ranks (groups × quantiles × 2 rows)."""
+    pos = [F.struct(F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h")) for q in qs]
+    wanted = per_group.select(group, "__g0", F.explode(F.array(*pos)).alias("p")).select(group, "__g0", "p.*")
+    wanted = wanted.withColumn("lo_g", F.col("__g0") + F.floor("h")).withColumn("hi_g", F.col("__g0") + F.ceil("h"))
+    picks = wanted.select(F.explode(F.array("lo_g", "hi_g")).alias("__g")).distinct()
+    at = ranked.join(F.broadcast(picks), on="__g").select("__g", "__v")
+    lo = at.select(F.col("__g").alias("lo_g"), F.col("__v").alias("v_lo"))
+    hi = at.select(F.col("__g").alias("hi_g"), F.col("__v").alias("v_hi"))
+    both = wanted.join(lo, on="lo_g").join(hi, on="hi_g")
+    frac = F.col("h") - F.floor("h")
+    return both.select(group, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
 
 
 def grouped_exact_quantiles(df: DataFrame, group: str, v: str, qs: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group.
 
-    Distributed: every non-null value gets its rank inside its group (``rank_within_group``:
-    one range-partitioned sort for all groups), then only the 2·len(qs) rows per group at
-    the needed ranks are kept.  No task ever holds a whole group."""
-    return _quantiles_from_ranks(_ranked_values(df, group, v), group, qs)
+    Distributed: one range-partitioned ranking of all (group, value) pairs, one partial
+    aggregate for each group's size and first rank, then only 2·len(qs) rows per group are
+    read back.  No task ever holds a whole group."""
+    ranked = _ranked_values(df, group, v)
+    per_group = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min("__g").alias("__g0"))
+    return _quantiles_at(ranked, per_group, group, qs)
 
 
 def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
@@ -158,21 +162,22 @@ def numeric_profile(df: DataFrame, cols: list[str], digits: int = 4) -> DataFram
     non-missing values (NaN counts as missing, as in pandas).  A column with no value at
     all has no row.
 
-    All columns are unpivoted into (column, value) once and ranked in one shared pass; the
-    moments and the quartiles both read that checkpointed, ranked frame."""
+    All columns are unpivoted into (column, value) once and ranked in one shared pass; one
+    partial aggregate over the ranked frame gives the moments *and* each column's first
+    rank, from which the quartile rows are located."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")).select("x.*")
     ranked = _ranked_values(long, "column", "v")
     v = F.col("__v")
     stats = ranked.groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
+        F.count(F.lit(1)).alias("_n"), F.min("__g").alias("__g0"), F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     qs = [0.25, 0.5, 0.75]
-    quart = _quantiles_from_ranks(ranked, "column", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
+    quart = _quantiles_at(ranked, stats, "column", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
     quart = quart.toDF("column", "p25", "p50", "p75")
     row = stats.join(quart, on="column", how="left")  # both sides: one row per profiled column
     return row.select(
-        "column", F.col("count").cast("bigint").alias("count"),
+        "column", F.col("_n").cast("bigint").alias("count"),
         *[F.bround(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")],
     )
 
