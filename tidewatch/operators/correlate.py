@@ -107,7 +107,8 @@ def compare(
     """Sensor verdict vs model verdict per flow event.
 
     ``scorer``: ``DataFrame(features) -> DataFrame`` adding ``model_label`` and
-    ``model_confidence_pct``; it scores rows in place, so no positional pairing is needed.
+    ``model_confidence_pct``; it scores rows in place, so no positional pairing is needed
+    and meta + features + verdicts come out of one ``select`` (J4).
     ``verdict``: ``by_alerted`` (flow.alerted) or ``by_alert_match`` (any alert for the flow).
     ``features``: ``cic18`` (FX2) or ``cic11`` (FX3, the 7 others zero-filled for scoring).
     """

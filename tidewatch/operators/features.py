@@ -14,7 +14,7 @@ from tidewatch.functions import scalar as X
 
 
 def _z(c: str) -> Column:
-    """Truthiness default: null / 0 / missing -> 0.0."""
+    """P3 + P4: nested field with a default, truthiness default (null / 0 / missing -> 0.0)."""
     return F.coalesce(F.col(c), F.lit(0.0))
 
 

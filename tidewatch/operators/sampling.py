@@ -1,5 +1,8 @@
 """Sampling and splits: M1 (stratified sample), M2 (stratified split), M3 (hash split).
 
+The per-chunk samples of the source are concatenated (U2); here one global draw over all
+rows replaces chunk-by-chunk draws, so there is nothing to concatenate.
+
 All draws are *hash-ordered*: a row's pseudo-random position is md5(key ':' seed), so the
 result is identical under any partitioning, re-execution after executor loss, or another
 engine (the SQL oracle reproduces it).

@@ -37,6 +37,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+def in_input_order(df: DataFrame, order: str = "ord") -> DataFrame:
+    """Rows in input (file) order for a sink that must keep it; a range-partitioned
+    sort, applied only at the sink and only when asked for."""
+    return df.orderBy(order)
+
+
 def as_reference_headers(df: DataFrame) -> DataFrame:
     """Rename snake_case feature / comparison columns to the source tables' header text."""
     names = {**schemas.CIC_HEADERS, **schemas.COMPARE_HEADERS}

@@ -33,7 +33,8 @@ def read_event_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str = "ord") -> DataFrame:
-    """Lines -> one row per line with ``line_kind`` in {blank, malformed, event} and ``ev``.
+    """X20 + S8: lines -> one row per line with ``line_kind`` in {blank, malformed, event} and
+    ``ev`` (the JSON parse; fields are reached by struct paths such as ``ev.flow.start``).
 
     Malformed = the trimmed line does not look like one JSON object (does not end in '}'),
     or it does not parse as JSON at all.  ``from_json`` alone cannot tell a broken line
@@ -60,7 +61,8 @@ def _bool(c: str) -> Column:
 
 
 def typed_events(parsed: DataFrame) -> DataFrame:
-    """Keep ``event`` lines and give every field its type (see schemas.TYPED_EVENT_COLUMNS)."""
+    """Keep ``event`` lines and give every field its type (P10 casts via ``try_cast``; see
+    schemas.TYPED_EVENT_COLUMNS)."""
     ev = parsed.filter(F.col("line_kind") == "event")
     return ev.select(
         "ord",
@@ -131,7 +133,8 @@ def parse_accounting(parsed: DataFrame) -> DataFrame:
 
 
 def event_lines_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S9 / ST1: a directory of rotated (whole, closed) NDJSON files as an unbounded stream.
+    """S9 / ST1 / ST3: a directory of rotated (whole, closed) NDJSON files as an unbounded
+    stream; while the directory is empty the source simply idles (no polling loop needed).
 
     Yields (value, file, block, file_mtime); the in-split line position is added per
     micro-batch by ``with_line_order`` (row ids are not available on a streaming frame).

@@ -48,7 +48,8 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 def read_labelled_flows(
     spark: SparkSession, folder: str, headers: list[str] | None = None, exclude: str | None = None
 ) -> DataFrame:
-    """S1 / S6 + U1: every ``*.csv`` (any case) in a folder, unioned, names trimmed.
+    """S1 / S6 + U1: every ``*.csv`` (any case, X3: a ``pathGlobFilter`` instead of
+    lower()+endswith()) in a folder, unioned, names trimmed (P1).
 
     Files are unioned by name after trimming, which fails loudly when headers differ (the
     positional append it replaces would silently misalign columns)."""
