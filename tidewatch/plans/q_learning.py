@@ -98,6 +98,26 @@ def kisti_model(spark, sf_dir, num_trees=NUM_TREES, max_depth=MAX_DEPTH):
     return _MODELS[k]
 
 
+@register("rf_score_converted_csv")
+def q_rf_score_converted_csv(spark, sf_dir):
+    """K1 S6 P1 P5 ML6 A1: the converted flow table (FX1) is written as CSV with the source
+    header text, read back, header names trimmed and the three unobtainable features
+    zero-filled, scored by the saved forest; predicted-label distribution."""
+    from tidewatch.operators import features as FX
+    from tidewatch.sinks import as_reference_headers, write_csv
+
+    model, _ = cic_model(spark, sf_dir)
+    path = scratch_path(spark, "converted_csv")
+    write_csv(as_reference_headers(FX.flow_features_16(V.eve_events(spark, sf_dir), keep=())), path)
+    snake = {v: k for k, v in schemas.CIC_HEADERS.items()}
+    raw = spark.read.options(header="true", inferSchema="false").csv(path)
+    raw = CL.trim_column_names(raw)
+    typed = raw.select(*[F.col(f"`{c}`").cast("double" if c != "Label" else "string").alias(snake.get(c, c))
+                         for c in raw.columns])
+    scored = L.score(model, CL.fill_missing_features(typed, schemas.CIC_18))
+    return R.value_counts_sorted(scored, "model_label")
+
+
 @register("rf_kisti_balanced")
 def q_rf_kisti_balanced(spark, sf_dir):
     """ML2 ML3 ML5 M3 A13: KISTI forest with balanced class weights on a hash 80/20 split;
