@@ -156,7 +156,7 @@ def q_stream_score_flows(spark, sf_dir):
     in_dir, out_dir, ckpt = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
     V.eve_lines(spark, sf_dir).select("value").write.mode("overwrite").text(in_dir)
     q = start_scoring_stream(spark, in_dir, out_dir, ckpt, rule_scorer, trigger={"availableNow": True},
-                             max_files_per_trigger=4, ordinal=True)
+                             max_files_per_trigger=8, ordinal=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
