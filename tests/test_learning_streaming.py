@@ -93,5 +93,7 @@ def test_stream_start_at_end_and_batch_ordinal(spark, tmp_path):
 def test_reference_headers(spark):
     from tidewatch.sinks import as_reference_headers
 
-    df = spark.createDataFrame([(1.0, "x", 2.0)], "flow_bytes_per_s double, outcome string, other double")
-    assert as_reference_headers(df).columns == ["Flow Bytes/s", "outcome", "other"]
+    df = spark.createDataFrame([(1.0, "BOTH", 2.0)], "flow_bytes_per_s double, outcome string, other double")
+    out = as_reference_headers(df)
+    assert out.columns == ["Flow Bytes/s", "결과분류", "other"]
+    assert out.first()[1] == "둘 다 탐지"

@@ -160,14 +160,21 @@ OUTCOMES = [OUTCOME_BOTH, OUTCOME_IDS_ONLY, OUTCOME_MODEL_ONLY, OUTCOME_NEITHER]
 BENIGN = "BENIGN"
 ALERT = "ALERT"
 
+# FIXED VALUES — comparison-table header text and outcome labels of the source CSVs
 COMPARE_HEADERS = {
-    "ids_verdict": "suricata_verdict",
+    "ids_verdict": "suricata_판단",
     "ids_severity": "suricata_severity",
     "ids_signature": "suricata_signature",
     "ids_category": "suricata_category",
-    "model_label": "RF_prediction",
-    "model_confidence_pct": "RF_confidence(%)",
-    "outcome": "outcome",
+    "model_label": "RF_예측",
+    "model_confidence_pct": "RF_확률(%)",
+    "outcome": "결과분류",
+}
+OUTCOME_LABELS = {
+    OUTCOME_BOTH: "둘 다 탐지",
+    OUTCOME_IDS_ONLY: "Suricata만 탐지",
+    OUTCOME_MODEL_ONLY: "RF만 탐지",
+    OUTCOME_NEITHER: "둘 다 정상",
 }
 
 BOOL = BooleanType()

@@ -44,9 +44,15 @@ def in_input_order(df: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def as_reference_headers(df: DataFrame) -> DataFrame:
-    """Rename snake_case feature / comparison columns to the source tables' header text."""
+    """Rename snake_case feature / comparison columns to the source tables' header text and
+    spell outcome classes as the source does."""
     names = {**schemas.CIC_HEADERS, **schemas.COMPARE_HEADERS}
-    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+    labels = F.create_map(*[F.lit(x) for kv in schemas.OUTCOME_LABELS.items() for x in kv])
+    cols = []
+    for c in df.columns:
+        col = F.coalesce(labels[F.col(c)], F.col(c)) if c == "outcome" else F.col(c)
+        cols.append(col.alias(names.get(c, c)))
+    return df.select(*cols)
 
 
 def batch_report(batch: DataFrame, batch_id: int) -> DataFrame:
