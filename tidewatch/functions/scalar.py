@@ -85,12 +85,16 @@ def duration_seconds_kisti(age: Column | str, start: Column | str, end: Column |
 
 
 def yyyymmddhhmmss(s: Column | str) -> Column:
-    """Parse 'yyyyMMddHHmmss' text (an integer in the source); invalid -> null."""
+    """Parse 'yyyyMMddHHmmss' text (an integer in the source); invalid -> null.
+
+    The text carries no zone; it is read as UTC wall time (an explicit +0000), so
+    differences are plain wall-clock differences whatever the session time zone (no DST
+    hour appears, as with naive datetimes)."""
     txt = F.trim(col_(s).cast("string"))
     # the source parses via int(): '20170703153045.0' is accepted, '2017-07-03' is not
     txt = F.regexp_replace(txt, r"\.0*$", "")
     ok = txt.rlike(r"^[0-9]{14}$")
-    return F.when(ok, F.try_to_timestamp(txt, F.lit("yyyyMMddHHmmss")))
+    return F.when(ok, F.try_to_timestamp(F.concat(txt, F.lit("+0000")), F.lit("yyyyMMddHHmmssZ")))
 
 
 def seconds_between_compact(start: Column | str, end: Column | str) -> Column:
