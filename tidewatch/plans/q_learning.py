@@ -25,8 +25,6 @@ from tidewatch.streaming.scoring import read_scored, start_scoring_stream
 # Forest settings of the registered queries (trees, depth); the source uses 100 trees.
 NUM_TREES = 100
 MAX_DEPTH = 10
-CIC_TRAIN_FEATURES = ["destination_port", "flow_duration", "total_fwd_packets", "total_backward_packets",
-                      "flow_bytes_per_s", "flow_packets_per_s", "flow_iat_mean"]
 
 _MODELS: dict = {}
 
@@ -94,7 +92,11 @@ def kisti_model(spark, sf_dir, num_trees=NUM_TREES, max_depth=MAX_DEPTH):
         train = L.class_balanced_weights(df.filter(~F.col("is_test")), "label")
         model = L.train_forest(train, schemas.KISTI_FEATURES_V2, label="label", num_trees=num_trees,
                                max_depth=max_depth, weight_col="weight")
-        _MODELS[k] = (model, df)
+        path = scratch_path(spark, "model_kisti")
+        L.save_model(model, f"{path}/forest")  # K5
+        # ML2: the fixed class encoder over the code map, saved next to the forest
+        L.fixed_label_encoder([str(c) for c in sorted(schemas.ATTACK_LABELS)]).write().overwrite().save(f"{path}/encoder")
+        _MODELS[k] = (L.load_model(f"{path}/forest"), df)  # S10
     return _MODELS[k]
 
 

@@ -7,7 +7,6 @@ Values in the FIXED VALUES blocks must stay equal to the behaviour being reprodu
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -176,5 +175,3 @@ OUTCOME_LABELS = {
     OUTCOME_MODEL_ONLY: "RF만 탐지",
     OUTCOME_NEITHER: "둘 다 정상",
 }
-
-BOOL = BooleanType()
