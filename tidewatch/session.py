@@ -69,5 +69,9 @@ def spread(df: DataFrame) -> DataFrame:
     A source with a single large split (one row group) would otherwise run every
     downstream row-wise step in one task.  On a real input with many splits this is a
     no-op (no shuffle is added)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
