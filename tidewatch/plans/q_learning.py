@@ -81,12 +81,22 @@ def q_rf_compare(spark, sf_dir):
 
 
 def kisti_model(spark, sf_dir, num_trees=NUM_TREES, max_depth=MAX_DEPTH):
-    """ML5 + ML4 on the KISTI rows (hash 80/20 split, balanced class weights), cached."""
+    """The KISTI training chain, cached per session:
+    FX9 (durations, required measures) -> M1 (10 % per attack type) -> J6/J7 (packetSize
+    re-mapped from the raw rows by keep-first uid, misses dropped) -> F8 -> M3 (hash 80/20)
+    -> ML5 (balanced weights) -> ML4."""
     k = ("kisti", sf_dir, num_trees, max_depth, id(spark))
     if k not in _MODELS:
+        from tidewatch.operators import correlate as C
         from tidewatch.operators import features as FX  # local: avoid a cycle at import time
 
-        df = FX.kisti_with_duration(V.kisti_frame(spark, sf_dir).drop("ord"))
+        raw = V.kisti_frame(spark, sf_dir)
+        prepared = FX.kisti_with_duration(raw)
+        row_key = F.concat_ws(":", *[F.col(f"ord.{c}") for c in ("l_orderkey", "l_linenumber", "l_partkey",
+                                                                  "l_suppkey")])
+        sample = M.stratified_sample(prepared.withColumn("row_key", row_key), "attackType", "row_key", 0.1, 42)
+        lookup = C.keep_first_lookup(raw, "uid", "packetSize")
+        df = C.lookup_join_drop(sample.drop("ord", "row_key"), lookup, "uid", "packetSize")
         df = CL.fill_zero(df, schemas.KISTI_FEATURES_V2).withColumn("label", F.col("attackType").cast("string"))
         df = M.hash_split(df, "uid", 20, 42)
         train = L.class_balanced_weights(df.filter(~F.col("is_test")), "label")
@@ -133,6 +143,22 @@ def q_rf_kisti_balanced(spark, sf_dir):
     return R.classification_report(pairs)
 
 
+@register("rf_kisti_scored_log")
+def q_rf_kisti_scored_log(spark, sf_dir):
+    """FX5 A4 F8 ML6 ML3 A3: the event log mapped to KISTI rows, collapsed per uid, features
+    null-filled, scored by the KISTI forest; predicted-label distribution with shares."""
+    from tidewatch.functions.scalar import attack_label
+    from tidewatch.operators import correlate as C
+    from tidewatch.operators import features as FX
+
+    model, _ = kisti_model(spark, sf_dir)
+    rows = CL.fill_zero(C.dedup_by_uid(FX.kisti_map_events(V.eve_events(spark, sf_dir))), schemas.KISTI_FEATURES_V2)
+    rows = rows.withColumn("eventCount", F.col("eventCount").cast("long"))
+    scored = L.score(model, rows, pct_digits=None).withColumn(
+        "pred_label", attack_label(F.col("model_label").cast("int")))
+    return R.value_shares(scored, "pred_label")
+
+
 @register("rf_kisti_importance")
 def q_rf_kisti_importance(spark, sf_dir):
     """ML8 + O2: full feature-importance ranking of the KISTI forest."""
