@@ -145,6 +145,22 @@ def q_flow_features_16(spark, sf_dir):
     return FX.flow_features_16(V.eve_events(spark, sf_dir))
 
 
+@register("preprocessed_flows", f"""WITH {O.EVE_CTE}, {O.FLOW_BASE}, f AS (
+  SELECT ord, flow_id, timestamp, src_ip, src_port, dest_ip, dest_port AS dp, proto, app_proto, alerted,
+         {O.flow18_select()} FROM fb)
+SELECT ord, flow_id, timestamp, src_ip, src_port, dest_ip, dp AS dest_port, proto, app_proto,
+  CASE WHEN COALESCE(alerted, FALSE) THEN 'ALERT' ELSE 'BENIGN' END AS ids_verdict_alerted,
+  {', '.join(schemas.CIC_11)}
+FROM f""")
+def q_preprocessed_flows(spark, sf_dir):
+    """FX8 + FX3 + J4: flow identity, sensor verdict and the 11 reliable features side by side
+    in one projection (the source concatenates two frames by position)."""
+    ev = V.eve_events(spark, sf_dir)
+    meta_cols = ["ord", "flow_id", "timestamp", "src_ip", "src_port", "dest_ip", "dest_port", "proto", "app_proto"]
+    feats = FX.flow_features_11(ev, keep=[*meta_cols, "alerted"])
+    return feats.select(*meta_cols, X.verdict_from_alerted("alerted").alias("ids_verdict_alerted"), *schemas.CIC_11)
+
+
 @register("alert_extract", f"""WITH {O.EVE_CTE}
 SELECT ord, COALESCE(timestamp, '') AS timestamp, COALESCE(src_ip, '') AS src_ip, COALESCE(dest_ip, '') AS dest_ip,
        COALESCE(CAST(dest_port AS VARCHAR), '') AS dest_port, COALESCE(signature, '') AS signature,
