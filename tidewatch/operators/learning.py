@@ -60,13 +60,10 @@ def train_forest(
 def _histogram_buffer_mb(spark) -> int:
     """512 MB when tasks have a heap of 4 GB or more, else Spark's default 256 MB."""
     try:
-        conf = spark.sparkContext.getConf()
-        mem = conf.get("spark.executor.memory", None) if not spark.sparkContext.master.startswith("local") else None
-        if mem is None:
-            heap_mb = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() // (1024 * 1024)
-        else:
-            units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-            heap_mb = float(mem[:-1]) * units.get(mem[-1].lower(), 1) if mem[-1].isalpha() else float(mem) / 2**20
+        local = spark.sparkContext.master.startswith("local")
+        mem = spark.conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
+        units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+        heap_mb = float(mem[:-1]) * units[mem[-1].lower()] if mem[-1].isalpha() else float(mem) / 2**20
     except Exception:  # noqa: BLE001 - heap unknown: keep Spark's default
         return 256
     return 512 if heap_mb >= 4096 else 256
