@@ -174,3 +174,8 @@ def test_empty_summary_zero_pct(spark, events):
     rows = R.outcome_summary(cmp).collect()
     assert all(r.n == 0 and r.pct == 0.0 for r in rows)
     assert R.detection_rates(cmp).first().ids_rate_pct is None
+
+
+def test_alert_existence(events):
+    rows = {r.line: r.has_alert for r in line_no(C.alert_existence(events)).collect()}
+    assert rows == {1: True, 5: False, 6: False, 12: True}

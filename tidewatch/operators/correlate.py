@@ -93,6 +93,17 @@ def flows_with_best_alert(events: DataFrame) -> DataFrame:
     return joined.select(*meta.columns, *_alert_info(joined))
 
 
+def alert_existence(events: DataFrame) -> DataFrame:
+    """Per flow event, whether any alert carries its flow id (null matches null).
+
+    The alert side is reduced to distinct flow ids first (partial aggregation), so a hot
+    flow id contributes one row to the join."""
+    flows = FX.flow_events(events).select("ord", "flow_id")
+    alerted_ids = FX.alert_events(events).select("flow_id").distinct().withColumn("__hit", F.lit(True))
+    joined = null_safe_left_join(flows, alerted_ids, "flow_id")
+    return joined.select("ord", "flow_id", F.coalesce(F.col("__hit"), F.lit(False)).alias("has_alert"))
+
+
 # ---------------------------------------------------------------------------------------
 # FX10 — sensor vs model
 # ---------------------------------------------------------------------------------------

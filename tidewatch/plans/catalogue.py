@@ -190,6 +190,15 @@ def q_flows_with_best_alert(spark, sf_dir):
     return C.flows_with_best_alert(V.eve_table(spark, sf_dir))
 
 
+@register("existence_flag", f"""WITH {O.EVE_CTE}
+SELECT f.ord, f.flow_id, EXISTS (SELECT 1 FROM eve a WHERE a.event_type = 'alert'
+                                 AND a.flow_id IS NOT DISTINCT FROM f.flow_id) AS has_alert
+FROM eve f WHERE f.event_type = 'flow'""")
+def q_existence_flag(spark, sf_dir):
+    """The sensor verdict of the alert-match rule, as a flag per flow event."""
+    return C.alert_existence(V.eve_table(spark, sf_dir))
+
+
 @register("parse_accounting", """
 SELECT CAST(count(*) + count(*) FILTER (WHERE event_id % 83 = 0) AS BIGINT) AS lines_total,
   CAST(count(*) FILTER (WHERE event_id % 83 = 0) AS BIGINT) AS lines_blank,
