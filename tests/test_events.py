@@ -179,3 +179,15 @@ def test_empty_summary_zero_pct(spark, events):
 def test_alert_existence(events):
     rows = {r.line: r.has_alert for r in line_no(C.alert_existence(events)).collect()}
     assert rows == {1: True, 5: False, 6: False, 12: True}
+
+
+def test_strict_time_parity(spark, tmp_path):
+    line = ('{"event_type":"flow","flow_id":7,"flow":{"pkts_toserver":2,"pkts_toclient":0,"bytes_toserver":10,'
+            '"bytes_toclient":0,"start":"2026-03-24T12:00:00+0900","end":"2026-03-24T12:00:02+0900"}}')
+    ev = read_events(spark, write_lines(tmp_path / "e.json", [line]))
+    assert FX.flow_features_18(ev).first().flow_duration == 2_000_000.0
+    assert FX.flow_features_18(ev, strict_time=True).first().flow_duration == 0.0
+    assert FX.flow_features_stream_rules(ev, strict_time=True).first().flow_duration == 1.0
+    ok = line.replace(":00+0900", ":00.5+09:00").replace(":02+0900", ":02.5Z")
+    ev2 = read_events(spark, write_lines(tmp_path / "f.json", [ok]))
+    assert FX.flow_features_18(ev2, strict_time=True).first().flow_duration == 32_402_000_000.0

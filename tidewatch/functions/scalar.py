@@ -54,24 +54,36 @@ def _try_ts(c: Column) -> Column:
     return c.try_cast("timestamp")
 
 
-def micros_between(start: Column | str, end: Column | str) -> Column:
-    """end - start in whole microseconds; null when either side is missing or unparsable."""
-    return F.unix_micros(_try_ts(col_(end))) - F.unix_micros(_try_ts(col_(start)))
+# The source's flow-time pattern: a fractional second is required; offsets +HHMM, +HH:MM, Z.
+STRICT_FLOW_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{1,6}(Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
-def duration_us_zero(start: Column | str, end: Column | str) -> Column:
+def _flow_time(c: Column | str, strict: bool) -> Column:
+    c = col_(c)
+    return F.when(c.rlike(STRICT_FLOW_TIME), c) if strict else c
+
+
+def micros_between(start: Column | str, end: Column | str, strict: bool = False) -> Column:
+    """end - start in whole microseconds; null when either side is missing or unparsable.
+
+    ``strict`` rejects timestamps the source's fixed pattern would reject (no fraction)."""
+    s, e = _flow_time(start, strict), _flow_time(end, strict)
+    return F.unix_micros(_try_ts(e)) - F.unix_micros(_try_ts(s))
+
+
+def duration_us_zero(start: Column | str, end: Column | str, strict: bool = False) -> Column:
     """Flow duration in microseconds, 0.0 on failure, rounded to 6 digits (batch rule)."""
-    secs = micros_between(start, end).cast("double") / MICROS_PER_SECOND
+    secs = micros_between(start, end, strict).cast("double") / MICROS_PER_SECOND
     return F.coalesce(F.bround(secs * MICROS_PER_SECOND, 6), F.lit(0.0))
 
 
-def duration_s_zero(start: Column | str, end: Column | str) -> Column:
-    return F.coalesce(micros_between(start, end).cast("double") / MICROS_PER_SECOND, F.lit(0.0))
+def duration_s_zero(start: Column | str, end: Column | str, strict: bool = False) -> Column:
+    return F.coalesce(micros_between(start, end, strict).cast("double") / MICROS_PER_SECOND, F.lit(0.0))
 
 
-def duration_us_floor(start: Column | str, end: Column | str) -> Column:
+def duration_us_floor(start: Column | str, end: Column | str, strict: bool = False) -> Column:
     """Streaming rule: at least 1 microsecond; failure -> 1.0."""
-    secs = micros_between(start, end).cast("double") / MICROS_PER_SECOND
+    secs = micros_between(start, end, strict).cast("double") / MICROS_PER_SECOND
     return F.coalesce(F.greatest(secs * MICROS_PER_SECOND, F.lit(1.0)), F.lit(1.0))
 
 

@@ -33,15 +33,18 @@ def non_stats_events(events: DataFrame) -> DataFrame:
     return events.filter(~F.col("event_type").eqNullSafe("stats"))
 
 
-def _flow_core(duration_policy: str = "zero", rounded: bool = True) -> dict[str, Column]:
-    """Shared flow-feature expressions (keys are snake_case feature names)."""
+def _flow_core(duration_policy: str = "zero", rounded: bool = True, strict_time: bool = False) -> dict[str, Column]:
+    """Shared flow-feature expressions (keys are snake_case feature names).
+
+    ``strict_time`` applies the source's fixed timestamp pattern (fraction required); by
+    default any ISO-8601 form with an offset is accepted."""
     pf, pb, bf, bb = _z("pkts_toserver"), _z("pkts_toclient"), _z("bytes_toserver"), _z("bytes_toclient")
     tp, tb = pf + pb, bf + bb
     if duration_policy == "zero":
-        dur_us = X.duration_us_zero("flow_start", "flow_end")
-        dur_s = X.duration_s_zero("flow_start", "flow_end")
+        dur_us = X.duration_us_zero("flow_start", "flow_end", strict_time)
+        dur_s = X.duration_s_zero("flow_start", "flow_end", strict_time)
     elif duration_policy == "floor_1us":
-        dur_us = X.duration_us_floor("flow_start", "flow_end")
+        dur_us = X.duration_us_floor("flow_start", "flow_end", strict_time)
         dur_s = dur_us / F.lit(X.MICROS_PER_SECOND)
     else:
         raise ValueError(f"unknown duration policy {duration_policy!r}")
@@ -68,21 +71,21 @@ def _flow_core(duration_policy: str = "zero", rounded: bool = True) -> dict[str,
     }
 
 
-def flow_features_18(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id")) -> DataFrame:
+def flow_features_18(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id"), strict_time: bool = False) -> DataFrame:
     """FX2: flow events -> the 18 model features (doubles, 6-digit rounding, 0 on bad time)."""
-    core = _flow_core("zero", True)
+    core = _flow_core("zero", True, strict_time)
     return flow_events(events).select(*keep, *[core[c].alias(c) for c in schemas.CIC_18])
 
 
-def flow_features_stream_rules(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id")) -> DataFrame:
+def flow_features_stream_rules(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id"), strict_time: bool = False) -> DataFrame:
     """FX4: the live-scoring variant: no rounding, duration floored at 1 microsecond."""
-    core = _flow_core("floor_1us", False)
+    core = _flow_core("floor_1us", False, strict_time)
     return flow_events(events).select(*keep, *[core[c].alias(c) for c in schemas.CIC_18])
 
 
-def flow_features_16(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id")) -> DataFrame:
+def flow_features_16(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id"), strict_time: bool = False) -> DataFrame:
     """FX1: converted-log table (15 features + label); counters and flags keep integer type."""
-    core = _flow_core("zero", True)
+    core = _flow_core("zero", True, strict_time)
     ints = {
         "destination_port": F.coalesce(F.col("dest_port"), F.lit(0)),
         "total_fwd_packets": _z("pkts_toserver").cast("bigint"),
@@ -103,9 +106,9 @@ def flow_features_16(events: DataFrame, keep: list[str] | tuple[str, ...] = ("or
     return flow_events(events).select(*keep, *cols)
 
 
-def flow_features_11(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id")) -> DataFrame:
+def flow_features_11(events: DataFrame, keep: list[str] | tuple[str, ...] = ("ord", "flow_id"), strict_time: bool = False) -> DataFrame:
     """FX3: the 11 features a flow log measures reliably."""
-    core = _flow_core("zero", True)
+    core = _flow_core("zero", True, strict_time)
     return flow_events(events).select(*keep, *[core[c].alias(c) for c in schemas.CIC_11])
 
 
