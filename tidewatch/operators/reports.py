@@ -228,15 +228,18 @@ def classification_report(pairs: DataFrame, y: str = "y", p: str = "p", digits:
     averages; zero denominators give 0.  Works on the confusion cells (≤ classes² rows),
     so no raw row is ever collected."""
     cells = confusion_matrix(pairs, y, p)
-    per_true = cells.groupBy(F.col("y").alias("label")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp")
+    # each cell counts toward its true class (support, hits) and its predicted class:
+    # one aggregate over the exploded cells, no join between the two sides
+    n, hit = F.col("n"), F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0))
+    sides = F.array(
+        F.struct(F.col("y").alias("label"), n.alias("support"), hit.alias("tp"), F.lit(0).cast("bigint").alias("predicted")),
+        F.struct(F.col("p").alias("label"), F.lit(0).cast("bigint").alias("support"), F.lit(0).cast("bigint").alias("tp"),
+                 n.alias("predicted")),
     )
-    per_pred = cells.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("predicted"))
-    per = per_true.join(per_pred, on="label", how="full_outer").select(
-        "label",
-        F.coalesce("support", F.lit(0)).cast("bigint").alias("support"),
-        F.coalesce("tp", F.lit(0)).cast("double").alias("tp"),
-        F.coalesce("predicted", F.lit(0)).cast("double").alias("predicted"),
+    per = cells.select(F.explode(sides).alias("s")).select("s.*").groupBy("label").agg(
+        F.sum("support").cast("bigint").alias("support"),
+        F.sum("tp").cast("double").alias("tp"),
+        F.sum("predicted").cast("double").alias("predicted"),
     )
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
