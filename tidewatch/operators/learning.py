@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewatch.functions.scalar import max_probability
-from tidewatch.session import checkpoint_root
+from tidewatch.session import cut_lineage
 
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
 
@@ -31,6 +31,7 @@ def train_forest(
     weight_col: str | None = None,
     max_bins: int = 32,
     max_memory_mb: int | None = None,
+    materialize: bool = True,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
     assembly by name, forest with sqrt feature subsets.
@@ -48,7 +49,11 @@ def train_forest(
     )
     if weight_col:
         rf.setWeightCol(weight_col)
-    checkpoint_root(df.sparkSession)
+    # Fitting reads its input several times (label index, split candidates, training
+    # points): materialise only the needed columns once, in the shared checkpoint folder,
+    # instead of recomputing the upstream sample / lookup / join lineage on every pass.
+    if materialize:
+        df = cut_lineage(df.select(label, *features, *([weight_col] if weight_col else [])))
     # IndexToString needs the fitted labels, so fit in two steps.
     prep = Pipeline(stages=[indexer, assembler]).fit(df)
     labels = prep.stages[0].labels
