@@ -32,6 +32,10 @@ def test_cli_workflows(spark, tmp_path):
     cmp = spark.read.option("header", True).csv(str(tmp_path / "cmp"))
     assert cmp.count() == 4 and "결과분류" in cmp.columns
 
+    assert main(["ingest", log, str(tmp_path / "typed")]) == 0
+    assert main(["compare", str(tmp_path / "typed"), model, str(tmp_path / "cmp2"), "--typed"]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "cmp2")).count() == 4
+
     assert main(["kisti-map", log, str(tmp_path / "km")]) == 0
     assert spark.read.option("header", True).csv(str(tmp_path / "km")).count() == 4
     assert main(["kisti-extract", log, str(tmp_path / "kx")]) == 0
