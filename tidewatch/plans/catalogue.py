@@ -65,6 +65,7 @@ def q_flow_outcome_summary(spark, sf_dir):
 
 @register("flow_outcome_summary_by_alert_match", O.outcome_summary_sql(O.compare_sql("by_alert_match")))
 def q_flow_outcome_summary_match(spark, sf_dir):
+    """Flagship with the alert-match verdict: S8 F1 F2 FX2 A5 J2 X17 A6."""
     return R.outcome_summary(_compare(spark, sf_dir, "by_alert_match"))
 
 
@@ -75,12 +76,14 @@ _CMP_COLS = ("ord, flow_id, timestamp, src_ip, src_port, dest_ip, dest_port, pro
 @register("compare_by_alerted",
           O.compare_sql("by_alerted") + f"\nSELECT {_CMP_COLS}, {O.outcome_sql('ids_verdict', 'model_label')} AS outcome FROM cmp")
 def q_compare_by_alerted(spark, sf_dir):
+    """FX10 (verdict from flow.alerted): FX8 FX2 ML6 A5 J1 X15 X17, one row per flow event."""
     return _compare(spark, sf_dir, "by_alerted")
 
 
 @register("compare_by_alert_match",
           O.compare_sql("by_alert_match") + f"\nSELECT {_CMP_COLS}, {O.outcome_sql('ids_verdict', 'model_label')} AS outcome FROM cmp")
 def q_compare_by_alert_match(spark, sf_dir):
+    """FX10 (verdict = any alert for the flow id): FX8 FX2 ML6 A5 J1 J2 X17."""
     return _compare(spark, sf_dir, "by_alert_match")
 
 
@@ -101,6 +104,7 @@ SELECT CAST(n AS BIGINT) AS total, CAST(ids AS BIGINT) AS ids_detected, CAST(mod
        CASE WHEN n > 0 THEN round_even(CAST(model AS DOUBLE) * 100.0::DOUBLE / CAST(n AS DOUBLE), 4) END AS model_rate_pct
 FROM c""")
 def q_detection_rates(spark, sf_dir):
+    """Sensor and model detection rates over the comparison rows."""
     return R.detection_rates(_compare(spark, sf_dir, "by_alerted"))
 
 
@@ -109,6 +113,7 @@ _F18 = ", ".join(schemas.CIC_18)
 
 @register("flow_features_18", f"WITH {O.EVE_CTE}, {O.FLOW_BASE}\nSELECT ord, flow_id, {O.flow18_select()} FROM fb")
 def q_flow_features_18(spark, sf_dir):
+    """FX2: flow events -> the 18 model features."""
     return FX.flow_features_18(V.eve_events(spark, sf_dir))
 
 
@@ -126,6 +131,7 @@ _F11_SQL = ", ".join(schemas.CIC_11)
           f"WITH {O.EVE_CTE}, {O.FLOW_BASE}, f AS (SELECT ord, flow_id, {O.flow18_select()} FROM fb)\n"
           f"SELECT ord, flow_id, {_F11_SQL} FROM f")
 def q_flow_features_11(spark, sf_dir):
+    """FX3: the 11 features a flow log measures reliably."""
     return FX.flow_features_11(V.eve_events(spark, sf_dir))
 
 
@@ -142,6 +148,7 @@ SELECT ord, flow_id,
   CASE WHEN COALESCE(alerted, FALSE) THEN 'ALERT' ELSE 'BENIGN' END AS label
 FROM f""")
 def q_flow_features_16(spark, sf_dir):
+    """FX1: converted flow table (15 features + label from flow.alerted)."""
     return FX.flow_features_16(V.eve_events(spark, sf_dir))
 
 
@@ -167,12 +174,14 @@ SELECT ord, COALESCE(timestamp, '') AS timestamp, COALESCE(src_ip, '') AS src_ip
        COALESCE(CAST(severity AS VARCHAR), '') AS severity
 FROM eve WHERE event_type = 'alert'""")
 def q_alert_extract(spark, sf_dir):
+    """F2 + FX7: alert events -> alert table, missing values as ''."""
     return FX.alert_extract(V.eve_events(spark, sf_dir))
 
 
 @register("best_alert_per_flow", f"""WITH {O.EVE_CTE}, {O.BEST_ALERT}
 SELECT flow_id, severity, signature, category, CAST(n_alerts AS BIGINT) AS n_alerts FROM best""")
 def q_best_alert_per_flow(spark, sf_dir):
+    """A5 + X21: lowest severity per flow id (missing = 99), earliest on a tie."""
     return C.best_alert_per_flow(V.eve_events(spark, sf_dir))
 
 

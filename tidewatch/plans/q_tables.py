@@ -146,6 +146,7 @@ SELECT {KISTI_OUT} FROM kr
 WHERE "sourcePort" IS NOT NULL AND "destinationPort" IS NOT NULL AND protocol IS NOT NULL
   AND "eventCount" IS NOT NULL AND "packetSize" IS NOT NULL""")
 def q_kisti_duration_clean(spark, sf_dir):
+    """S5 S7 X5 F6 FX9: KISTI TSV read with null tokens, durations from compact timestamps, incomplete rows dropped."""
     path = _kisti_tsv(spark, sf_dir)
     raw = T.read_kisti_tsv(spark, path)
     return FX.kisti_with_duration(raw).drop("ord")
@@ -245,6 +246,7 @@ _RANKED = f"""ranked AS (
 @register("stratified_sample", f"""WITH {_RANKED}
 SELECT o_orderkey, o_orderpriority FROM ranked WHERE rk <= greatest(1, floor(n * 0.1))""")
 def q_stratified_sample(spark, sf_dir):
+    """M1: exactly max(1, floor(0.1 n)) hash-ordered rows per priority class."""
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return M.stratified_sample(orders, "o_orderpriority", "o_orderkey", 0.1, 42)
 
@@ -252,11 +254,13 @@ def q_stratified_sample(spark, sf_dir):
 @register("stratified_split", f"""WITH {_RANKED}
 SELECT o_orderkey, o_orderpriority, rk <= floor(n * 0.2) AS is_test FROM ranked""")
 def q_stratified_split(spark, sf_dir):
+    """M2: per class the floor(0.2 n) lowest-hash rows form the test part."""
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return M.stratified_split(orders, "o_orderpriority", "o_orderkey", 0.2, 42)
 
 
 @register("hash_split", f"""SELECT o_orderkey, ({_HASH}) % 100 < 20 AS is_test FROM orders""")
 def q_hash_split(spark, sf_dir):
+    """M3: test = md5(key ':42') mod 100 < 20 (partition-independent)."""
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey")
     return M.hash_split(orders, "o_orderkey", 20, 42)
