@@ -121,3 +121,8 @@ def test_shuffle_partitions_invariance(spark, pairs):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert before == after
+
+
+def test_confusion_matrix_wide(pairs):
+    wide = {r.y: (r["0"], r["1"], r["2"]) for r in R.confusion_matrix_wide(pairs, [0, 1, 2]).collect()}
+    assert wide == {0: (1, 1, 0), 1: (0, 2, 0), 2: (0, 1, 0)}

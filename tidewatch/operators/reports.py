@@ -218,6 +218,14 @@ def confusion_matrix(pairs: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return pairs.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def confusion_matrix_wide(pairs: DataFrame, labels: list, y: str = "y", p: str = "p") -> DataFrame:
+    """A14 (matrix form): one row per true class, one column per predicted class.  The class
+    list is given (e.g. the encoder's labels), so no pass collects pivot values."""
+    cells = confusion_matrix(pairs, y, p)
+    wide = cells.groupBy("y").pivot("p", labels).agg(F.sum("n"))
+    return wide.na.fill(0, subset=[str(c) for c in labels])
+
+
 def label_union(pairs: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Classes present in truth or prediction."""
     return pairs.select(F.col(y).alias("label")).union(pairs.select(F.col(p).alias("label"))).distinct()
