@@ -19,6 +19,7 @@ from tidewatch.functions.scalar import max_probability
 from tidewatch.session import cut_lineage
 
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
+MAX_BROADCAST_CLASSES = 1_000_000
 
 
 def train_forest(
@@ -77,14 +78,16 @@ def _histogram_buffer_mb(spark) -> int:
 def class_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """ML5: weight = n / (k · n_class).  The per-class counts are one row per class; the
     totals over them use an unpartitioned window over those k rows only, and the k-row
-    weight table is broadcast back (bounded by the class count)."""
+    weight table is broadcast back after its row count has been checked."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     everything = Window.partitionBy()
     weights = counts.select(
         label,
         (F.sum("_nc").over(everything).cast("double") / (F.count(F.lit(1)).over(everything) * F.col("_nc"))).alias(out),
     )
-    return df.join(F.broadcast(weights), on=label, how="left")
+    # broadcast only after checking the row count (one row per class); a normal join beyond it
+    small = weights.count() <= MAX_BROADCAST_CLASSES
+    return df.join(F.broadcast(weights) if small else weights, on=label, how="left")
 
 
 def score(model: PipelineModel, df: DataFrame, pct_digits: int | None = 2) -> DataFrame:
