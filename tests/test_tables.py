@@ -109,3 +109,19 @@ def test_row_accounting_observe(spark):
     watched = CL.with_row_accounting(df, obs, non_finite=F.col("x") == float("inf"), missing=F.col("x").isNull())
     assert CL.clean_finite(watched).count() == 1
     assert obs.get == {"rows": 3, "non_finite": 1, "missing": 1}
+
+
+def test_merge_excludes_output_file(spark, flow_folder):
+    import os
+
+    _csv(os.path.join(flow_folder, "combined.csv"), HEADERS, [["1", "1", "1", "BENIGN"]] * 5)
+    df = T.read_labelled_flows(spark, flow_folder, headers=HEADERS, exclude="combined.csv")
+    assert df.count() == 8
+
+
+def test_sink_in_input_order(spark, tmp_path):
+    from tidewatch.sinks import in_input_order
+
+    p = write_lines(tmp_path / "t.tsv", ["a\tb\tc"] + [f"{i}\tx\ty" for i in (5, 3, 9, 1)])
+    df = T.read_tsv_tolerant(spark, p, ["a", "b", "c"]).repartition(3)
+    assert [r.a for r in in_input_order(df).collect()] == ["5", "3", "9", "1"]
