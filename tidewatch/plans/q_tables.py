@@ -95,8 +95,8 @@ SELECT label, CAST(count(*) AS BIGINT) AS n_rows,
   CAST(sum(total_fwd_packets) AS DOUBLE) AS sum_fwd_packets
 FROM cic GROUP BY label""")
 def q_merge_files(spark, sf_dir):
-    """Scan every *.csv part file of a folder (explicit schema, both inf spellings), union,
-    trim header names; profile the merged rows per label."""
+    """Scan every *.csv part file of a folder (explicit schema, both inf
+    spellings), union, trim header names; profile the merged rows per label."""
     path = _cic_csv_folder(spark, sf_dir)
     df = _snake(T.read_labelled_flows(spark, path, headers=V.CIC_VIEW_HEADERS))
     return df.groupBy("label").agg(
