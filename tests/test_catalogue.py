@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidewatch.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "events", "documents", "labels"]
@@ -33,7 +34,7 @@ def _rows(rows, cols):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLE))
 def test_query_matches_sql(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])

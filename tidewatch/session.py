@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,31 +29,25 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (HDFS, object store, shared disk).
 
-    On a cluster this must be set (HDFS / object store).  Only when it is unset — as in
-    unit tests on one machine — a private folder is created and registered.
+    A local master, as in unit tests, may go without: its one process then gets a private folder.
+    On a cluster a missing setting is an error, since no folder of the driver is shared.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (never a machine-local temp dir)."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = f"{root}/tidewatch/{kind}/{uuid.uuid4().hex}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh path under the shared checkpoint folder; the writer that uses it creates it."""
+    return f"{checkpoint_root(spark)}/tidewatch/{kind}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
