@@ -5,12 +5,16 @@ from __future__ import annotations
 import corpus_pipeline
 
 from tidewatch.llm.id_store import op10_id_store
+from tidewatch.llm.language_id import op8_language_id
+from tidewatch.llm.lm_ctw import op6_lm_scores
 from tidewatch.llm.packing import op2_packing
 from tidewatch.llm.token_count import op3_token_counts
 
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
+    "op6_lm_scores": op6_lm_scores,
+    "op8_language_id": op8_language_id,
     "op10_id_store": op10_id_store,
 }
 ORACLE: dict[str, str] = {}
