@@ -7,12 +7,16 @@ import corpus_pipeline
 from tidewatch.llm.id_store import op10_id_store
 from tidewatch.llm.language_id import op8_language_id
 from tidewatch.llm.lm_ctw import op6_lm_scores
+from tidewatch.llm.ngram_join import op1_ngram_join
 from tidewatch.llm.packing import op2_packing
+from tidewatch.llm.pii import op5_pii
 from tidewatch.llm.token_count import op3_token_counts
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
+    "op5_pii": op5_pii,
     "op6_lm_scores": op6_lm_scores,
     "op8_language_id": op8_language_id,
     "op10_id_store": op10_id_store,
