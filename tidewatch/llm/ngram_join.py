@@ -15,8 +15,10 @@ lists short), and the rest by hash.
 
 Sets that meet are not paired there.  Each list names its smallest class; the (class, smallest)
 edges give candidate clusters, whose number of rows is linear in the lists.  Every linked pair lies
-in one cluster.  Clusters are joined exactly inside tasks, by counting overlaps through the
-cluster's own inverted lists; clusters beyond a task's bound are dealt as pairs of blocks.  Tasks
+in one cluster.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
+leave room for a link with another; the clusters that are left are joined exactly, by counting
+overlaps through their own inverted lists, on texts read again.  Clusters beyond a task's bound are
+dealt as pairs of blocks.  Tasks
 return stars and link counts, never pairs.  Components of the stars are the result.
 """
 
@@ -180,19 +182,20 @@ def entries_of(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
     return classes.select("uid", "n", "prefix").mapInArrow(run, "key long, uid long")
 
 
-# --- exact join inside a task -------------------------------------------------------------
+# --- joins inside tasks -------------------------------------------------------------------
 
 
-def joined(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def joined(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, may_link) -> tuple[np.ndarray, np.ndarray]:
     """(smallest index reached, weighted number of links) of each set, by counting overlaps.
 
+    ``may_link(x, others, overlaps)`` says which of the others, all before x, link with x.
     ``side``: 0 and 1 pair only across, 2 pairs with its like."""
     n = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), n)
     every = np.concatenate(sets)
     order = np.argsort(every, kind="stable")
     token = np.concatenate([[0], np.cumsum(every[order][1:] != every[order][:-1])])
-    post = owner[order]  # documents of each token, ascending
+    post = owner[order]  # sets of each token, ascending
     head = np.append(np.flatnonzero(np.diff(token, prepend=-1)), len(post))
     of = np.empty(len(every), np.int64)
     of[order] = token
@@ -205,7 +208,6 @@ def joined(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, t: Frac
             x = root[x]
         return x
 
-    num, den = t.numerator, t.denominator
     for x in range(1, len(sets)):
         own = of[at[x]:at[x + 1]]
         s, e = head[own], head[own + 1]
@@ -217,8 +219,7 @@ def joined(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, t: Frac
         idx = np.repeat(s - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         both = np.bincount(post[idx], minlength=len(sets))[:x]
         cand = np.flatnonzero(both)
-        ok = both[cand] * den >= num * (n[x] + n[cand] - both[cand])
-        ok &= (side[cand] != side[x]) | (side[x] == 2)
+        ok = may_link(x, cand, both[cand]) & ((side[cand] != side[x]) | (side[x] == 2))
         for y in cand[ok].tolist():
             links[x] += weight[y]
             links[y] += weight[x]
@@ -228,31 +229,73 @@ def joined(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, t: Frac
     return np.array([find(i) for i in range(len(sets))]), links
 
 
-def _task(words: int, t: Fraction):
+def _bounded(t: Fraction):
+    """Pairs whose prefixes leave room for a link.
+
+    Up to the smaller of the two last prefix members all common members are counted; beyond it
+    that set has only its members behind the prefix."""
+    num, den = t.numerator, t.denominator
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("uid")
-        sets = [np.frombuffer(s, "<u8") for s in pdf["members"]]
-        uid = pdf["uid"].to_numpy(np.int64)
-        root, links = joined(sets, pdf["size"].to_numpy(np.int64), pdf["side"].to_numpy(), t)
+        pre = [np.frombuffer(x, "<u8") for x in pdf["payload"]]
+        n, uid = pdf["n"].to_numpy(np.int64), pdf["uid"].to_numpy(np.int64)
+        behind = n - np.array([len(x) for x in pre])
+
+        def may_link(x, y, both):
+            most = np.minimum(both + np.maximum(behind[x], behind[y]), np.minimum(n[x], n[y]))
+            return most * den >= num * (n[x] + n[y] - most)
+
+        root, links = joined(pre, np.ones(len(n), np.int64), pdf["side"].to_numpy(), may_link)
+        return pd.DataFrame({"uid": uid, "root": uid[root], "links": links})[links > 0]
+
+    return run
+
+
+def _exact(words: int, t: Fraction):
+    num, den = t.numerator, t.denominator
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = gram_sets(pa.array(pdf["payload"].tolist(), pa.string()), words)
+        # one text of each class: a doc_id that names several texts brings them all
+        own = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == c for s, c in zip(sets, pdf["class"])]
+        pdf = pdf.assign(k=np.arange(len(pdf)))[own].drop_duplicates("uid").sort_values("uid")
+        if not len(pdf):
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("uid", "root", "links")})
+        sets, uid = [sets[k] for k in pdf["k"]], pdf["uid"].to_numpy(np.int64)
+        n = np.array([len(s) for s in sets], np.int64)
+        may_link = lambda x, y, both: both * den >= num * (n[x] + n[y] - both)
+        root, links = joined(sets, pdf["size"].to_numpy(np.int64), pdf["side"].to_numpy(), may_link)
         return pd.DataFrame({"uid": uid, "root": uid[root], "links": links})
 
     return run
 
 
-def members_of(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """The sets of chosen classes, read again from one document each: (uid, size, n, cluster, members)."""
+def with_deal(chosen: DataFrame) -> DataFrame:
+    """``chosen`` (uid, n, cluster, ...) with ``deal``: the tasks (c, i, j, side) that each set goes to.
+
+    Small clusters share tasks; a cluster beyond a task's bound is cut into blocks by hash and
+    every pair of blocks is a task."""
+    total = chosen.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("grams"))
+    blocks = F.when((F.col("sets") > TASK_SETS) | (F.col("grams") > TASK_GRAMS), F.greatest(F.ceil(2 * F.col("sets") / TASK_SETS), F.ceil(2 * F.col("grams") / TASK_GRAMS))).otherwise(F.lit(1))
+    total = written(total.select("cluster", blocks.cast("int").alias("blocks"), "sets"), "cluster_sizes")
+    groups = 1 + (total.where("blocks = 1").agg(F.sum("sets")).first()[0] or 0) // GROUP_SETS
+    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
+    alone = F.struct((-1 - F.pmod(F.xxhash64("cluster"), F.lit(groups))).alias("c"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"))
+    pair = lambda o: F.struct(F.col("cluster").alias("c"), F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"),
+                              F.when(o == F.col("own"), 2).when(o > F.col("own"), 0).otherwise(1).alias("side"))
+    deal = F.when(F.col("blocks") == 1, F.array(alone)).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair))
+    return chosen.join(total.select("cluster", "blocks"), "cluster").withColumn("own", own).withColumn("deal", deal).drop("own", "blocks")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text"):
-            sets = gram_sets(texts_of(b), words)
-            own = np.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() == c for s, c in zip(sets, b.column("class").to_pylist())], dtype=bool)
-            cols = [b.column(c) for c in ("uid", "size", "n", "cluster")]
-            out = pa.RecordBatch.from_arrays([*cols, pa.array([s.tobytes() for s in sets], pa.binary())], names=["uid", "size", "n", "cluster", "members"])
-            yield out.filter(pa.array(own))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["rep"])).select("uid", "size", "n", "cluster", "class", "text")
-    return rows.mapInArrow(run, "uid long, size long, n long, cluster long, members binary").dropDuplicates(["uid"])
+def stars_of(dealt: DataFrame, run) -> DataFrame:
+    """(uid, root, links) of the tasks' joins over (deal, uid, n, size, class, payload)."""
+    rows = dealt.withColumn("d", F.explode("deal")).select("d.*", "uid", "n", "size", "class", "payload")
+    return written(rows.groupBy("c", "i", "j").applyInPandas(run, "uid long, root long, links long"), "stars")
+
+
+def clusters_of(edges: DataFrame) -> DataFrame:
+    return written(components(edges).select(F.col("node").alias("uid"), F.col("root").alias("cluster")), "clusters")
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: str = "0.8") -> DataFrame:
@@ -281,19 +324,13 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: str = "0.8")
     entries = entries_of(able, t, small)
     lists = entries.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last").select("key", "first")
     met = entries.join(lists, "key").where("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
-    cluster = written(components(met).select(F.col("node").alias("uid"), F.col("root").alias("cluster")), "clusters")
 
-    chosen = classes.select("uid", "class", "rep", "size", "n").join(cluster, "uid")
-    total = chosen.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("grams"))
-    blocks = F.when((F.col("sets") > TASK_SETS) | (F.col("grams") > TASK_GRAMS), F.greatest(F.ceil(2 * F.col("sets") / TASK_SETS), F.ceil(2 * F.col("grams") / TASK_GRAMS))).otherwise(F.lit(1))
-    total = written(total.select("cluster", blocks.cast("int").alias("blocks"), "sets"), "cluster_sizes")
-    groups = 1 + (total.where("blocks = 1").agg(F.sum("sets")).first()[0] or 0) // GROUP_SETS
-    full = members_of(docs, chosen, words).join(total.select("cluster", "blocks"), "cluster")
-    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
-    deal = F.when(F.col("blocks") == 1, F.array(F.struct((-1 - F.pmod(F.xxhash64("cluster"), F.lit(groups))).alias("c"), F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.col("cluster").alias("c"), F.least(o, own).alias("i"), F.greatest(o, own).alias("j"))))
-    dealt = full.withColumn("own", own).withColumn("deal", F.explode(deal)).select("deal.*", "uid", "size", "members", F.when(F.col("deal.i") == F.col("deal.j"), 2).when(F.col("own") == F.col("deal.i"), 0).otherwise(1).alias("side"))
-    stars = written(dealt.groupBy("c", "i", "j").applyInPandas(_task(words, t), "uid long, root long, links long"), "stars")
+    base = classes.select("uid", "n", "size", "class", F.col("prefix").alias("payload"))
+    near = stars_of(with_deal(base.join(clusters_of(met), "uid")), _bounded(t))
+    chosen = classes.select("uid", "n", "size", "class", "rep").join(clusters_of(near.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "uid")
+    chosen = with_deal(chosen).drop("cluster")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("payload"))
+    stars = stars_of(texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["rep"])), _exact(words, t))
     root = components(stars.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     links = stars.groupBy("uid").agg(F.sum("links").alias("links"))
 
