@@ -13,9 +13,9 @@ lists short), and the rest by hash.
 * The boundary between small and large minimises the estimated cost: subsets enumerated against
   list entries times the expected list length.
 
-Sets that meet are not paired there.  Each list names its smallest class; the (class, smallest)
-edges give candidate clusters, whose number of rows is linear in the lists.  Every linked pair lies
-in one cluster.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
+A list of at most ``SHORT_LIST`` sets gives its pairs, which are kept only if enough of their list
+entries agree; a longer list gives one edge from each set to its smallest.  So the rows stay linear
+in the list entries.  The edges' components are candidate clusters: every linked pair lies in one.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
 leave room for a link with another; the clusters that are left are joined exactly, by counting
 overlaps through their own inverted lists, on texts read again.  Clusters beyond a task's bound are
 dealt as pairs of blocks.  Tasks
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import mix64, small_batches, split_words, table, texts_of, written
 from tidewatch.llm.components import components
 
-HEAVY_MOST = 500_000  # n-grams whose counts go to all tasks: 8 MB
+HEAVY_MOST = 1_500_000  # n-grams whose counts go to all tasks: 24 MB
+SHORT_LIST = 32  # lists up to this length are paired one by one
 TASK_SETS = 4000  # sets joined in one task
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
 GROUP_SETS = 1000  # sets of small clusters that share a task, on average
@@ -102,7 +103,7 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     from tidewatch.llm.common import importable
 
     importable(docs.sparkSession)
-    rows = docs.select("text").mapInArrow(_recurring(words), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 4")
+    rows = docs.select("text").mapInArrow(_recurring(words), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     rows = written(rows, "frequent")
     sizes = rows.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).count().collect()  # at most 64 rows
     level, room = 64, HEAVY_MOST
@@ -159,27 +160,59 @@ def boundary(sizes: dict[int, int], t: Fraction, list_length: float) -> int:
     return min([0, *(2**i for i in range(3, 13))], key=lambda x: (cost(x), x))
 
 
-def keys_of(n: int, prefix: np.ndarray, t: Fraction, small: int) -> np.ndarray:
-    """The keys a set is found by: 2-subsets of the prefix, members of the prefix, or both."""
-    out = []
+def keys_of(n: int, prefix: np.ndarray, t: Fraction, small: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys a set is found by: (2-subsets of its prefix, members of its prefix)."""
+    subsets = members = prefix[:0]
     if n <= small and least_overlap(n, t) >= 2:
         i, j = np.triu_indices(len(prefix), 1)
         lo, hi = np.minimum(prefix[i], prefix[j]), np.maximum(prefix[i], prefix[j])
-        out.append(mix64(mix64(lo) * np.uint64(0x9E3779B97F4A7C15) + hi + np.uint64(2)))
+        subsets = mix64(mix64(lo) * np.uint64(0x9E3779B97F4A7C15) + hi + np.uint64(2))
     if n >= least_overlap(small + 1, t) or least_overlap(n, t) < 2:
-        out.append(prefix[:prefix_length(n, t, 1)])
-    return np.concatenate(out) if out else prefix[:0]
+        members = prefix[:prefix_length(n, t, 1)]
+    return subsets, members
 
 
 def entries_of(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
+    """(key, uid, n) of every list entry; n is negative in the lists of 2-subsets."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "prefix", 1 << 20):
-            uid, n, pre = (b.column(c).to_pylist() for c in ("uid", "n", "prefix"))
-            keys = [keys_of(m, np.frombuffer(p, "<u8"), t, small) for m, p in zip(n, pre)]
-            ids = np.repeat(np.array(uid, np.int64), [len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids)], names=["key", "uid"])
-
-    return classes.select("uid", "n", "prefix").mapInArrow(run, "key long, uid long")
+            out: list[tuple[np.ndarray, int, int]] = []
+            for uid, n, p in zip(*(b.column(c).to_pylist() for c in ("uid", "n", "prefix"))):
+                subsets, members = keys_of(n, np.frombuffer(p, "<u8"), t, small)
+                out += [(subsets, uid, -n), (members, uid, n)]
+            many = [len(k) for k, _, _ in out]
+            cols = [np.concatenate([k for k, _, _ in out]).view(np.int64), np.repeat(np.array([u for _, u, _ in out], np.int64), many), np.repeat(np.array([n for _, _, n in out], np.int64), many)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "uid", "n"])
+
+    return classes.select("uid", "n", "prefix").mapInArrow(run, "key long, uid long, n long")
+
+
+def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
+    """Edges (a, b) whose components hold every linked pair, linear in the number of list entries.
+
+    Lists of at most SHORT_LIST sets give their pairs, and a pair is kept if its common list
+    entries, with what longer lists and the members behind both prefixes may add, leave room for a
+    link (a common 2-subset always does).  A longer list gives one edge of each set to its smallest."""
+    entries = entries_of(classes, t, small)
+    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("uid").alias("first")).where("many > 1")
+    found = entries.join(sizes, "key")
+    short = found.where(F.col("many") <= SHORT_LIST).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("uid", "n"))).alias("u"))
+    pairs = F.flatten(F.transform("u", lambda x, i: F.transform(F.slice("u", i + 2, SHORT_LIST), lambda y: F.struct(x["uid"].alias("b"), y["uid"].alias("a"), x["n"].alias("nb"), y["n"].alias("na")))))
+    pairs = short.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count_if(F.col("p.na") > 0).alias("both"), F.max(F.abs("p.na")).alias("na"), F.max(F.abs("p.nb")).alias("nb"), F.bool_or(F.col("p.na") < 0).alias("sure"))
+    long = written(found.where((F.col("many") > SHORT_LIST) & (F.col("uid") != F.col("first"))).select("uid", "first"), "long_lists")
+    first = long.groupBy(F.col("first").alias("uid")).count()  # at least the lists that it begins
+    more = long.groupBy("uid").count().unionByName(first).groupBy("uid").agg(F.sum("count").alias("more"))
+    more_of = lambda c: more.select(F.col("uid").alias(c), F.col("more").alias(f"more_{c}"))
+    pairs = pairs.join(more_of("a"), "a", "left").join(more_of("b"), "b", "left")
+    num, den = t.numerator, t.denominator
+    need = lambda n: F.ceil(F.lit(num) * n / F.lit(den))  # noqa: E731  at most what least_overlap says, see below
+    behind = lambda n: need(n) - 1  # noqa: E731  members behind the first n - need + 1
+    most = F.col("both") + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0))) + F.greatest(behind(F.col("na")), behind(F.col("nb"))) + 1  # one more: division is in floating point
+    most = F.least(most, "na", "nb")
+    room = most * F.lit(den) >= F.lit(num) * (F.col("na") + F.col("nb") - most)
+    near = pairs.where(F.col("sure") | room).select("a", "b")
+    return near.unionByName(long.select(F.col("uid").alias("a"), F.col("first").alias("b")))
 
 
 # --- joins inside tasks -------------------------------------------------------------------
@@ -321,10 +354,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: str = "0.8")
     list_length = 1.0 + float(count.sum()) / max(1.0, float(sum(n * k for n, k in sizes.items())))
     small = boundary(sizes, t, list_length)
 
-    entries = entries_of(able, t, small)
-    lists = entries.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last").select("key", "first")
-    met = entries.join(lists, "key").where("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
-
+    met = candidate_edges(able, t, small)
     base = classes.select("uid", "n", "size", "class", F.col("prefix").alias("payload"))
     near = stars_of(with_deal(base.join(clusters_of(met), "uid")), _bounded(t))
     chosen = classes.select("uid", "n", "size", "class", "rep").join(clusters_of(near.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "uid")
