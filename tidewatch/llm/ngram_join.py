@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import mix64, small_batches, split_words, table, texts_of, written
 from tidewatch.llm.components import components
 
-HEAVY_MOST = 1_500_000  # n-grams whose counts go to all tasks: 24 MB
+HEAVY_MOST = 300_000  # n-grams whose counts go to all tasks: 5 MB
 SHORT_LIST = 32  # lists up to this length are paired one by one
 TASK_SETS = 4000  # sets joined in one task
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
