@@ -34,22 +34,20 @@ _UNIT = "|".join(UNITS)
 
 # (pattern, replacement) in order; the same text serves Java and RE2 but for the group mark.
 STEPS = [
-    (r"[@#~]", " "),
-    (r"([\p{Ll},;] )(\p{Lu}\p{L}+)", r"\1@\2"),
-    (r"([0-9]+([.,][0-9]+)*)", r"#\1"),
-    (r"[^\p{L}\p{N}@#.,]+", " "),
-    (r"[.,]+( |$)", " "),
+    (r"([a-zß-öø-ÿ,;] )(\p{Lu}\p{L}+)", r"\1@\2"),
+    (r"([0-9])[.,]([0-9])", r"\1_\2"),
+    (r"([0-9][0-9_]*)", r"#\1"),
+    (r"[^\p{L}\p{N}@#_]+", " "),
 ]
-UNIT_STEP = (rf"(#[^ ]+) +({_UNIT})( |$)", r"\1 ~\2 ")
+UNIT_STEP = (rf"(#[^ ]+) ({_UNIT})( |$)", r"\1 ~\2\3")
 
 
 def marked(text: Column) -> Column:
     """The tokens of a text with type marks, one blank between them."""
-    s = F.coalesce(text.cast("string"), F.lit(""))
+    s = F.translate(F.coalesce(text.cast("string"), F.lit("")), "@#~_", "    ")
     for pattern, to in STEPS:
         s = F.regexp_replace(s, pattern, to.replace("\\", "$"))
-    s = F.regexp_replace(F.lower(s), UNIT_STEP[0], UNIT_STEP[1].replace("\\", "$"))
-    return F.trim(F.regexp_replace(s, " +", " "))
+    return F.trim(F.regexp_replace(F.lower(s), UNIT_STEP[0], UNIT_STEP[1].replace("\\", "$")))
 
 
 def template(tokens: Column) -> Column:
@@ -57,9 +55,14 @@ def template(tokens: Column) -> Column:
     return F.regexp_replace(tokens, "([@#~])[^ ]*", "$1")
 
 
-def _windows(tokens: Column, size: Column) -> Column:
-    """Hashes of all windows of an array of template tokens."""
-    return F.transform(F.sequence(F.lit(1), F.size(tokens) - size + 1), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, size), " ")))
+def _windows(hashes: Column, size: Column) -> Column:
+    """Hashes of all windows of an array of token hashes; none if it is shorter."""
+    own = F.transform(F.sequence(F.lit(1), F.size(hashes) - size + 1), lambda i: F.xxhash64(F.slice(hashes, i, size)))
+    return F.when(F.size(hashes) >= size, own)
+
+
+def _hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda x: F.xxhash64(x))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -67,7 +70,8 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     t = F.split(template(F.col("m")), " ")
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), marked(F.col("text")).alias("m")).where(F.length("m") > 0)
     rows = rows.withColumn("t", t).withColumn("size", F.least(F.size("t"), F.lit(WINDOW))).where(F.col("size") > LITERALS)
-    rows = rows.select("item_id", "t", "size", F.posexplode(_windows(F.col("t"), F.col("size"))).alias("at", "h"))
+    rows = rows.withColumn("th", _hashes(F.col("t")))
+    rows = rows.select("item_id", "t", "size", F.posexplode(_windows(F.col("th"), F.col("size"))).alias("at", "h"))
     plain = F.size(F.filter(F.slice("t", F.col("at") + 1, F.col("size")), lambda x: ~x.rlike("^[@#~]$")))
     return rows.where(plain >= LITERALS).select("h", "item_id", "at", "size").distinct()
 
@@ -85,8 +89,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = None
     for size in sizes or [WINDOW]:
         t = F.split(template(marked(F.col("text"))), " ")
-        w = rows.select("doc_id", "t64", t.alias("t")).where(F.size("t") >= size)
-        w = w.select("doc_id", "t64", F.posexplode(_windows(F.col("t"), F.lit(size))).alias("p", "h"))
+        # no filter on the number of tokens: pushed down, it would parse every text twice
+        w = rows.select("doc_id", "t64", _hashes(t).alias("th"))
+        w = w.select("doc_id", "t64", F.posexplode(_windows(F.col("th"), F.lit(size))).alias("p", "h"))
         own = w.join(small.where(F.col("size") == size), "h").select("doc_id", "t64", "item_id", "at", "p", "size")
         hits = own if hits is None else hits.unionByName(own)
     lines = written(hits.groupBy("doc_id", "t64", "item_id", (F.col("p") - F.col("at")).alias("shift"))
@@ -116,11 +121,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marked_sql(col: str) -> str:
-    s = f"coalesce({col}, '')"
+    s = f"translate(coalesce({col}, ''), '@#~_', '    ')"
     for pattern, to in STEPS:
         s = f"regexp_replace({s}, '{pattern}', '{to}', 'g')"
-    s = f"regexp_replace(lower({s}), '{UNIT_STEP[0]}', '{UNIT_STEP[1]}', 'g')"
-    return f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
+    return f"trim(regexp_replace(lower({s}), '{UNIT_STEP[0]}', '{UNIT_STEP[1]}', 'g'))"
 
 
 def _window_sql(src: str, key: str) -> str:
