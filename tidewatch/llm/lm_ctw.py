@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import mix64, small_batches, split_words, table, texts_of, written
 
 DEPTH = 4  # context bytes
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 SLICE_ROWS = 4096  # documents a slice, for the number of slices
 TAKE = 4 << 20  # text bytes handled at a time
 EDGE = 0xFF
@@ -55,6 +55,18 @@ def grams(texts: pa.Array, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     return key, off
 
 
+def packed(key: np.ndarray, depth: int) -> bytes:
+    """Sorted grams byte plane by byte plane: the high planes are runs that shuffle files compress."""
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :depth + 1].T).tobytes()
+
+
+def unpacked(raw: bytes, depth: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(depth + 1, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :depth + 1] = planes.T
+    return out.view("<u8").ravel()
+
+
 def lgamma(x: np.ndarray) -> np.ndarray:
     """log Gamma of positive numbers: Stirling's series at x + 8."""
     y = x + 8.0
@@ -140,8 +152,8 @@ def top_tables(rows: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"a1": a1, "b1": b1, "w1": w1, "a0": a0, "b0": b0, "w0": w0}
 
 
-def _merged(frames: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    key = np.concatenate([np.frombuffer(k, "<u8") for k in frames["keys"]])
+def _merged(frames: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    key = np.concatenate([unpacked(k, depth) for k in frames["keys"]])
     n = np.concatenate([np.frombuffer(t, "<u4") for t in frames["train"]])
     uniq, inv = np.unique(key, return_inverse=True)
     return uniq, np.bincount(inv, n, len(uniq))
@@ -161,21 +173,21 @@ def _ask(slices: int, depth: int):
                 n = np.bincount(codes, np.repeat(learn, np.diff(off)), len(uniq)).astype("<u4")
                 del key, codes
                 at = (mix64(uniq >> np.uint64(8 * (depth - 1))) % np.uint64(slices)).astype(np.int64)
-                out += _dealt(0, block, at, uniq.astype("<u8"), n)
+                out += _dealt(0, block, at, uniq.astype("<u8"), n, depth)
                 codes, words, off = split_words(pc.ascii_lower(texts))
                 n = np.bincount(codes, np.repeat(learn, np.diff(off)), len(words)).astype("<u4")
                 raw = [w.encode() for w in words.to_pylist()]
                 at = np.fromiter((zlib.crc32(w) % slices for w in raw), np.int64, len(raw))
-                out += _dealt(1, block, at, np.array(raw, dtype=object), n)
+                out += _dealt(1, block, at, np.array(raw, dtype=object), n, depth)
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     return run
 
 
-def _dealt(kind: int, block: int, at: np.ndarray, keys: np.ndarray, n: np.ndarray) -> list[dict]:
+def _dealt(kind: int, block: int, at: np.ndarray, keys: np.ndarray, n: np.ndarray, depth: int) -> list[dict]:
     order = np.argsort(at, kind="stable")
     cut = np.flatnonzero(np.diff(at[order])) + 1
-    pack = (lambda k: b" ".join(k)) if kind else (lambda k: np.sort(k).tobytes())
+    pack = (lambda k: b" ".join(k)) if kind else (lambda k: packed(k, depth))
     out = []
     for own in np.split(order, cut) if len(order) else []:
         if not kind:
@@ -204,8 +216,8 @@ def _score(depth: int, tokens: float, distinct: float, train_docs: int):
 
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         g, w = answers[answers["kind"] == 0], answers[answers["kind"] == 1]
-        key = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(k, "<u8") for k in g["keys"])])
-        val = np.concatenate([np.zeros(0), *(np.frombuffer(v, "<f8") for v in g["vals"])])
+        key = np.concatenate([np.zeros(0, "<u8"), *(unpacked(k, depth) for k in g["keys"])])
+        val = np.concatenate([np.zeros(0), *(np.frombuffer(v, "<f4") for v in g["vals"])])
         order = np.argsort(key, kind="stable")
         key, val = key[order], val[order]
         count = {x: n for k, v in zip(w["keys"], w["vals"]) for x, n in zip(k.split(b" "), np.frombuffer(v, "<f8").tolist())}
@@ -249,16 +261,16 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     tokens, distinct = (np.sum(sums, axis=0) if sums else np.zeros(2)) + [train_docs, int(train_docs > 0)]
 
     def sums_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        return Subtrees(*_merged(pdf), depth).depth1()
+        return Subtrees(*_merged(pdf, depth), depth).depth1()
 
     rows = gram.select("slice", "keys", "train").groupBy("slice").applyInPandas(sums_of, "node long, a double, b double, below double")
     top = top_tables(rows.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("a", "b", "below"))).toPandas())  # at most 256 x 255 rows
     top = spark.sparkContext.broadcast(top)
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, n = _merged(pdf)
+        key, n = _merged(pdf, depth)
         p = Subtrees(key, n, depth).log10(key, top.value, depth)
-        vals = [p[np.searchsorted(key, np.frombuffer(k, "<u8"))].astype("<f8").tobytes() for k in pdf["keys"]]
+        vals = [p[np.searchsorted(key, unpacked(k, depth))].astype("<f4").tobytes() for k in pdf["keys"]]
         return pd.DataFrame({"kind": 0, "block": pdf["block"], "keys": pdf["keys"], "vals": vals})
 
     answers = gram.groupBy("slice").applyInPandas(answer, ANSWER).unionByName(words.where("block >= 0"))
