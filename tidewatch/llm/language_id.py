@@ -31,23 +31,39 @@ FIT_WORDS = 36
 STRETCHES = 3  # of different documents, in one training row
 LEXICON = 200  # frequent words of each language
 STEPS = 60
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 LETTER = regex.compile(r"\p{L}")
 
 
+_HASHED: dict[str, int] = {}
+
+
+def _hashed(keys: list[str]) -> list[int]:
+    if len(_HASHED) > MEMO_WORDS:
+        _HASHED.clear()
+    out = list(map(_HASHED.get, keys))
+    for i, h in enumerate(out):
+        if h is None:
+            out[i] = _HASHED[keys[i]] = zlib.crc32(keys[i].encode()) & ((1 << BITS) - 1)
+    return out
+
+
 def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
     """Hashed features of a word; none for a word without letters."""
-    w = word.lower()
-    core = "".join(c for c in w if c.isalpha())
-    if not core:
-        return []
-    own = [f"w{core}"] if len(core) <= 24 else []
-    own += [f"p{core[:k]}" for k in (1, 2, 3)] + [f"s{core[-k:]}" for k in (1, 2, 3)]
+    core = word.lower()
+    if not core.isalpha():
+        core = "".join(filter(str.isalpha, core))
+        if not core:
+            return []
     part = core[:48]  # n-grams of a word beyond any natural length repeat
-    own += [f"b{part[i:i + 2]}" for i in range(len(part) - 1)] + [f"t{part[i:i + 3]}" for i in range(len(part) - 2)]
+    n = len(part)
+    own = ["p" + core[:1], "p" + core[:2], "p" + core[:3], "s" + core[-1:], "s" + core[-2:], "s" + core[-3:]]
+    own += ["b" + part[i:i + 2] for i in range(n - 1)] + ["t" + part[i:i + 3] for i in range(n - 2)]
     own += [f"l{k}" for k in lexicon.get(core, ())]
-    mask = (1 << BITS) - 1
-    return [zlib.crc32(x.encode()) & mask for x in own]
+    out = _hashed(own)
+    if len(core) <= 24:
+        out.append(zlib.crc32(b"w" + core.encode()) & ((1 << BITS) - 1))
+    return out
 
 
 def forward_backward(emit: np.ndarray, off: np.ndarray, trans: np.ndarray, init: np.ndarray) -> np.ndarray:
@@ -90,13 +106,19 @@ class Field:
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(scores of each word, whether it has a letter)."""
         got = list(map(self.memo.get, words))
-        for i, g in enumerate(got):
-            if g is None:
-                f = features(words[i], self.lexicon)
-                score = self.weights[f].sum(axis=0) if f else np.zeros(len(self.labels))
-                got[i] = np.append(score, float(LETTER.search(words[i]) is not None)).astype("<f4").tobytes()
-                if len(words[i]) <= 64:
-                    self.memo[words[i]] = got[i]
+        new = [i for i, g in enumerate(got) if g is None]
+        feats = [features(words[i], self.lexicon) for i in new]
+        size = np.fromiter(map(len, feats), np.int64, len(feats))
+        flat = np.fromiter((x for f in feats for x in f), np.int64, int(size.sum()))
+        total = np.concatenate([np.zeros((1, len(self.labels))), np.cumsum(self.weights[flat], axis=0, dtype=np.float64)])
+        end = np.cumsum(size)
+        rows = np.hstack([total[end] - total[end - size], (size > 0)[:, None]]).astype("<f4")
+        for i, f, row in zip(new, feats, rows):
+            if not f:
+                row[-1] = LETTER.search(words[i]) is not None
+            got[i] = row.tobytes()
+            if len(words[i]) <= 64:
+                self.memo[words[i]] = got[i]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         table_ = np.frombuffer(b"".join(got), "<f4").reshape(len(words), len(self.labels) + 1)
