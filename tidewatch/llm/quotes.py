@@ -47,7 +47,7 @@ def own_text(text: Column) -> Column:
     """The lines of level 0, less the lines that introduce a quote."""
     lines = _lines(text)
     kept = F.filter(lines, lambda x, i: (_level(x) == 0) & ~(x.rlike(INTRO) & F.coalesce(_level(F.get(lines, i + 1)) > 0, F.lit(False))))
-    return F.trim(F.array_join(kept, "\n"))
+    return F.regexp_replace(F.array_join(kept, "\n"), "^[ \t\r\n]+|[ \t\r\n]+$", "")
 
 
 def linked(messages: DataFrame) -> DataFrame:
@@ -98,8 +98,8 @@ v AS (SELECT conv_id, turn, orig, row_number() OVER (PARTITION BY conv_id, turn
       FROM (SELECT conv_id, turn, orig, count(*) AS n FROM q WHERE level = 1 AND orig IS NOT NULL GROUP BY ALL)),
 b AS (SELECT DISTINCT conv_id, turn + 1 AS turn, turn AS before FROM conversations)
 SELECT m.conv_id, m.turn, role,
-  trim(array_to_string(list_filter(ls, lambda x, i: {_L.format('x')} = 0 AND NOT (regexp_matches(x, '(wrote|schrieb|escribió|a écrit) ?:[ \t]*$')
-    AND i < len(ls) AND {_L.format('ls[i + 1]')} > 0)), chr(10)), ' ') AS own_text,
+  regexp_replace(array_to_string(list_filter(ls, lambda x, i: {_L.format('x')} = 0 AND NOT (regexp_matches(x, '(wrote|schrieb|escribió|a écrit) ?:[ \t]*$')
+    AND i < len(ls) AND {_L.format('ls[i + 1]')} > 0)), chr(10)), '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') AS own_text,
   coalesce(levels, 0)::BIGINT AS levels, coalesce(n_quoted, 0)::BIGINT AS n_quoted, coalesce(n_linked, 0)::BIGINT AS n_linked,
   coalesce(CASE WHEN orig.c = m.conv_id THEN orig.t END, before) AS reply_to, orig.c AS from_conv, orig.t AS from_turn
 FROM m LEFT JOIN t ON t.conv_id = m.conv_id AND t.turn = m.turn LEFT JOIN (SELECT * FROM v WHERE r = 1) v ON v.conv_id = m.conv_id AND v.turn = m.turn
