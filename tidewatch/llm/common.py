@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.session import scratch_path
 
-TAKE_BYTES = 16 << 20  # text handled at a time inside a task
+TAKE_BYTES = 8 << 20  # text handled at a time inside a task
 
 
 def importable(spark: SparkSession) -> None:

@@ -31,7 +31,7 @@ FIT_WORDS = 36
 STRETCHES = 3  # of different documents, in one training row
 LEXICON = 200  # frequent words of each language
 STEPS = 60
-MEMO_WORDS = 600_000
+MEMO_WORDS = 500_000
 LETTER = regex.compile(r"\p{L}")
 
 

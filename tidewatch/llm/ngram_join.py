@@ -40,6 +40,7 @@ from tidewatch.llm.common import mix64, small_batches, split_words, table, texts
 from tidewatch.llm.components import components
 
 HEAVY_MOST = 300_000  # n-grams whose counts go to all tasks: 5 MB
+BLOCK_BYTES = 16 << 20  # text among which an n-gram must recur to count as frequent
 SHORT_LIST = 32  # lists up to this length are paired one by one
 TASK_SETS = 4000  # sets joined in one task
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
@@ -87,7 +88,7 @@ def can_link(n: int, t: Fraction) -> bool:
 
 def _recurring(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text"):
+        for b in small_batches(batches, "text", BLOCK_BYTES):
             sets = gram_sets(texts_of(b).unique(), words)
             every = np.sort(np.concatenate([np.zeros(0, np.uint64), *sets]))
             head = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
