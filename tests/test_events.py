@@ -191,3 +191,13 @@ def test_strict_time_parity(spark, tmp_path):
     ok = line.replace(":00+0900", ":00.5+09:00").replace(":02+0900", ":02.5Z")
     ev2 = read_events(spark, write_lines(tmp_path / "f.json", [ok]))
     assert FX.flow_features_18(ev2, strict_time=True).first().flow_duration == 32_402_000_000.0
+
+
+def test_strict_single_object_lines(spark):
+    from tidewatch.sources.events import parse_event_lines
+
+    lines = ['{"event_type":"flow"}', '\t{"event_type":"flow"} \t', '{"event_type":"flow"} {"event_type":"flow"}', '{"event_type":"flow"} x}',
+             "{'event_type':'flow'}", "\t", '{"a":1}', '[{"a":1}]', '{"event_type":"fl']
+    df = spark.createDataFrame(list(enumerate(lines)), "ord long, value string")
+    got = [r.line_kind for r in parse_event_lines(df).orderBy("ord").collect()]
+    assert got == ["event", "event", "malformed", "malformed", "malformed", "blank", "event", "malformed", "malformed"]

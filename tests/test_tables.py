@@ -125,3 +125,28 @@ def test_sink_in_input_order(spark, tmp_path):
     p = write_lines(tmp_path / "t.tsv", ["a\tb\tc"] + [f"{i}\tx\ty" for i in (5, 3, 9, 1)])
     df = T.read_tsv_tolerant(spark, p, ["a", "b", "c"]).repartition(3)
     assert [r.a for r in in_input_order(df).collect()] == ["5", "3", "9", "1"]
+
+
+def test_kisti_by_name_in_a_wider_file(spark, tmp_path):
+    from tidewatch import schemas
+    from tidewatch.sources.tables import read_kisti_tsv
+
+    names = [f.name for f in schemas.KISTI_RAW.fields]
+    cells = ["443.0" if f.dataType.simpleString() in ("int", "bigint") else "1" for f in schemas.KISTI_RAW.fields]
+    path = tmp_path / "wide.tsv"
+    path.write_text("\t".join(["extra", *reversed(names), "tail"]) + "\n" + "\t".join(["x", *reversed(cells), "y"]) + "\n")
+    row = read_kisti_tsv(spark, str(path)).first()
+    for f in schemas.KISTI_RAW.fields:
+        if f.dataType.simpleString() in ("int", "bigint"):
+            assert row[f.name] == 443
+    (tmp_path / "narrow.tsv").write_text("extra\n1\n")
+    with pytest.raises(ValueError):
+        read_kisti_tsv(spark, str(tmp_path / "narrow.tsv"))
+
+
+def test_repeated_headers_and_text_columns(spark, tmp_path):
+    from tidewatch.sources.tables import read_labelled_flows
+
+    (tmp_path / "a.csv").write_text("Flow ID, Fwd Header Length, Fwd Header Length, Label\nf-1,1,2,BENIGN\n")
+    row = read_labelled_flows(spark, str(tmp_path)).first().asDict()
+    assert row == {"Flow ID": "f-1", "Fwd Header Length": 1.0, "Fwd Header Length.1": 2.0, "Label": "BENIGN"}

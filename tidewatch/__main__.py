@@ -33,6 +33,8 @@ from tidewatch.sinks import as_reference_headers, write_csv
 from tidewatch.sources import tables as T
 from tidewatch.sources.events import ingest_events, read_events
 
+PRINT_ROWS = 1_000_000  # reports have a row per class or column: print them whole
+
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("tidewatch").getOrCreate()
@@ -64,8 +66,8 @@ def cmd_train(spark, a):
     model = L.train_forest(df.filter(~F.col("is_test")), feats, label="label", num_trees=a.trees, max_depth=a.depth)
     L.save_model(model, a.model)
     scored = L.score(model, df.filter(F.col("is_test")))
-    R.classification_report(scored.select(F.col("label").alias("y"), F.col("model_label").alias("p"))).show(50)
-    R.top_k(L.feature_importances(model, spark), "importance", 10).show()
+    R.classification_report(scored.select(F.col("label").alias("y"), F.col("model_label").alias("p"))).show(PRINT_ROWS, truncate=False)
+    R.top_k(L.feature_importances(model, spark), "importance", 10).show(PRINT_ROWS, truncate=False)
 
 
 def cmd_compare(spark, a):
@@ -78,24 +80,24 @@ def cmd_compare(spark, a):
     feats = "cic11" if a.reliable else "cic18"
     cmp = C.compare(events, lambda f: L.score(model, f), verdict=a.verdict, features=feats)
     write_csv(as_reference_headers(cmp.drop("ord")), a.out)
-    R.outcome_summary(cmp).orderBy("rank").show()
-    R.detection_rates(cmp).show()
+    R.outcome_summary(cmp).orderBy("rank").show(PRINT_ROWS, truncate=False)
+    R.detection_rates(cmp).show(PRINT_ROWS, truncate=False)
 
 
 def cmd_kisti_map(spark, a):
     """FX5 A4 A2 A9 A10 K1."""
     rows = C.dedup_by_uid(FX.kisti_map_events(read_events(spark, a.log)))
     write_csv(rows, a.out)
-    R.value_counts_by_key(rows, "attackType").show()
-    R.numeric_profile(rows, ["duration", "packetSize"]).show()
-    R.null_profile(rows).show()
+    R.value_counts_by_key(rows, "attackType").show(PRINT_ROWS, truncate=False)
+    R.numeric_profile(rows, ["duration", "packetSize"]).show(PRINT_ROWS, truncate=False)
+    R.null_profile(rows).show(PRINT_ROWS, truncate=False)
 
 
 def cmd_kisti_extract(spark, a):
     """FX6 F8 A1 K1."""
     rows = FX.kisti_extract_features(read_events(spark, a.log)).drop("ord")
     write_csv(rows, a.out)
-    R.value_counts_sorted(rows, "Label").show()
+    R.value_counts_sorted(rows, "Label").show(PRINT_ROWS, truncate=False)
 
 
 def cmd_stream(spark, a):

@@ -19,6 +19,7 @@ from tidewatch.functions.scalar import max_probability
 from tidewatch.session import cut_lineage
 
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
+HISTOGRAM_MB = 256  # fixed: the buffer groups tree nodes, and the grouping orders the random feature draws
 MAX_BROADCAST_CLASSES = 1_000_000
 
 
@@ -31,21 +32,23 @@ def train_forest(
     seed: int = 42,
     weight_col: str | None = None,
     max_bins: int = 32,
-    max_memory_mb: int | None = None,
+    max_memory_mb: int = HISTOGRAM_MB,
     materialize: bool = True,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
     assembly by name, forest with sqrt feature subsets.
 
-    Execution knobs only (the model is the same): node ids are cached between levels (the
-    cache is checkpointed every 10 levels into the shared checkpoint folder), and the
-    per-pass histogram buffer is sized from the task heap so more nodes split per data pass."""
+    The histogram buffer is the same everywhere, since another one may give another forest; a
+    depth beyond Spark's limit is refused.  Node ids are cached between levels (checkpointed
+    every 10 levels into the shared checkpoint folder)."""
+    if max_depth > MAX_DEPTH_CEILING:
+        raise ValueError(f"max_depth {max_depth} is beyond Spark's limit of {MAX_DEPTH_CEILING}")
     indexer = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     rf = RandomForestClassifier(
         featuresCol="_features", labelCol="_label_idx", numTrees=num_trees,
-        maxDepth=min(max_depth, MAX_DEPTH_CEILING), featureSubsetStrategy="sqrt", seed=seed,
-        maxBins=max_bins, maxMemoryInMB=max_memory_mb or _histogram_buffer_mb(df.sparkSession),
+        maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
+        maxBins=max_bins, maxMemoryInMB=max_memory_mb,
         cacheNodeIds=True, checkpointInterval=10, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
     )
     if weight_col:
@@ -63,18 +66,6 @@ def train_forest(
     return PipelineModel(stages=[*prep.stages, forest, decoder])
 
 
-def _histogram_buffer_mb(spark) -> int:
-    """512 MB when tasks have a heap of 4 GB or more, else Spark's default 256 MB."""
-    try:
-        local = spark.sparkContext.master.startswith("local")
-        mem = spark.conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
-        units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-        heap_mb = float(mem[:-1]) * units[mem[-1].lower()] if mem[-1].isalpha() else float(mem) / 2**20
-    except Exception:  # noqa: BLE001 - heap unknown: keep Spark's default
-        return 256
-    return 512 if heap_mb >= 4096 else 256
-
-
 def class_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """ML5: weight = n / (k · n_class).  The per-class counts are one row per class; the
     totals over them use an unpartitioned window over those k rows only, and the k-row

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tidewatch import schemas
 
@@ -36,19 +37,17 @@ def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str =
     """X20 + S8: lines -> one row per line with ``line_kind`` in {blank, malformed, event} and
     ``ev`` (the JSON parse; fields are reached by struct paths such as ``ev.flow.start``).
 
-    Malformed = the trimmed line does not look like one JSON object (does not end in '}'),
-    or it does not parse as JSON at all.  ``from_json`` alone cannot tell a broken line
-    from a valid object without ``event_type`` (both give null fields), so the second,
-    stricter parse runs only for rows whose ``event_type`` came back null.
+    Malformed = the line, white space at its ends taken off, is not exactly one JSON object in
+    strict JSON.  The line is parsed as the only element of an array, so anything behind the
+    first object (a second object, trailing text) makes the parse fail.
     """
-    line = F.trim(F.col(value_col))
-    parsed = F.from_json(line, schemas.EVE_SCHEMA)
-    df = lines.select(F.col(ord_col).alias("ord"), line.alias("_line"), parsed.alias("ev"))
+    line = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
+    parsed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), ArrayType(schemas.EVE_SCHEMA), {"allowSingleQuotes": "false"})
+    df = lines.select(F.col(ord_col).alias("ord"), line.alias("_line"), parsed.alias("_all"))
     blank = F.col("_line").isNull() | (F.col("_line") == "")
-    shape_ok = F.col("_line").startswith("{") & F.col("_line").endswith("}")
-    json_ok = F.col("ev.event_type").isNotNull() | F.expr("try_parse_json(_line)").isNotNull()
-    kind = F.when(blank, F.lit("blank")).when(shape_ok & json_ok, F.lit("event")).otherwise(F.lit("malformed"))
-    return df.select("ord", kind.alias("line_kind"), "ev")
+    one = F.col("_line").startswith("{") & F.coalesce(F.size("_all") == 1, F.lit(False))
+    kind = F.when(blank, F.lit("blank")).when(one, F.lit("event")).otherwise(F.lit("malformed"))
+    return df.select("ord", kind.alias("line_kind"), F.when(one, F.get("_all", F.lit(0))).alias("ev"))
 
 
 def _num(c: str) -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,19 @@ def score_flow_lines(lines: DataFrame, scorer: Scorer) -> DataFrame:
     return scorer(feats)
 
 
+def _first_start(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Milliseconds at which the stream of this checkpoint first started, kept beside it.
+
+    A restart reads the same cut-off, so files that came while the stream was down count."""
+    path = f"{checkpoint_dir.rstrip('/')}-first-start"
+    try:
+        return int(spark.read.text(path).first()[0])
+    except AnalysisException:  # no such path: this is the first start
+        now = int(time.time() * 1000)
+        spark.createDataFrame([(str(now),)], "value string").coalesce(1).write.text(path)
+        return now
+
+
 def start_scoring_stream(
     spark: SparkSession,
     in_dir: str,
@@ -44,7 +58,8 @@ def start_scoring_stream(
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
-    ``start_at_end`` (ST2) skips files that already existed when the query started.
+    ``start_at_end`` (ST2) skips files that already existed when the query first started; that
+    time is kept beside the checkpoint, so a restart loses nothing.
     ``trigger`` defaults to a 5-second processing-time trigger (ST5); tests and the
     catalogue use ``{"availableNow": True}``.
     ``ordinal`` (W1) numbers the rows of each micro-batch 1..n in log order with the
@@ -52,7 +67,7 @@ def start_scoring_stream(
     """
     lines = event_lines_stream(spark, in_dir, max_files_per_trigger)
     if start_at_end:
-        started = int(time.time() * 1000)
+        started = _first_start(spark, checkpoint_dir)
         lines = lines.filter(F.col("file_mtime") >= F.timestamp_millis(F.lit(started)))
     lines = lines.drop("file_mtime")
 
