@@ -16,10 +16,18 @@ from tidewatch.session import scratch_path
 TAKE_BYTES = 8 << 20  # text handled at a time inside a task
 
 
+# Freed blocks of 4 MB and more go back to the system at once, so a worker that later stages use again
+# doesn't keep the largest stage's memory.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers that share this machine's files find the package (a cluster gets it by --py-files)."""
+    """Let Python workers that share this machine's files find the package (a cluster gets it by --py-files)
+    and give freed memory back."""
     home = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
+    for k, v in WORKER_MEMORY.items():
+        env.setdefault(k, v)
     if home not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (home, env.get("PYTHONPATH", "")) if x)
 

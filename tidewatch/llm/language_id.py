@@ -31,7 +31,8 @@ FIT_WORDS = 36
 STRETCHES = 3  # of different documents, in one training row
 LEXICON = 200  # frequent words of each language
 STEPS = 60
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
+NEW_WORDS = 16_384  # words without a memo whose features are held at a time
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -73,9 +74,12 @@ def forward_backward(emit: np.ndarray, off: np.ndarray, trans: np.ndarray, init:
     n = np.diff(off)
     order = np.argsort(-n, kind="stable")
     start, length = off[:-1][order], n[order]
-    e = np.exp(emit - emit.max(axis=1, keepdims=True)) if len(emit) else emit
+    if not len(emit):
+        return emit
+    e = emit - emit.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
     a, b = np.empty_like(e), np.empty_like(e)
-    m, first = np.exp(trans), np.exp(init)
+    m, first = np.exp(trans).astype(e.dtype), np.exp(init).astype(e.dtype)
     steps = int(length[0]) if len(length) else 0
     active = np.searchsorted(-length, -np.arange(steps), side="left")  # texts longer than t
     for t in range(steps):
@@ -86,14 +90,15 @@ def forward_backward(emit: np.ndarray, off: np.ndarray, trans: np.ndarray, init:
         k = active[t]
         at = start[:k] + t
         more = active[t + 1] if t + 1 < steps else 0
-        v = np.ones((k, e.shape[1]))
+        v = np.ones((k, e.shape[1]), e.dtype)
         if more:
             nxt = at[:more] + 1
             v[:more] = (b[nxt] * e[nxt]) @ m.T
             v[:more] /= v[:more].sum(axis=1, keepdims=True)
         b[at] = v
-    p = a * b
-    return p / p.sum(axis=1, keepdims=True) if len(p) else p
+    a *= b
+    a /= a.sum(axis=1, keepdims=True)
+    return a
 
 
 class Field:
@@ -106,19 +111,21 @@ class Field:
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(scores of each word, whether it has a letter)."""
         got = list(map(self.memo.get, words))
-        new = [i for i, g in enumerate(got) if g is None]
-        feats = [features(words[i], self.lexicon) for i in new]
-        size = np.fromiter(map(len, feats), np.int64, len(feats))
-        flat = np.fromiter((x for f in feats for x in f), np.int64, int(size.sum()))
-        total = np.concatenate([np.zeros((1, len(self.labels))), np.cumsum(self.weights[flat], axis=0, dtype=np.float64)])
-        end = np.cumsum(size)
-        rows = np.hstack([total[end] - total[end - size], (size > 0)[:, None]]).astype("<f4")
-        for i, f, row in zip(new, feats, rows):
-            if not f:
-                row[-1] = LETTER.search(words[i]) is not None
-            got[i] = row.tobytes()
-            if len(words[i]) <= 64:
-                self.memo[words[i]] = got[i]
+        missing = [i for i, g in enumerate(got) if g is None]
+        for s in range(0, len(missing), NEW_WORDS):
+            new = missing[s:s + NEW_WORDS]
+            feats = [features(words[i], self.lexicon) for i in new]
+            size = np.fromiter(map(len, feats), np.int64, len(feats))
+            flat = np.fromiter((x for f in feats for x in f), np.int64, int(size.sum()))
+            total = np.concatenate([np.zeros((1, len(self.labels))), np.cumsum(self.weights[flat], axis=0, dtype=np.float64)])
+            end = np.cumsum(size)
+            rows = np.hstack([total[end] - total[end - size], (size > 0)[:, None]]).astype("<f4")
+            for i, f, row in zip(new, feats, rows):
+                if not f:
+                    row[-1] = LETTER.search(words[i]) is not None
+                got[i] = row.tobytes()
+                if len(words[i]) <= 64:
+                    self.memo[words[i]] = got[i]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         table_ = np.frombuffer(b"".join(got), "<f4").reshape(len(words), len(self.labels) + 1)
@@ -127,9 +134,13 @@ class Field:
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         codes, uniq, off = split_words(texts)
         score, letter = self.emissions(uniq.to_pylist())
-        p = forward_backward(score[codes].astype(np.float64), off, self.trans, self.init)
+        p = forward_backward(score[codes], off, self.trans, self.init)
         has = letter[codes]
-        total = np.diff(np.concatenate([np.zeros((1, p.shape[1])), np.cumsum(p * has[:, None], axis=0)])[off], axis=0)
+        p *= has[:, None]
+        some = np.diff(off) > 0
+        total = np.zeros((len(some), len(self.labels)))
+        if some.any():
+            total[some] = np.add.reduceat(p, off[:-1][some], axis=0, dtype=np.float64)
         n = np.diff(np.concatenate([[0], np.cumsum(has)])[off])
         mean = total / np.maximum(n, 1)[:, None]
         best = mean.argmax(axis=1)

@@ -20,7 +20,7 @@ import regex
 
 from tidewatch.llm.common import ragged, split_words
 
-MEMO_WORDS = 600_000  # distinct words a worker remembers before it starts afresh (bounds memory)
+MEMO_WORDS = 300_000  # distinct words a worker remembers before it starts afresh (bounds memory)
 LONG_WORD = 64  # longer words go to the library each time
 
 # The pre-tokeniser's pattern, as the tokenizer's file states it.
