@@ -59,3 +59,26 @@ def test_null_keys_take_the_broadcast_path(spark):
     assert got[1] == "a" and got[4] is None and len(got) == 300
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_joins_split_a_hot_key(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ids = F.col("id")
+        flows = spark.range(0, 40000, 1, 8).select(
+            F.when(ids % 2 == 0, F.lit(7)).otherwise(ids).alias("flow_id"), F.md5(ids.cast("string")).alias("x"))
+        best = spark.range(0, 40000, 1, 8).groupBy((ids % 20000).alias("flow_id")).agg(F.count(F.lit(1)).alias("n"))
+        for joined in (C.null_safe_left_join(flows, best, "flow_id"),
+                       C.semi_join_reduce(flows, best, "flow_id"),
+                       C.lookup_join_drop(flows, best, "flow_id", "n")):
+            per_task = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("rows"))
+            sizes = [r["rows"] for r in per_task.collect()]
+            assert max(sizes) < 15000, sizes  # the 20000 rows of flow 7 lie in several tasks
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

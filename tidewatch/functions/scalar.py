@@ -23,7 +23,8 @@ def col_(c: Column | str) -> Column:
 
 # X1 -----------------------------------------------------------------------------------
 def trim(c: Column | str) -> Column:
-    return F.trim(col_(c))
+    """Without white space (blank, tab, line ends, form feed) at both ends."""
+    return F.btrim(col_(c), F.lit(" \t\n\x0b\f\r"))
 
 
 # X2 -----------------------------------------------------------------------------------

@@ -10,7 +10,8 @@ Scale notes
 * J1/J2 join the (unbounded) flow table to the per-flow alert summary on ``flow_id``.
   Nothing is broadcast by hand: the summary grows with the data, so the choice is left
   to AQE's runtime size check (broadcast under ``autoBroadcastJoinThreshold``, otherwise
-  sort-merge with skew-split of hot ``flow_id`` partitions).  Rows with a *null*
+  sort-merge with skew-split of hot ``flow_id`` partitions; the summary is written to the
+  shared folder first, since AQE splits no join whose other side is an aggregate).  Rows with a *null*
   ``flow_id`` would all hash to one partition under a null-safe join, so they are split
   off and matched against the single null-key summary row, which is proven to be at most
   one row (it is the result of an aggregate over one group) and broadcast.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewatch import schemas
 from tidewatch.functions import scalar as X
 from tidewatch.operators import features as FX
-from tidewatch.session import cut_lineage
+from tidewatch.session import cut_lineage, handed_off
 
 # ---------------------------------------------------------------------------------------
 # A5
@@ -60,8 +61,9 @@ def null_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFram
 
     ``right`` must be unique per key (an aggregate).  Non-null keys take a normal equi-join;
     null-key rows are joined to the right's single null-key row through a broadcast of that
-    one row (size bound: 1 row).
+    one row (size bound: 1 row).  ``right`` is written once, so that AQE may split a hot key.
     """
+    right = handed_off(right, "unique_side")
     left_nn = left.filter(F.col(key).isNotNull())
     right_nn = right.filter(F.col(key).isNotNull())
     joined_nn = left_nn.join(right_nn, on=key, how="left")
@@ -114,6 +116,7 @@ def compare(
     scorer,
     verdict: str = "by_alerted",
     features: str = "cic18",
+    alert_info: bool = True,
 ) -> DataFrame:
     """Sensor verdict vs model verdict per flow event.
 
@@ -122,6 +125,8 @@ def compare(
     and meta + features + verdicts come out of one ``select`` (J4).
     ``verdict``: ``by_alerted`` (flow.alerted) or ``by_alert_match`` (any alert for the flow).
     ``features``: ``cic18`` (FX2) or ``cic11`` (FX3, the 7 others zero-filled for scoring).
+    ``alert_info=False`` leaves out the best alert's columns; with ``by_alerted`` the log is then
+    read in one pass without a join.
     """
     keep = ["ord", "flow_id", "timestamp", "src_ip", "src_port", "dest_ip", "dest_port", "proto",
             "app_proto", "alerted"]
@@ -134,9 +139,11 @@ def compare(
     else:
         raise ValueError(features)
     scored = scorer(feats)
-    best = best_alert_per_flow(events)
-    joined = null_safe_left_join(scored, best, "flow_id")
-    info = _alert_info(joined)
+    if alert_info or verdict != "by_alerted":
+        joined = null_safe_left_join(scored, best_alert_per_flow(events), "flow_id")
+    else:
+        joined = scored
+    info = _alert_info(joined)[:3] if alert_info else []
     if verdict == "by_alerted":
         ids = X.verdict_from_alerted("alerted")
     elif verdict == "by_alert_match":
@@ -145,7 +152,7 @@ def compare(
         raise ValueError(verdict)
     out = joined.select(
         "ord", "flow_id", "timestamp", "src_ip", "src_port", "dest_ip", "dest_port", "proto", "app_proto",
-        ids.alias("ids_verdict"), *info[:3], "model_label", "model_confidence_pct",
+        ids.alias("ids_verdict"), *info, "model_label", "model_confidence_pct",
     )
     return out.withColumn("outcome", X.outcome("ids_verdict", "model_label"))
 
@@ -180,8 +187,9 @@ def semi_join_reduce(raw: DataFrame, keys: DataFrame, key: str = "uid") -> DataF
     """Raw rows whose key occurs in ``keys`` (``keys`` deduplicated first).
 
     ``keys`` is a sample of the raw data, so it is not size-bounded: a shuffle semi-join by
-    default, turned into a broadcast by AQE only if the runtime size is small."""
-    return raw.join(keys.select(key).distinct(), on=key, how="left_semi")
+    default, turned into a broadcast by AQE only if the runtime size is small.  The keys are
+    written once, so that AQE may split a hot key of the raw side."""
+    return raw.join(handed_off(keys.select(key).distinct(), "keys"), on=key, how="left_semi")
 
 
 def keep_first_lookup(raw: DataFrame, key: str, value: str, order: str = "ord") -> DataFrame:
@@ -191,9 +199,10 @@ def keep_first_lookup(raw: DataFrame, key: str, value: str, order: str = "ord")
 
 def lookup_join_drop(left: DataFrame, lookup: DataFrame, key: str, value: str) -> DataFrame:
     """Left.key mapped through the lookup; misses and null looked-up values dropped;
-    duplicate left rows kept (inner equi-join on a key-unique lookup)."""
+    duplicate left rows kept (inner equi-join on a key-unique lookup, written once so that AQE
+    may split a hot key of the left side)."""
     base = left.drop(value) if value in left.columns else left
-    return base.join(lookup, on=key, how="inner").filter(F.col(value).isNotNull())
+    return base.join(handed_off(lookup.filter(F.col(value).isNotNull()), "lookup"), on=key, how="inner")
 
 
 # ---------------------------------------------------------------------------------------

@@ -48,6 +48,11 @@ def rule_scorer(feats: DataFrame) -> DataFrame:
     return feats.withColumn("model_label", label).withColumn("model_confidence_pct", conf)
 
 
+def _one_pass(spark, sf_dir):
+    """Comparison by flow.alerted without alert columns: text scan to verdicts, no hand-off and no join."""
+    return C.compare(V.eve_events(spark, sf_dir), rule_scorer, verdict="by_alerted", alert_info=False)
+
+
 def _compare(spark, sf_dir, verdict, features="cic18"):
     return C.compare(V.eve_table(spark, sf_dir), rule_scorer, verdict=verdict, features=features)
 
@@ -59,8 +64,8 @@ def _compare(spark, sf_dir, verdict, features="cic18"):
 
 @register("flow_outcome_summary", O.outcome_summary_sql(O.compare_sql("by_alerted")))
 def q_flow_outcome_summary(spark, sf_dir):
-    """Flagship: S8 F1 F2 FX2 A5 J1 X15 X17 A6."""
-    return R.outcome_summary(_compare(spark, sf_dir, "by_alerted"))
+    """Flagship: S8 F1 FX2 X15 X17 A6."""
+    return R.outcome_summary(_one_pass(spark, sf_dir))
 
 
 @register("flow_outcome_summary_by_alert_match", O.outcome_summary_sql(O.compare_sql("by_alert_match")))
@@ -105,7 +110,7 @@ SELECT CAST(n AS BIGINT) AS total, CAST(ids AS BIGINT) AS ids_detected, CAST(mod
 FROM c""")
 def q_detection_rates(spark, sf_dir):
     """Sensor and model detection rates over the comparison rows."""
-    return R.detection_rates(_compare(spark, sf_dir, "by_alerted"))
+    return R.detection_rates(_one_pass(spark, sf_dir))
 
 
 _F18 = ", ".join(schemas.CIC_18)

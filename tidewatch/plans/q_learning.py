@@ -76,7 +76,7 @@ def q_rf_compare(spark, sf_dir):
     """FX10 with the forest: log flows scored by the saved model, compared with the sensor,
     summarised over the four outcome classes."""
     model, _ = cic_model(spark, sf_dir)
-    cmp = C.compare(V.eve_table(spark, sf_dir), lambda f: L.score(model, f), verdict="by_alerted")
+    cmp = C.compare(V.eve_events(spark, sf_dir), lambda f: L.score(model, f), verdict="by_alerted", alert_info=False)
     return R.outcome_summary(cmp)
 
 
@@ -95,7 +95,7 @@ def kisti_model(spark, sf_dir, num_trees=NUM_TREES, max_depth=MAX_DEPTH):
         row_key = F.concat_ws(":", *[F.col(f"ord.{c}") for c in ("l_orderkey", "l_linenumber", "l_partkey",
                                                                   "l_suppkey")])
         sample = M.stratified_sample(prepared.withColumn("row_key", row_key), "attackType", "row_key", 0.1, 42)
-        lookup = C.keep_first_lookup(raw, "uid", "packetSize")
+        lookup = C.keep_first_lookup(C.semi_join_reduce(raw, sample, "uid"), "uid", "packetSize")
         df = C.lookup_join_drop(sample.drop("ord", "row_key"), lookup, "uid", "packetSize")
         df = CL.fill_zero(df, schemas.KISTI_FEATURES_V2).withColumn("label", F.col("attackType").cast("string"))
         df = M.hash_split(df, "uid", 20, 42)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch import schemas
 from tidewatch.functions import scalar as X
 from tidewatch.operators import clean as CL
 from tidewatch.operators import correlate as C
 from tidewatch.operators import features as FX
 from tidewatch.operators import sampling as M
+from tidewatch.plans import oracle as O
 from tidewatch.plans import views as V
 from tidewatch.plans.catalogue import register
 from tidewatch.session import scratch_path
@@ -226,10 +228,11 @@ lk AS (SELECT uid, "packetSize" FROM (
 SELECT s.uid, s.o_orderpriority, lk."packetSize"
 FROM sample s JOIN lk ON s.uid = lk.uid WHERE lk."packetSize" IS NOT NULL""")
 def q_lookup_join_drop(spark, sf_dir):
-    """J7 + A8: the sampled orders mapped through the keep-first packetSize lookup; uids with
+    """The sampled orders mapped through the keep-first packetSize lookup; uids with
     no raw row or a null first value are dropped."""
-    lookup = C.keep_first_lookup(V.kisti_frame(spark, sf_dir), "uid", "packetSize")
-    return C.lookup_join_drop(_order_sample(spark, sf_dir), lookup, "uid", "packetSize")
+    sample = _order_sample(spark, sf_dir)
+    raw = C.semi_join_reduce(V.kisti_frame(spark, sf_dir), sample, "uid")  # J5 first: only sampled uids are aggregated
+    return C.lookup_join_drop(sample, C.keep_first_lookup(raw, "uid", "packetSize"), "uid", "packetSize")
 
 
 # ---------------------------------------------------------------------------------------
@@ -264,3 +267,56 @@ def q_hash_split(spark, sf_dir):
     """M3: test = md5(key ':42') mod 100 < 20 (partition-independent)."""
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey")
     return M.hash_split(orders, "o_orderkey", 20, 42)
+
+
+# ---------------------------------------------------------------------------------------
+# P7, null tokens, scalar ratios and texts
+# ---------------------------------------------------------------------------------------
+@register("optional_columns", f"""WITH {CIC_SQL}
+SELECT label, label AS verdict, '-' AS severity, CAST(count(*) AS BIGINT) AS n FROM cic GROUP BY label""")
+def q_optional_columns(spark, sf_dir):
+    """A column that is there, one taken from its fallback, one that is a literal."""
+    df = _snake(V.cic_frame(spark, sf_dir))
+    picked = df.select(CL.column_or_fallback(df, "label").alias("label"),
+                       CL.column_or_fallback(df, "ids_verdict", "label").alias("verdict"),
+                       CL.column_or_fallback(df, "ids_severity", "severity").alias("severity"))
+    return picked.groupBy("label", "verdict", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("null_tokens", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'NA ' ELSE o_orderpriority END AS cell
+FROM orders""")
+def q_null_tokens(spark, sf_dir):
+    """Null tokens of text columns: every token becomes null, look-alikes stay."""
+    key, tokens = F.col("o_orderkey"), F.array(*[F.lit(t) for t in schemas.PANDAS_NULL_TOKENS])
+    token = F.element_at(tokens, (F.floor(key / 3) % len(schemas.PANDAS_NULL_TOKENS) + 1).cast("int"))
+    cell = F.when(key % 3 == 0, token).when(key % 5 == 0, F.lit("NA ")).otherwise(F.col("o_orderpriority"))
+    return CL.normalise_nulls(V.table(spark, sf_dir, "orders").select("o_orderkey", cell.alias("cell")))
+
+
+@register("scalar_ratios", """
+WITH r AS (SELECT *, CASE WHEN l_quantity - 25 > 0 THEN l_extendedprice / (l_quantity - 25) ELSE 0.0::DOUBLE END AS ratio FROM lineitem)
+SELECT l_orderkey, l_linenumber, ratio, round_even(l_discount * 100.0::DOUBLE, 2) AS discount_pct,
+  CAST(ratio > 1500 AS INTEGER) AS jumbo, CAST(COALESCE(l_returnflag = 'R', FALSE) AS INTEGER) AS returned
+FROM r""")
+def q_scalar_ratios(spark, sf_dir):
+    """Safe division, percent, flags."""
+    ratio = X.safe_div(F.col("l_extendedprice"), F.col("l_quantity") - 25)
+    return V.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", ratio.alias("ratio"), X.pct(F.col("l_discount")).alias("discount_pct"),
+        X.jumbo_flag(ratio).alias("jumbo"), X.flag01(F.col("l_returnflag") == "R").alias("returned"))
+
+
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@register("scalar_text", f"""
+SELECT doc_id, CAST(length(trim(text, {_WHITE})) AS BIGINT) AS n_trimmed, md5(trim(text, {_WHITE})) AS digest,
+  CAST({O.signature_class_sql("replace(text, 'ß', 'ss')")} AS INTEGER) AS attack_type
+FROM documents""")
+def q_scalar_text(spark, sf_dir):
+    """Whole texts with white space put around them, trimmed and classed."""
+    padded = F.concat(F.when(F.col("doc_id") % 2 == 0, F.lit("\t ")).otherwise(F.lit(" \r\n")), "text", F.lit("\x0b \f"))
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text", X.trim(padded).alias("trimmed"))
+    return docs.select("doc_id", F.length("trimmed").cast("long").alias("n_trimmed"), F.md5("trimmed").alias("digest"),
+                       X.signature_class("text").alias("attack_type"))

@@ -131,8 +131,9 @@ def eve_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eve_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V_EVE parsed once into a Parquet table partitioned by event type (multi-consumer use)."""
-    return ingest_events(eve_events(spark, sf_dir), scratch_path(spark, "events"))
+    """Flow and alert events of V_EVE parsed once into a Parquet table partitioned by event type
+    (multi-consumer use); the comparisons read no other type."""
+    return ingest_events(eve_events(spark, sf_dir).filter(F.col("event_type").isin("flow", "alert")), scratch_path(spark, "events"))
 
 
 # ---------------------------------------------------------------------------------------

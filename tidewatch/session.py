@@ -56,15 +56,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def handed_off(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written once as Parquet into the shared folder and read back.
+
+    A side of a join that comes straight from an aggregate keeps AQE from splitting a hot key of
+    the other side; a side that is read from files does not."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that came out with fewer splits than the cluster has cores.
-
-    A source with a single large split (one row group) would otherwise run every
-    downstream row-wise step in one task.  On a real input with many splits this is a
-    no-op (no shuffle is added)."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """Deal the rows of a test table to ``spark.tidewatch.spread`` partitions; off unless that is set.
+
+    Only for inputs with fewer splits than cores (one row group), as in a benchmark on one machine."""
+    n = df.sparkSession.conf.get("spark.tidewatch.spread", None)
+    return df.repartition(int(n)) if n else df
