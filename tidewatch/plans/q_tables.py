@@ -287,7 +287,7 @@ def q_optional_columns(spark, sf_dir):
 SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'NA ' ELSE o_orderpriority END AS cell
 FROM orders""")
 def q_null_tokens(spark, sf_dir):
-    """Null tokens of text columns: every token becomes null, look-alikes stay."""
+    """Null tokens of text columns: every token becomes null, look-alikes stay."""
     key, tokens = F.col("o_orderkey"), F.array(*[F.lit(t) for t in schemas.PANDAS_NULL_TOKENS])
     token = F.element_at(tokens, (F.floor(key / 3) % len(schemas.PANDAS_NULL_TOKENS) + 1).cast("int"))
     cell = F.when(key % 3 == 0, token).when(key % 5 == 0, F.lit("NA ")).otherwise(F.col("o_orderpriority"))
