@@ -87,3 +87,14 @@ def test_packing_over_levels(spark):
     got = packing.pack(rows, 1000, 400).join(rows, "uid").toPandas()
     assert len(got) == 3000 and got.groupby("sequence_id").length.sum().max() <= 1000
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 1000) * 1.02
+
+
+def test_word_ids_equal_the_library_for_every_simple_letter():
+    tok = WordIds(P.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]
+    words = [w for c in letters for w in (c, f"x{c}", f"{c}.", f"a{c}b!", f"Ab{c}'s,")]
+    words += ["<|endoftext|>", "a<|endoftext|>.", "é.", "x" * 200 + ".", "é" * 90 + ",", "中文.", "a\x00b", "\x1f."]
+    words = [w for w in words if not set(w) & set(" \t\n\v\f\r")]
+    ids, off = tok.encode(pa.array(words))
+    want = [tok.tok.encode(w, add_special_tokens=False).ids for w in words]
+    assert [ids[s:e].tolist() for s, e in zip(off, off[1:])] == want

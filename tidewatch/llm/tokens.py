@@ -13,6 +13,9 @@ A task asks the library once per distinct word and gathers the ids of a batch wi
 
 from __future__ import annotations
 
+import re
+import struct
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,7 +28,8 @@ LONG_WORD = 64  # longer words go to the library each time
 
 # The pre-tokeniser's pattern, as the tokenizer's file states it.
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-SIMPLE_WORD = regex.compile("[!-~\u00a1-\u024f]+")
+SIMPLE_WORD = re.compile("[!-~\u00a1-\u024f]+")
+STOPS = frozenset(".,;:!?")
 
 _LOADED: dict = {}
 
@@ -49,15 +53,17 @@ class WordIds:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.bpe = self.tok.model
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            mapped = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            got = [t.id for t in self.tok.model.tokenize(mapped)]
+            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.bpe.tokenize(mapped)]
+            got = struct.pack(f"<{len(ids)}I", *ids)
             if len(piece) <= LONG_WORD:
                 self.pieces[piece] = got
         return got
@@ -66,10 +72,13 @@ class WordIds:
         # Below U+0250 every letter is its own NFC form and lower-cases alone; anything else,
         # and whatever may hold a special string, goes through the whole library pipeline.
         if "<|" in word or not SIMPLE_WORD.fullmatch(word):
-            ids = self.tok.encode(word, add_special_tokens=False).ids
-        else:
-            ids = [i for p in WORD_PIECES.findall(word.lower()) for i in self._piece(p)]
-        return np.array(ids, dtype="<u4").tobytes()
+            return np.array(self.tok.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        low = word.lower()
+        if low.isalpha():
+            return self._piece(low)
+        if low[-1] in STOPS and low[:-1].isalpha():  # the pattern's outcome for most other words
+            return self._piece(low[:-1]) + self._piece(low[-1])
+        return b"".join(map(self._piece, WORD_PIECES.findall(low)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offset of each text)."""
