@@ -189,6 +189,19 @@ def test_reparameterised_questions(spark, odd_documents, no_documents):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_near_copies_outlast_one_contradiction(spark):
+    words = "the bridge over the wide grey river was opened in {} by a mayor who had waited long for the day and left the town for good again in {}"
+    far = " and so the people of the valley told their children for many years to come until nobody knew it any more" * 2
+    items = spark.createDataFrame([(1, words.format(1990, 1990)), (2, words.format(1990, 7) + far), (3, "If tom buys 12 apples and sells 5 kg today")], "item_id long, text string")
+    rows = [
+        (1, words.format(1990, 1991)), (2, words.format(30, 30) + far), (3, "If tom buys 30 apples and sells 30 kg today"),
+        (4, words.format(1990, 1990)),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert not got[1, 1].verbatim and got[4, 1].verbatim and got[1, 1].n_windows == got[4, 1].n_windows == 23
+    assert (2, 2) in got and (3, 3) not in got  # verbatim windows stand; near slots that contradict each other still fall
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "Where is the red house?\nI look for it."), (1, 1, "assistant", "> where is the RED house\n\nOn the hill."),

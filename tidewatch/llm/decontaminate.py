@@ -4,9 +4,10 @@ Texts become tokens in which names, numbers and units carry a type mark before t
 (``@anna``, ``#12.5``, ``~kg``); a template is the row of tokens with the values left out.  Every
 window of ``WINDOW`` template tokens of a benchmark item is hashed and joined with the windows of
 all documents.  Hits on one alignment (document position less item position) belong together.  The
-values in the aligned stretch then decide: a verbatim copy has equal values; a re-parameterised
-question maps each item value to one document value and back (a consistent substitution).
-Alignments whose slots contradict each other are dropped.
+values then decide for each window that was hit: one whose values are all the item's own (verbatim)
+stands whatever lies around it; else its slots and those of the alignment's hits up to ``WINDOW``
+tokens before and after it must map each item value to one document value and back (a consistent
+substitution).  A contradiction drops the windows near it, not the alignment.
 
 A window counts if at least ``LITERALS`` of its tokens are no placeholders.  Items shorter than a
 window, but of at least ``LITERALS`` + 1 tokens, are one window; shorter ones say nothing and are
@@ -65,6 +66,20 @@ def _hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.xxhash64(x))
 
 
+def _judged(at: Column, k: Column) -> Column:
+    """(stands, same) of the ``k``-th hit window of an alignment, by ``b``, ``d``, ``shift``, ``size`` and ``ats``."""
+    end, first = at + F.col("size"), F.greatest(k - 2 * WINDOW, F.lit(0))
+    near = F.slice("ats", first + 1, F.lit(4 * WINDOW + 1))  # sorted and distinct: all hits that reach the surroundings
+    places = F.sequence(F.greatest(at - WINDOW, F.lit(0)), F.least(end + WINDOW, F.size("b")) - 1)
+    places = F.filter(places, lambda i: F.exists(near, lambda a: (a <= i) & (i < a + F.col("size"))))
+    slots = F.transform(places, lambda i: F.struct(i.alias("i"), F.get("b", i).alias("bs"), F.get("d", F.col("shift") + i).alias("ds")))
+    slots = F.filter(slots, lambda z: z["bs"].rlike("^[@#~]") & z["ds"].rlike("^[@#~]"))
+    same = F.forall(slots, lambda z: (z["i"] < at) | (z["i"] >= end) | (z["bs"] == z["ds"]))
+    n = lambda f: F.size(F.array_distinct(F.transform(slots, f)))
+    pairs = n(lambda z: F.struct(z["bs"], z["ds"]))
+    return F.struct((same | ((pairs == n(lambda z: z["bs"])) & (pairs == n(lambda z: z["ds"])))).alias("stands"), same.alias("same"))
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(h, item_id, at, size) of the windows of all items; ``at`` counts from 0."""
     t = F.split(template(F.col("m")), " ")
@@ -79,8 +94,8 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, t64, item_id, n_windows, verbatim) for each document and item that it holds.
 
-    ``n_windows``: window hits of the document's best alignment with the item; ``verbatim``: that all
-    values of a best alignment are the item's own.  ``t64`` hashes the text, to tell rows of one
+    ``n_windows``: standing windows of the document's best alignment with the item; ``verbatim``: that
+    all values in the windows hit on a best alignment are the item's own.  ``t64`` hashes the text, to tell rows of one
     doc_id apart; equal rows give one result.  Other columns are not read."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t64"), F.col("text").cast("string").alias("text"))
     items = written(item_windows(benchmark), "item_windows")
@@ -94,8 +109,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         w = w.select("doc_id", "t64", F.posexplode(_windows(F.col("th"), F.lit(size))).alias("p", "h"))
         own = w.join(small.where(F.col("size") == size), "h").select("doc_id", "t64", "item_id", "at", "p", "size")
         hits = own if hits is None else hits.unionByName(own)
-    lines = written(hits.groupBy("doc_id", "t64", "item_id", (F.col("p") - F.col("at")).alias("shift"))
-                    .agg(F.countDistinct("at").alias("n_windows"), F.min("at").alias("low"), F.max(F.col("at") + F.col("size")).alias("high")), "window_hits")
+    lines = written(hits.groupBy("doc_id", "t64", "item_id", "size", (F.col("p") - F.col("at")).alias("shift"))
+                    .agg(F.sort_array(F.collect_set("at")).alias("ats")), "window_hits")  # at most the item's windows
     # the values of the aligned stretches, from the texts of the documents that were hit
     chosen = written(lines.select("doc_id", "t64").distinct(), "hit_documents")
     chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
@@ -104,13 +119,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.select("doc_id", "t64", F.split(marked(F.col("text")), " ").alias("d")).dropDuplicates(["doc_id", "t64"])
     own = benchmark.select(F.col("item_id").cast("long").alias("i_id"), F.split(marked(F.col("text")), " ").alias("b"))
     x = lines.join(texts.withColumnsRenamed({"doc_id": "x_id", "t64": "x_t64"}), F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("t64") == F.col("x_t64")))
-    x = x.join(own, F.col("item_id") == F.col("i_id")).withColumn("n", F.col("high") - F.col("low"))
-    x = x.withColumn("bs", F.slice("b", F.col("low") + 1, F.col("n"))).withColumn("ds", F.slice("d", F.col("shift") + F.col("low") + 1, F.col("n")))
-    pairs = F.filter(F.arrays_zip("bs", "ds"), lambda z: z["bs"].rlike("^[@#~]") & z["ds"].rlike("^[@#~]"))
-    x = x.withColumn("z", F.array_distinct(pairs))
-    one = lambda side: F.size(F.array_distinct(F.transform("z", lambda z: z[side])))
-    x = x.where((F.size("z") == one("bs")) & (F.size("z") == one("ds")))
-    same = F.forall("z", lambda z: z["bs"] == z["ds"])
+    x = x.join(own, F.col("item_id") == F.col("i_id")).withColumn("w", F.transform("ats", _judged))
+    x = x.withColumn("n_windows", F.size(F.filter("w", lambda w: w["stands"])).cast("long")).where(F.col("n_windows") > 0)
+    same = F.forall("w", lambda w: w["same"])
     return x.groupBy("doc_id", "t64", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max(F.struct("n_windows", same.alias("same")))["same"].alias("verbatim"))
 
 
@@ -138,15 +149,16 @@ it AS (SELECT item_id, list_transform(b, lambda x: regexp_replace(x, '^([@#~]).*
        WHERE len(b) > {LITERALS}),
 iw AS (SELECT DISTINCT item_id, size, pos, w FROM ({_window_sql('it', 'item_id')})
        WHERE len(list_filter(ws, lambda x: NOT regexp_matches(x, '^[@#~]$'))) >= {LITERALS}),
-dm AS (SELECT DISTINCT doc_id, text, string_split({_marked_sql('text')}, ' ') AS d FROM documents),
-dt AS (SELECT doc_id, text, list_transform(d, lambda x: regexp_replace(x, '([@#~]).*', '\\1')) AS t FROM dm),
-dz AS (SELECT doc_id, text, t, s.size FROM dt, (SELECT DISTINCT size FROM iw) s),
-dw AS ({_window_sql('dz', 'doc_id, text')}),
-l AS (SELECT doc_id, text, item_id, dw.pos - iw.pos AS shift, count(DISTINCT iw.pos) AS n_windows, min(iw.pos) AS low, max(iw.pos + iw.size) AS high
-      FROM dw JOIN iw USING (w, size) GROUP BY ALL),
-z AS (SELECT l.*, list_distinct(list_filter(list_zip(b[low + 1:high], d[shift + low + 1:shift + high]),
-        lambda q: regexp_matches(q[1], '^[@#~]') AND regexp_matches(q[2], '^[@#~]'))) AS z
-      FROM l JOIN dm ON l.doc_id IS NOT DISTINCT FROM dm.doc_id AND l.text = dm.text JOIN im USING (item_id)),
-ok AS (SELECT *, len(list_filter(z, lambda q: q[1] <> q[2])) = 0 AS same FROM z
-       WHERE len(z) = len(list_distinct(list_transform(z, lambda q: q[1]))) AND len(z) = len(list_distinct(list_transform(z, lambda q: q[2]))))
-SELECT doc_id, item_id, max(n_windows) AS n_windows, max({{'n': n_windows, 's': same}}).s AS verbatim FROM ok GROUP BY doc_id, item_id"""
+dm AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM (SELECT DISTINCT doc_id, text, string_split({_marked_sql('text')}, ' ') AS d FROM documents)),
+dt AS (SELECT r, list_transform(d, lambda x: regexp_replace(x, '([@#~]).*', '\\1')) AS t FROM dm),
+dz AS (SELECT r, t, s.size FROM dt, (SELECT DISTINCT size FROM iw) s),
+dw AS ({_window_sql('dz', 'r')}),
+l AS MATERIALIZED (SELECT DISTINCT r, item_id, dw.pos - iw.pos AS shift, iw.pos AS k, size FROM dw JOIN iw USING (w, size)),
+c AS (SELECT DISTINCT r, item_id, shift, unnest(range(k, k + size)) AS i FROM l),
+z AS (SELECT r, item_id, shift, i, b[i + 1] AS v, d[shift + i + 1] AS w FROM c JOIN dm USING (r) JOIN im USING (item_id)
+      WHERE regexp_matches(b[i + 1], '^[@#~]') AND regexp_matches(d[shift + i + 1], '^[@#~]')),
+j AS (SELECT l.r, l.item_id, l.shift, k, coalesce(bool_and(i < k OR i >= k + size OR v = w), true) AS same,
+        count(DISTINCT v || ' ' || w) = count(DISTINCT v) AND count(DISTINCT v || ' ' || w) = count(DISTINCT w) AS fits
+      FROM l LEFT JOIN z ON z.r = l.r AND z.item_id = l.item_id AND z.shift = l.shift AND i >= k - {WINDOW} AND i < k + size + {WINDOW} GROUP BY ALL),
+ok AS (SELECT doc_id, item_id, count(*) FILTER (same OR fits) AS n_windows, bool_and(same) AS same FROM j JOIN dm USING (r) GROUP BY r, doc_id, item_id, shift)
+SELECT doc_id, item_id, max(n_windows) AS n_windows, max({{'n': n_windows, 's': same}}).s AS verbatim FROM ok WHERE n_windows > 0 GROUP BY doc_id, item_id"""
