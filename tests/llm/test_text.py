@@ -92,6 +92,22 @@ def test_pii_patterns(text, want):
     assert pii.base_spans(text) == want
 
 
+@pytest.mark.parametrize("text, want", [
+    ("write john at example.com", ("email", 6, 25)), ("john at example[dot]com", ("email", 0, 23)), ("JOHN (AT) EXAMPLE DOT COM", ("email", 0, 25)),
+    ("go to j.doe at ex-a.co.uk. Thanks", ("email", 6, 25)), ("0 6 1 2 3 4 5 6 7 8", ("phone", 0, 19)),
+    ("4.1.1.1.1.1.1.1.1.1.1.1.1.1.1.1", ("card", 0, 31)), ("call 06 12 34 5 67 8 9 now", ("phone", 5, 22)), ("10 . 0 . 0 . 1", ("ip", 0, 14)),
+])
+def test_pii_proposals(text, want):
+    assert want in pii.proposals(text)
+
+
+def test_every_trained_disguise_is_proposed():
+    for i in range(40):
+        for kind, own in [("email", f"jo.{'x' * i}b{i}@m{i}.co.uk"), ("ip", f"10.{i}.0.{i * 3}"), ("card", "4111 1111 1111 1111"[:17 + i % 3]), ("phone", f"+1 555 {100 + i} 4567"), ("phone", f"+49 {i + 10000} 123-4567")]:
+            for text, span, label in pii.disguised(own, (kind, 0, len(own))):
+                assert not label or span in pii.proposals(text), (text, span)
+
+
 def test_lm_base_and_tree(odd_documents, no_documents):
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
     docs = odd_documents.select("doc_id", "text", held.alias("held_out"), F.lit(1).cast("long").alias("block"))
