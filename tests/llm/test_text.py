@@ -8,6 +8,7 @@ from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,16 @@ def test_language_of_held_out_rows(spark, sf, odd_documents, no_documents):
     assert language_id.with_language(no_documents, language_id.fitted(no_documents, F.lit(True)), "doc_id").count() == 0
 
 
+def test_language_of_text_without_blanks():
+    rows = [("en", "the house and the garden with that thing which they have".split())] * 20 + [("de", "das haus und der garten mit dem ding welches sie haben".split())] * 20
+    field = language_id.fit(rows)
+    title, body = "thehouseandthegardenwiththatthingwhichtheyhavethehouseand", "dashausunddergartenmitdemdingwelchessiehaben" * 60
+    lang, score = field.predict(pa.array([title + body, title, title + " " + body + "and", "", "x" + "1" * 200]))
+    assert lang[:4] == ["de", "en", "de", "und"] and lang[4] != "und" and score[0] > 0.9
+    codes, words, off = language_id.positions(pa.array(["a " + body + " b", "c"]))
+    assert "".join(words[k] for k in codes) == "a" + body + "bc" and off[2] - off[1] == 1 and max(map(len, words)) <= language_id.LETTERS
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(1)
     emit, trans, init = rng.normal(size=(4, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)

@@ -1,11 +1,12 @@
 """Language of code-switched text by a linear-chain conditional random field (operator 8).
 
-Each white-space word is a position, each language a label.  A word's features are its affixes, its
+Each white-space word is a position, and of a word beyond ``LETTERS`` characters (a sentence in scripts
+without blanks) each piece of that length; each language is a label.  A word's features are its affixes, its
 character n-grams, its own form and the languages whose frequent-word lexicon holds it, hashed into
 ``2 ** BITS`` weights per label.  Transitions between languages are learned with them, from rows in
 which stretches of documents of different languages follow each other.  Labels are marginals by the
 forward-backward recursion over the whole text; a document's language is the label with the largest
-mean marginal over its words that have letters, and that mean is its score.
+mean marginal over its positions that have letters, and that mean is its score.
 
 The field is fitted on at most ``FIT_DOCS`` labelled documents (by hash order, one window of
 ``FIT_WORDS`` words of each): a documented bound.  Prediction covers every word of every text.
@@ -19,11 +20,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches, split_words, table, texts_of
+from tidewatch.llm.common import ragged, small_batches, split_words, table, texts_of
 
 BITS = 15
 FIT_DOCS = 1500
@@ -31,6 +33,7 @@ FIT_WORDS = 36
 STRETCHES = 3  # of different documents, in one training row
 LEXICON = 200  # frequent words of each language
 STEPS = 60
+LETTERS = 48  # of a position
 MEMO_WORDS = 200_000
 NEW_WORDS = 16_384  # words without a memo whose features are held at a time
 LETTER = regex.compile(r"\p{L}")
@@ -56,15 +59,28 @@ def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
         core = "".join(filter(str.isalpha, core))
         if not core:
             return []
-    part = core[:48]  # n-grams of a word beyond any natural length repeat
-    n = len(part)
+    n = len(core)
     own = ["p" + core[:1], "p" + core[:2], "p" + core[:3], "s" + core[-1:], "s" + core[-2:], "s" + core[-3:]]
-    own += ["b" + part[i:i + 2] for i in range(n - 1)] + ["t" + part[i:i + 3] for i in range(n - 2)]
+    own += ["b" + core[i:i + 2] for i in range(n - 1)] + ["t" + core[i:i + 3] for i in range(n - 2)]
     own += [f"l{k}" for k in lexicon.get(core, ())]
-    out = _hashed(own)
-    if len(core) <= 24:
-        out.append(zlib.crc32(b"w" + core.encode()) & ((1 << BITS) - 1))
-    return out
+    return [*_hashed(own), zlib.crc32(b"w" + core.encode()) & ((1 << BITS) - 1)]
+
+
+def pieces(word: str) -> list[str]:
+    """The positions of a word."""
+    return [word[i:i + LETTERS] for i in range(0, len(word), LETTERS)]
+
+
+def positions(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """``split_words`` with long words in pieces: (code of each position, words, offset of each text)."""
+    codes, uniq, off = split_words(texts)
+    words = uniq.to_pylist()
+    if not words or pc.max(pc.utf8_length(uniq)).as_py() <= LETTERS:
+        return codes, words, off
+    cut = list(map(pieces, words))
+    starts = np.concatenate([[0], np.cumsum(list(map(len, cut)), dtype=np.int64)])
+    codes, ends = ragged(starts, np.arange(starts[-1]), codes)
+    return codes, [x for c in cut for x in c], ends[off]
 
 
 def forward_backward(emit: np.ndarray, off: np.ndarray, trans: np.ndarray, init: np.ndarray) -> np.ndarray:
@@ -124,16 +140,15 @@ class Field:
                 if not f:
                     row[-1] = LETTER.search(words[i]) is not None
                 got[i] = row.tobytes()
-                if len(words[i]) <= 64:
-                    self.memo[words[i]] = got[i]
+                self.memo[words[i]] = got[i]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         table_ = np.frombuffer(b"".join(got), "<f4").reshape(len(words), len(self.labels) + 1)
         return table_[:, :-1], table_[:, -1] > 0
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        codes, uniq, off = split_words(texts)
-        score, letter = self.emissions(uniq.to_pylist())
+        codes, words, off = positions(texts)
+        score, letter = self.emissions(words)
         p = forward_backward(score[codes], off, self.trans, self.init)
         has = letter[codes]
         p *= has[:, None]
@@ -228,9 +243,9 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, text, at = (b.column(c).to_pylist() for c in ("lang", "text", "at"))
         out = []
         for x, t, h in zip(lang, text, at):
-            ws = t.split()
+            ws = [x for w in t.split() for x in pieces(w)]
             s = h % max(1, len(ws) - FIT_WORDS + 1)
-            out.append({"lang": x, "words": " ".join(w[:64] for w in ws[s:s + FIT_WORDS])})
+            out.append({"lang": x, "words": " ".join(ws[s:s + FIT_WORDS])})
         yield pa.RecordBatch.from_pylist(out, pa.schema([("lang", pa.string()), ("words", pa.string())]))
 
 
