@@ -50,6 +50,11 @@ def test_pipeline_stages(spark, sf, odd_documents):
     assert "joe@" not in clean[10].text and clean[10].n_chars == len(clean[10].text) and clean[9].text == "x"
 
 
+def test_pipeline_without_languages(spark, sf, odd_documents):
+    docs = odd_documents.select(*corpus_pipeline.COLUMNS).withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, sf).collect()} == {1, 2, 6, 7, None, 9, 10}
+
+
 def test_pipeline_runs(spark, sf):
     got = corpus_pipeline.run(spark, sf).toPandas()
     assert got.groupby("sequence_id").length.sum().max() <= 4096 and got.doc_id.nunique() <= 200

@@ -180,6 +180,13 @@ def test_language_of_held_out_rows(spark, sf, odd_documents, no_documents):
     assert language_id.with_language(no_documents, language_id.fitted(no_documents, F.lit(True)), "doc_id").count() == 0
 
 
+def test_rare_language_is_a_label(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('the house and garden number ', id) AS text", "'en' AS lang")
+    docs = docs.unionByName(spark.createDataFrame([(9001, "das haus und der garten", "de")] * 5, docs.schema))
+    field = language_id.fitted(docs, F.lit(True), most=40)
+    assert field.labels == ["de", "en"] and field.predict(pa.array(["das haus und der garten"]))[0] == ["de"]
+
+
 def test_language_of_text_without_blanks():
     rows = [("en", "the house and the garden with that thing which they have".split())] * 20 + [("de", "das haus und der garten mit dem ding welches sie haben".split())] * 20
     field = language_id.fit(rows)

@@ -8,8 +8,9 @@ which stretches of documents of different languages follow each other.  Labels a
 forward-backward recursion over the whole text; a document's language is the label with the largest
 mean marginal over its positions that have letters, and that mean is its score.
 
-The field is fitted on at most ``FIT_DOCS`` labelled documents (by hash order, one window of
-``FIT_WORDS`` words of each): a documented bound.  Prediction covers every word of every text.
+The field is fitted on some ``FIT_DOCS`` labelled documents, the same number of each language where there
+are enough and ``FIT_LEAST`` at least (by hash order, one window of ``FIT_WORDS`` words of each): a
+documented bound.  A language with any labelled document is a label at every size.  Prediction covers every word of every text.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import ragged, small_batches, split_words, table, texts_of
+from tidewatch.llm.common import ragged, small_batches, split_words, table, texts_of, written
 
 BITS = 15
 FIT_DOCS = 1500
+FIT_LEAST = 20  # of each language, however many languages there are
 FIT_WORDS = 36
 STRETCHES = 3  # of different documents, in one training row
 LEXICON = 200  # frequent words of each language
@@ -240,25 +242,32 @@ def _messages(e: np.ndarray, trans: np.ndarray, init: np.ndarray) -> tuple[np.nd
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        lang, text, at = (b.column(c).to_pylist() for c in ("lang", "text", "at"))
+        lang, text, key, at = (b.column(c).to_pylist() for c in ("lang", "text", "h", "at"))
         out = []
-        for x, t, h in zip(lang, text, at):
+        for x, t, k, h in zip(lang, text, key, at):
             ws = [x for w in t.split() for x in pieces(w)]
             s = h % max(1, len(ws) - FIT_WORDS + 1)
-            out.append({"lang": x, "words": " ".join(ws[s:s + FIT_WORDS])})
-        yield pa.RecordBatch.from_pylist(out, pa.schema([("lang", pa.string()), ("words", pa.string())]))
+            out.append({"lang": x, "words": " ".join(ws[s:s + FIT_WORDS]), "h": k})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([("lang", pa.string()), ("words", pa.string()), ("h", pa.int64())]))
 
 
 def fitted(docs: DataFrame, learn, most: int = FIT_DOCS) -> Field | None:
-    """Fit on at most ``most`` of the labelled rows that ``learn`` selects, one window of words of each."""
+    """Fit on the labelled rows of least hash of each language that ``learn`` selects, one window of words of each.
+
+    Of equal rows one counts."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    h = F.xxhash64(F.col("doc_id"))
-    picked = rows.select("doc_id", h.alias("h")).orderBy("h", "doc_id").limit(most)
-    bound = picked.agg(F.max("h"), F.count(F.lit(1))).first()
-    if not bound[1]:
+    h = F.xxhash64("doc_id", "text")
+    # ranks up to the limit are cut before the shuffle, so no task gets a whole language
+    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("h"))
+    first = rows.select("lang", h.alias("h")).withColumn("r", rank).where(F.col("r") <= min(most, 1000))
+    first = written(first.groupBy("lang", "r").agg(F.min("h").alias("h")), "language_fit")  # languages x 1000 rows
+    n = first.select("lang").distinct().count()
+    if not n:
         return None
-    sample = rows.where(h <= F.lit(bound[0])).select("lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(1)), 1).alias("at"))
-    got = sample.mapInArrow(_windows, "lang string, words string").limit(most).collect()  # at most `most` short rows
+    bound = first.where(F.col("r") <= max(FIT_LEAST, most // n)).groupBy(F.col("lang").alias("b_lang")).agg(F.max("h").alias("b_h"))
+    sample = rows.withColumn("h", h).join(F.broadcast(bound), (F.col("lang") == F.col("b_lang")) & (F.col("h") <= F.col("b_h")))
+    sample = sample.select("lang", "text", "h", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(1)), 1).alias("at"))
+    got = sample.mapInArrow(_windows, "lang string, words string, h long").groupBy("lang", "h").agg(F.min("words").alias("words")).collect()  # short rows, as many as picked
     return fit([(r["lang"], r["words"].split()) for r in got])
 
 
