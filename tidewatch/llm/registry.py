@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from tidewatch.llm import decontaminate, quotes, topk
+from tidewatch.llm import decontaminate, merkle, quotes, topk
 from tidewatch.llm.decontaminate import op9_decontaminate
 from tidewatch.llm.id_store import op10_id_store
 from tidewatch.llm.language_id import op8_language_id
 from tidewatch.llm.lm_ctw import op6_lm_scores
+from tidewatch.llm.merkle import op13_merkle_manifest
 from tidewatch.llm.ngram_join import op1_ngram_join
 from tidewatch.llm.packing import op2_packing
 from tidewatch.llm.pii import op5_pii
@@ -27,10 +28,12 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontaminate": op9_decontaminate,
     "op10_id_store": op10_id_store,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op4_topk": topk.ORACLE,
     "op7_quotes": quotes.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
