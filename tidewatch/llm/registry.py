@@ -8,6 +8,7 @@ from tidewatch.llm import decontaminate, merkle, quotes, topk
 from tidewatch.llm.decontaminate import op9_decontaminate
 from tidewatch.llm.id_store import op10_id_store
 from tidewatch.llm.language_id import op8_language_id
+from tidewatch.llm.licenses import op12_license_scan
 from tidewatch.llm.lm_ctw import op6_lm_scores
 from tidewatch.llm.merkle import op13_merkle_manifest
 from tidewatch.llm.ngram_join import op1_ngram_join
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontaminate": op9_decontaminate,
     "op10_id_store": op10_id_store,
+    "op12_license_scan": op12_license_scan,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -35,5 +37,6 @@ ORACLE: dict[str, str] = {
     "op4_topk": topk.ORACLE,
     "op7_quotes": quotes.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
+    "op12_license_scan": op12_license_scan,
     "op13_merkle_manifest": merkle.ORACLE,
 }
