@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from tidewatch.llm import decontaminate, merkle, quotes, topk
+from tidewatch.llm import collocations, decontaminate, merkle, quotes, topk
+from tidewatch.llm.collocations import op11_collocations
 from tidewatch.llm.decontaminate import op9_decontaminate
 from tidewatch.llm.id_store import op10_id_store
 from tidewatch.llm.language_id import op8_language_id
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontaminate": op9_decontaminate,
     "op10_id_store": op10_id_store,
+    "op11_collocations": op11_collocations,
     "op12_license_scan": op12_license_scan,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
@@ -37,6 +39,8 @@ ORACLE: dict[str, str] = {
     "op4_topk": topk.ORACLE,
     "op7_quotes": quotes.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
+    "op11_collocations": op11_collocations,
     "op12_license_scan": op12_license_scan,
+    "op11_collocations": collocations.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
