@@ -6,7 +6,9 @@ floor(1000 a n / (l r)); each language's first ``most`` are returned.
 *Bound.*  A phrase starting with w scores at most floor(1000 n / f(w)): its cut after w has l = f(w), and
 r >= a.  So the prefix w is a branch, and rare first words promise most.
 
-*Waves.*  Branches are expanded best first, in two waves over the texts.  The first takes each language's
+*Blocks.*  The texts are cut into words once and written as streams of unit numbers; all passes read these.
+
+*Waves.*  Branches are expanded best first, in two waves over the blocks.  The first takes each language's
 rarest first words, up to a share of its occurrences.  The ``most``-th surviving score found is then a
 floor for the result: the second wave takes every branch whose bound meets it, ties included (all
 branches if fewer than ``most`` phrases were found), and the rest is settled without being counted.
@@ -57,38 +59,62 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 # --- words of a block ---------------------------------------------------------------------
 
+BLOCK = "langs array<string>, words array<string>, hashes array<long>, counts array<long>, stream binary"
+
+
+def encoded_block(langs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    """One row: the units (language and word) of some texts, their hashes and counts, and the texts as a stream
+    of unit numbers, -1 between pieces."""
+    texts = texts.cast(pa.large_binary())
+    off = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    off = off - off[0]
+    kind = _KIND[data]
+    inside = kind == 0
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True  # texts begin and end here
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1] | edge[1:-1]
+    end[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    place = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(place), pa.py_buffer(_LOWER[data[inside]])]).dictionary_encode()
+    text = np.searchsorted(off, starts, "right") - 1
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts] + text if len(starts) else starts
+    lang, many = langs.dictionary_encode(), max(1, len(words.dictionary))
+    both = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text] * many + words.indices.to_numpy(zero_copy_only=False)
+    if len(lang.dictionary) * many <= 8 * len(both):  # as a rule: no sort
+        n = np.bincount(both, minlength=len(lang.dictionary) * many)
+        units = np.flatnonzero(n)
+        unit, n = (np.cumsum(n > 0) - 1)[both], n[units]
+    else:
+        units, unit, n = np.unique(both, return_inverse=True, return_counts=True)
+    own = lang.dictionary.take(pa.array(units // many)).cast(pa.string())
+    word = words.dictionary.take(pa.array(units % many)).cast(pa.large_string()).cast(pa.string())
+    h = unit_hash(np.array(own.to_pylist(), object), np.array(word.to_pylist(), object)) if len(units) else np.zeros(0, np.uint64)
+    fresh = np.concatenate([[False], piece[1:] != piece[:-1]]) if len(piece) else np.zeros(0, bool)
+    stream = np.full(len(unit) + int(fresh.sum()), -1, np.int32)
+    stream[np.arange(len(unit)) + np.cumsum(fresh)] = unit
+    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    cols = [one(own), one(word), one(pa.array(h.view(np.int64))), one(pa.array(n.astype(np.int64))), pa.array([stream.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["langs", "words", "hashes", "counts", "stream"])
+
 
 class Block:
-    """The words of some texts: unit (language and word) of each, piece of each, hash of each unit."""
-
-    def __init__(self, langs: pa.Array, texts: pa.Array):
-        texts = texts.cast(pa.large_binary())
-        off = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
-        off = off - off[0]
-        kind = _KIND[data]
-        inside = kind == 0
-        edge = np.zeros(len(data) + 1, bool)
-        edge[off] = True  # texts begin and end here
-        begin, end = inside.copy(), inside.copy()
-        begin[1:] &= ~inside[:-1] | edge[1:-1]
-        end[:-1] &= ~inside[1:] | edge[1:-1]
-        starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        place = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(place), pa.py_buffer(_LOWER[data[inside]])]).dictionary_encode()
-        text = np.searchsorted(off, starts, "right") - 1
-        self.piece = np.cumsum(kind == 2)[starts] + text if len(starts) else starts
-        lang = langs.dictionary_encode()
-        both = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text] * (len(words.dictionary) + 1) + words.indices.to_numpy(zero_copy_only=False)
-        units, self.unit = np.unique(both, return_inverse=True)
-        self.langs = lang.dictionary.take(pa.array(units // (len(words.dictionary) + 1)))
-        self.words = words.dictionary.take(pa.array(units % (len(words.dictionary) + 1))).cast(pa.large_string())
-        self.hash = unit_hash(np.array(self.langs.to_pylist(), object), np.array(self.words.to_pylist(), object)) if len(units) else np.zeros(0, np.uint64)
-
-    def places(self, words: int) -> np.ndarray:
-        """Where a phrase of so many words can begin."""
-        at = np.arange(max(0, len(self.unit) - words + 1))
-        return at[self.piece[at] == self.piece[at + words - 1]] if len(at) else at
+    """A row of encoded texts: ``unit`` of each place (-1 between pieces), language, word and hash of each unit."""
+
+    def __init__(self, langs: pa.Array, words: pa.Array, hashes: pa.Array, stream: bytes):
+        self.langs, self.words = langs, words.cast(pa.large_string())
+        self.hash = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        self.unit = np.frombuffer(stream, np.int32)
+
+    def places(self, words: int, opens: np.ndarray | None = None) -> np.ndarray:
+        """Where a phrase of so many words can begin, with one of the units ``opens``."""
+        at = np.flatnonzero(self.unit >= 0 if opens is None else np.append(opens, False)[self.unit])
+        for k in range(1, words):
+            at = at[at + k < len(self.unit)]
+            at = at[self.unit[at + k] >= 0]
+        return at
 
     def hashes(self, at: np.ndarray, words: int) -> np.ndarray:
         h = self.hash[self.unit[at]]
@@ -97,9 +123,9 @@ class Block:
         return h
 
     def phrases(self, at: np.ndarray, words: int) -> pa.RecordBatch:
-        """(lang, words, phrase, h, n, left, right) of the phrases that begin at ``at``: their number here, and the
-        word before and behind if it is always the same one."""
-        key = self.unit[at]
+        """(lang, words, phrase, h, n, left, right) of the phrases of 2 words or more that begin at ``at``: their
+        number here, and the word before and behind if it is always the same one."""
+        key = self.unit[at].astype(np.int64)
         for k in range(1, words):
             _, rank = np.unique(key, return_inverse=True)
             key = rank * (len(self.words) + 1) + self.unit[at + k]
@@ -110,18 +136,17 @@ class Block:
         one = at[head]
 
         def beside(step: int) -> pa.Array:
+            if not len(one):
+                return pa.nulls(0, pa.large_string())
             to = at + step
             ok = (to >= 0) & (to < len(self.unit))
-            to = np.where(ok, to, 0)
-            unit = np.where(ok & (self.piece[to] == self.piece[at]), self.unit[to], -1)
+            unit = np.where(ok, self.unit[np.where(ok, to, 0)], -1)
             low, high = np.minimum.reduceat(unit, head), np.maximum.reduceat(unit, head)
             return self.words.take(pa.array(low, mask=(low != high) | (low < 0)))
 
         word = [self.words.take(pa.array(self.unit[one + k])) for k in range(words)]
-        text = pc.binary_join_element_wise(*word, pa.scalar(" ", pa.large_string())) if words > 1 else word[0]
-        none = pa.nulls(0, pa.large_string())
-        cols = [self.langs.take(pa.array(self.unit[one])), pa.array(np.full(len(one), words, np.int32)), text, pa.array(self.hashes(one, words).view(np.int64)), pa.array(n.astype(np.int64)),
-                beside(-1) if len(one) else none, beside(words) if len(one) else none]
+        text = pc.binary_join_element_wise(*word, pa.scalar(" ", pa.large_string()))
+        cols = [self.langs.take(pa.array(self.unit[one])), pa.array(np.full(len(one), words, np.int32)), text, pa.array(self.hashes(one, words).view(np.int64)), pa.array(n.astype(np.int64)), beside(-1), beside(words)]
         return pa.RecordBatch.from_arrays([c.cast(pa.string()) if pa.types.is_large_string(c.type) else c for c in cols], names=["lang", "words", "phrase", "h", "n", "left", "right"])
 
 
@@ -168,14 +193,24 @@ def holds(set_: np.ndarray, h: np.ndarray) -> np.ndarray:
 ROW = "lang string, words int, phrase string, h long, n long, left string, right string"
 
 
-def _pass(texts: DataFrame, schema: str, rows_of: Callable[[Block], Iterable[pa.RecordBatch]]) -> DataFrame:
+def encoded(texts: DataFrame) -> DataFrame:
+    """The texts (lang, text) cut into words once, in blocks; a third to a half of their size on disk."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text"):
-            block = Block(b.column("lang"), texts_of(b))
-            if len(block.unit):
-                yield from rows_of(block)
+            yield encoded_block(b.column("lang"), texts_of(b))
+
+    return written(texts.mapInArrow(run, BLOCK), "phrase_blocks")
+
+
+def _pass(blocks: DataFrame, schema: str, rows_of: Callable[[Block], Iterable[pa.RecordBatch]]) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                own = [b.column(c)[i] for c in ("langs", "words", "hashes", "stream")]
+                yield from rows_of(Block(*(x.values for x in own[:3]), own[3].as_py()))
 
-    return texts.mapInArrow(run, schema)
+    return blocks.select("langs", "words", "hashes", "stream").mapInArrow(run, schema)
 
 
 def _summed(rows: DataFrame, least: int) -> DataFrame:
@@ -185,23 +220,22 @@ def _summed(rows: DataFrame, least: int) -> DataFrame:
     return got.where(F.col("a") >= least)
 
 
-def _grown(texts: DataFrame, words: DataFrame, wave: DataFrame, least: int, longest: int, bits: int) -> DataFrame:
+def _grown(blocks: DataFrame, words: DataFrame, wave: DataFrame, least: int, longest: int, bits: int) -> DataFrame:
     """The frequent phrases that begin with a word of ``wave``."""
-    spark = texts.sparkSession
+    spark = blocks.sparkSession
     share = spark.sparkContext.broadcast
     first, frequent = share(sketch(wave, bits)), share(sketch(words, bits))
 
     def starts(block: Block, n: int) -> np.ndarray:
         opens, goes_on = holds(first.value, block.hash), holds(frequent.value, block.hash)
-        at = block.places(n)
-        at = at[opens[block.unit[at]]]
+        at = block.places(n, opens)
         return at[goes_on[block.unit[at + n - 1]]]
 
     def pairs(block: Block) -> Iterator[pa.RecordBatch]:
         h, n = np.unique(block.hashes(starts(block, 2), 2), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    often = _pass(texts, "h long, n long", pairs).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    often = _pass(blocks, "h long, n long", pairs).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     known = share(sketch(written(often.select("h"), "phrase_pairs"), bits))
     out = None
     for n in range(min(3, longest), longest + 1):
@@ -214,7 +248,7 @@ def _grown(texts: DataFrame, words: DataFrame, wave: DataFrame, least: int, long
                 at = starts(block, n)
                 yield block.phrases(at[holds(known.value, block.hashes(at, n - 1))], n)
 
-        got = written(_summed(_pass(texts, ROW, longer), least), "phrases")
+        got = written(_summed(_pass(blocks, ROW, longer), least), "phrases")
         out = got if out is None else out.unionByName(got)
         last = sketch(got.where(F.col("words") == n), bits)
         if not last.any():
@@ -223,16 +257,16 @@ def _grown(texts: DataFrame, words: DataFrame, wave: DataFrame, least: int, long
     return out
 
 
-def _counted(texts: DataFrame, wanted: DataFrame, longest: int, bits: int) -> DataFrame:
+def _counted(blocks: DataFrame, wanted: DataFrame, longest: int, bits: int) -> DataFrame:
     """(lang, phrase, a) of the ``wanted`` (lang, phrase) of 2 words and more."""
-    known = texts.sparkSession.sparkContext.broadcast(sketch(wanted.withColumn("h", phrase_hash("lang", "phrase")), bits))
+    known = blocks.sparkSession.sparkContext.broadcast(sketch(wanted.withColumn("h", phrase_hash("lang", "phrase")), bits))
 
     def rows_of(block: Block) -> Iterator[pa.RecordBatch]:
         for n in range(2, longest):
             at = block.places(n)
             yield block.phrases(at[holds(known.value, block.hashes(at, n))], n)
 
-    rows = _pass(texts, ROW, rows_of).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+    rows = _pass(blocks, ROW, rows_of).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
     return rows.join(wanted, ["lang", "phrase"], "left_semi")
 
 
@@ -271,7 +305,9 @@ def collocations(docs: DataFrame, most: int = 2000, least: int = 100, longest: i
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``most`` collocations."""
     importable(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    every = _pass(texts, ROW, lambda b: [b.phrases(b.places(1), 1)]).groupBy("lang", "phrase", "h").agg(F.sum("n").alias("a"))
+    blocks = encoded(texts)
+    units = F.arrays_zip(F.col("langs").alias("lang"), F.col("words").alias("phrase"), F.col("hashes").alias("h"), F.col("counts").alias("n"))
+    every = blocks.select(F.explode(units).alias("u")).select("u.*").groupBy("lang", "phrase", "h").agg(F.sum("n").alias("a"))
     every = written(every, "phrase_words")
     totals = written(every.groupBy("lang").agg(F.sum("a").alias("n")), "phrase_totals")
     words = every.where(F.col("a") >= least)
@@ -286,14 +322,19 @@ def collocations(docs: DataFrame, most: int = 2000, least: int = 100, longest: i
     wave = written(words.join(high, "lang").where("a <= high").select("lang", "phrase", "h", "a"), "phrase_wave")
     found, counts, best = None, words.select("lang", "phrase", "a"), None
     for last in (False, True):
-        more = _grown(texts, words, wave, least, longest, bits)
+        more = _grown(blocks, words, wave, least, longest, bits)
         found = more if found is None else found.unionByName(more)
         counts = counts.unionByName(more.select("lang", "phrase", "a"))
+        # languages with too few phrases have no floor yet: if all are such, the scores can wait
+        lasting = found.where((F.col("words") == longest) | ~F.col("bound")).groupBy("lang").count()
+        if not last and lasting.where(F.col("count") >= most).isEmpty():
+            wave = written(words.join(high, "lang").where("a > high").select("lang", "phrase", "h", "a"), "phrase_wave")
+            continue
         rests = found.where((F.col("words") > 2) & ((F.col("words") == longest) | ~F.col("bound"))).select("lang", F.explode(_parts(F.col("words"))).alias("c"))
         rests = rests.select("lang", F.col("c.rest").alias("phrase")).distinct().join(counts, ["lang", "phrase"], "left_anti")
         rests = written(rests, "phrase_rests")
         if not rests.isEmpty():
-            counts = counts.unionByName(written(_counted(texts, rests, longest, bits), "phrase_rest_counts"))
+            counts = counts.unionByName(written(_counted(blocks, rests, longest, bits), "phrase_rest_counts"))
         best = written(_best(_scored(found, counts, totals, longest), most), "phrase_best")
         if last:
             break
