@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def package_for_workers(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import the package (a cluster gets it by --py-files)."""
+    home, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (home, known) if x)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (HDFS, object store, shared disk).
 

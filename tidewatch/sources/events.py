@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tidewatch import schemas
+from tidewatch.session import package_for_workers
 
 
 def read_event_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -154,6 +155,20 @@ def event_lines_stream(spark: SparkSession, directory: str, max_files_per_trigge
     )
 
 
+def event_lines_tail(spark: SparkSession, path: str, **options) -> DataFrame:
+    """S9 / ST1 / ST2 / ST5: growing files (one, a folder or a pattern) as an unbounded stream of (value, ord).
+
+    Lines appended while the stream runs are read, rotation is followed, and a batch is let go at 10 waiting
+    flow lines or after 5 seconds; see ``tidewatch.sources.tail`` for the options."""
+    from tidewatch.sources.tail import TailedFiles
+
+    package_for_workers(spark)
+    spark.dataSource.register(TailedFiles)
+    settings = {"startingOffsets": "latest", "minLines": "10", "maxDelaySeconds": "5", "countPattern": r'"event_type"\s*:\s*"flow"'} | options
+    df = spark.readStream.format("tailed_files").options(path=path, **settings).load()
+    return df.select(F.col("value").cast("string").alias("value"), F.struct("file", "block", "pos").alias("ord"))
+
+
 def event_lines_kafka(
     spark: SparkSession,
     servers: str,

@@ -1,7 +1,7 @@
 """Live scoring of a growing event log (ST1–ST6) with Structured Streaming.
 
 The source is a directory of rotated NDJSON files (a file source sees new files, not
-appends to a processed file).  Each micro-batch goes through the *same* functions as the
+appends to a processed file), or growing files (``tidewatch.sources.tail``), or Kafka.  Each micro-batch goes through the *same* functions as the
 batch path — ``parse_event_lines`` -> ``typed_events`` -> FX4 features -> scorer — and is
 written by ``foreachBatch`` to ``<out>/batch_id=<n>`` with overwrite, so a batch replayed
 after a failure replaces its own output instead of duplicating it (the checkpoint holds
@@ -14,11 +14,10 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators import features as FX
-from tidewatch.operators.correlate import with_ordinal
 from tidewatch.sinks import batch_report
 from tidewatch.sources.events import event_lines_stream, parse_event_lines, typed_events, with_line_order
 
@@ -45,9 +44,24 @@ def _first_start(spark: SparkSession, checkpoint_dir: str) -> int:
         return now
 
 
+def with_batch_ordinal(rows: DataFrame, name: str = "batch_ordinal") -> DataFrame:
+    """The rows of one micro-batch numbered 1..n in log order, with no files left behind.
+
+    A row's position in its task comes from its row id; a count per input split (file, block) gives the rows
+    before it.  Rows stay where they were read; the counts, a row for each split of the batch, are broadcast."""
+    rows = rows.withColumn("__mid", F.monotonically_increasing_id())
+    split = [F.col("ord.file").alias("__file"), F.col("ord.block").alias("__block")]
+    counts = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    before = F.sum("__n").over(Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("__file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    same = F.col("ord.file").eqNullSafe(F.col("__file")) & F.col("ord.block").eqNullSafe(F.col("__block"))
+    out = rows.join(F.broadcast(counts), same)
+    return out.withColumn(name, F.col("__before") + F.col("__mid") - F.col("__first") + 1).drop("__mid", "__file", "__block", "__first", "__before")
+
+
 def start_scoring_stream(
     spark: SparkSession,
-    in_dir: str,
+    source: str | DataFrame,
     out_dir: str,
     checkpoint_dir: str,
     scorer: Scorer,
@@ -58,29 +72,33 @@ def start_scoring_stream(
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
-    ``start_at_end`` (ST2) skips files that already existed when the query first started; that
+    ``source``: a directory of rotated files, or any streaming frame of (value, ord), such as
+    ``event_lines_tail`` (growing files) or ``event_lines_kafka``, which have their own start and flush.
+    ``scorer`` may be a rule or a fitted forest; the model is read where the query starts and goes to the
+    tasks of each batch.
+    ``start_at_end`` (ST2, directory) skips files that already existed when the query first started; that
     time is kept beside the checkpoint, so a restart loses nothing.
-    ``trigger`` defaults to a 5-second processing-time trigger (ST5); tests and the
-    catalogue use ``{"availableNow": True}``.
-    ``ordinal`` (W1) numbers the rows of each micro-batch 1..n in log order with the
-    distributed ``with_ordinal`` (no single-task window over the batch).
+    ``trigger`` defaults to 5 seconds for a directory, and to half a second for other sources, whose own
+    count-or-time flush (ST5) decides; tests and the catalogue use ``{"availableNow": True}``.
+    ``ordinal`` (W1) numbers the rows of each micro-batch 1..n in log order.
     """
-    lines = event_lines_stream(spark, in_dir, max_files_per_trigger)
-    if start_at_end:
+    directory = isinstance(source, str)
+    lines = event_lines_stream(spark, source, max_files_per_trigger) if directory else source
+    if directory and start_at_end:
         started = _first_start(spark, checkpoint_dir)
         lines = lines.filter(F.col("file_mtime") >= F.timestamp_millis(F.lit(started)))
     lines = lines.drop("file_mtime")
 
     def sink(batch: DataFrame, batch_id: int) -> None:  # ST4 ML7 K6 ST6 on one micro-batch
-        scored = score_flow_lines(with_line_order(batch), scorer)
+        scored = score_flow_lines(with_line_order(batch) if directory else batch, scorer)
         if ordinal:
-            scored = with_ordinal(scored, "ord", "batch_ordinal")
+            scored = with_batch_ordinal(scored)
         # the batch id is carried by the partition folder name
         out = batch_report(scored, batch_id).drop("batch_id")
         out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds" if directory else "500 milliseconds"}))
     return writer.start()
 
 
