@@ -201,3 +201,24 @@ def test_strict_single_object_lines(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "ord long, value string")
     got = [r.line_kind for r in parse_event_lines(df).orderBy("ord").collect()]
     assert got == ["event", "event", "malformed", "malformed", "malformed", "blank", "event", "malformed", "malformed"]
+
+
+def test_encoding_policies(spark, tmp_path):
+    import pytest
+
+    from tidewatch.sources.events import parse_accounting, parse_event_lines, read_event_lines, typed_events
+
+    path = tmp_path / "bad.json"
+    good = b'{"event_type": "alert", "alert": {"signature": "caf\xc3\xa9"}}'
+    path.write_bytes(good + b"\n" + good.replace(b"\xc3\xa9", b"\xe9") + b"\n\xff\n\n")
+    lines = read_event_lines(spark, str(path))
+    rows = typed_events(parse_event_lines(lines)).collect()
+    assert sorted(r.signature for r in rows) == ["café", "caf�"]
+    strict = parse_event_lines(lines, encoding="strict")
+    assert [r.signature for r in typed_events(strict).collect()] == ["café"]
+    r = parse_accounting(strict, undecodable=True).first()
+    assert (r.lines_total, r.lines_undecodable, r.lines_blank, r.lines_malformed, r.events) == (4, 2, 1, 0, 1)
+    r = parse_accounting(parse_event_lines(lines)).first()
+    assert (r.lines_total, r.lines_blank, r.lines_malformed, r.events) == (4, 1, 1, 2)
+    with pytest.raises(ValueError):
+        parse_event_lines(lines, encoding="latin")

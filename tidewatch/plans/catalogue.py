@@ -303,3 +303,4 @@ def q_signature_class(spark, sf_dir):
 from tidewatch.plans import q_tables  # noqa: E402,F401
 from tidewatch.plans import q_reports  # noqa: E402,F401
 from tidewatch.plans import q_learning  # noqa: E402,F401
+from tidewatch.plans import q_gap  # noqa: E402,F401

@@ -34,20 +34,28 @@ def read_event_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str = "ord") -> DataFrame:
+def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str = "ord", encoding: str = "replace") -> DataFrame:
     """X20 + S8: lines -> one row per line with ``line_kind`` in {blank, malformed, event} and
     ``ev`` (the JSON parse; fields are reached by struct paths such as ``ev.flow.start``).
 
     Malformed = the line, white space at its ends taken off, is not exactly one JSON object in
     strict JSON.  The line is parsed as the only element of an array, so anything behind the
     first object (a second object, trailing text) makes the parse fail.
+
+    ``encoding``: what becomes of a line whose bytes are no UTF-8.  ``replace`` reads each bad byte as
+    U+FFFD and parses on; ``strict`` gives the line the kind ``undecodable`` and reads nothing from it.
     """
-    line = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
+    if encoding not in ("replace", "strict"):
+        raise ValueError(f"unknown encoding policy {encoding!r}")
+    raw = F.col(value_col)
+    undecodable = (~F.is_valid_utf8(raw) if encoding == "strict" else F.lit(False)).alias("_undecodable")
+    text = F.make_valid_utf8(raw) if encoding == "replace" else F.when(F.is_valid_utf8(raw), raw)
+    line = F.regexp_replace(text, r"^\s+|\s+$", "")
     parsed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), ArrayType(schemas.EVE_SCHEMA), {"allowSingleQuotes": "false"})
-    df = lines.select(F.col(ord_col).alias("ord"), line.alias("_line"), parsed.alias("_all"))
+    df = lines.select(F.col(ord_col).alias("ord"), line.alias("_line"), parsed.alias("_all"), undecodable)
     blank = F.col("_line").isNull() | (F.col("_line") == "")
     one = F.col("_line").startswith("{") & F.coalesce(F.size("_all") == 1, F.lit(False))
-    kind = F.when(blank, F.lit("blank")).when(one, F.lit("event")).otherwise(F.lit("malformed"))
+    kind = F.when(F.col("_undecodable"), F.lit("undecodable")).when(blank, F.lit("blank")).when(one, F.lit("event")).otherwise(F.lit("malformed"))
     return df.select("ord", kind.alias("line_kind"), F.when(one, F.get("_all", F.lit(0))).alias("ev"))
 
 
@@ -118,22 +126,29 @@ def ingest_events(events: DataFrame, path: str) -> DataFrame:
     return events.sparkSession.read.parquet(path)
 
 
-def parse_accounting(parsed: DataFrame) -> DataFrame:
-    """One row of line counters (total, blank, malformed, events, flows, alerts).
-
-    A single aggregate over the parsed lines: partial counts per task, one tiny merge.
-    """
+def line_counters(undecodable: bool = False) -> list[Column]:
+    """Counters of parsed lines (total, blank, malformed, events, flows, alerts, stats), for an
+    aggregate or an observation of the pass that reads them anyway."""
     k = F.col("line_kind")
     et = F.col("ev.event_type")
-    return parsed.agg(
+    return [
         F.count(F.lit(1)).alias("lines_total"),
         F.count_if(k == "blank").alias("lines_blank"),
         F.count_if(k == "malformed").alias("lines_malformed"),
+        *([F.count_if(k == "undecodable").alias("lines_undecodable")] if undecodable else []),
         F.count_if(k == "event").alias("events"),
         F.count_if((k == "event") & (et == "flow")).alias("flow_events"),
         F.count_if((k == "event") & (et == "alert")).alias("alert_events"),
         F.count_if((k == "event") & et.eqNullSafe("stats")).alias("stats_events"),
-    )
+    ]
+
+
+def parse_accounting(parsed: DataFrame, undecodable: bool = False) -> DataFrame:
+    """One row of line counters, with ``lines_undecodable`` if asked for (strict encoding).
+
+    A single aggregate over the parsed lines: partial counts per task, one tiny merge.
+    """
+    return parsed.agg(*line_counters(undecodable))
 
 
 def event_lines_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
