@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
-from tidewatch.operators.correlate import with_ordinal
+from tidewatch.session import handed_off
 
 # ---------------------------------------------------------------------------------------
 # A1 / A2 / A3 / W2
@@ -116,39 +116,117 @@ def event_counts(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def _ranked_values(df: DataFrame, group: str, v: str) -> DataFrame:
-    """(group, __v, __g): non-missing values with their global rank in (group, value) order
-    (one range-partitioned sort for all groups; checkpointed by ``with_ordinal``)."""
-    vals = df.select(group, F.col(v).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    return with_ordinal(vals, [group, "__v"], "__g")
+BRACKET_ROWS = 100_000  # a bracket with no more rows is looked at value by value
+GRID = 1000  # sketch points among which a wider bracket is narrowed
 
 
-def _quantiles_at(ranked: DataFrame, per_group: DataFrame, group: str, qs: list[float]) -> DataFrame:
-    """Linear interpolation between the values at in-group ranks floor(h)+1 and ceil(h)+1,
-    h = (n-1)·q.  Because the global order starts with the group, those are the global ranks
-    g0 + floor(h) and g0 + ceil(h) (g0 = the group's first global rank): only those rows are
-    read back, through a broadcast of the wanted ranks (groups × quantiles × 2 rows)."""
-    pos = [F.struct(F.lit(float(q)).alias("q"), ((F.col("_n") - 1) * F.lit(float(q))).alias("h")) for q in qs]
-    wanted = per_group.select(group, "__g0", F.explode(F.array(*pos)).alias("p")).select(group, "__g0", "p.*")
-    wanted = wanted.withColumn("lo_g", F.col("__g0") + F.floor("h")).withColumn("hi_g", F.col("__g0") + F.ceil("h"))
-    picks = wanted.select(F.explode(F.array("lo_g", "hi_g")).alias("__g")).distinct()
-    at = ranked.join(F.broadcast(picks), on="__g").select("__g", "__v")
-    lo = at.select(F.col("__g").alias("lo_g"), F.col("__v").alias("v_lo"))
-    hi = at.select(F.col("__g").alias("hi_g"), F.col("__v").alias("v_hi"))
-    both = wanted.join(lo, on="lo_g").join(hi, on="hi_g")
-    frac = F.col("h") - F.floor("h")
-    return both.select(group, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
+def _brackets(vals: DataFrame, qs: list[float]) -> tuple[DataFrame, int]:
+    """One row a group: count, extremes and moments of its values, and for each wanted rank a bracket.
+
+    Wanted are the two ranks (from 0) around h = (n - 1) q of each quantile.  A bracket is a closed interval
+    that holds the value of that rank: ``lo_i``, ``hi_i``, the rows before it ``before_i`` and inside it
+    ``inside_i``.  At first it spans all values; one sketch, made in the same pass, serves to narrow them all."""
+    v = F.col("__v")
+    stats = vals.groupBy("__grp").agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("min"), F.max(v).alias("max"),
+                                      F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                      F.percentile_approx(v, _grid(), 10 * GRID).alias("grid"))
+    cols = []
+    for k, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        for i, rank in ((2 * k, F.floor(h)), (2 * k + 1, F.ceil(h))):
+            cols += [rank.cast("bigint").alias(f"rank_{i}"), F.col("min").alias(f"lo_{i}"), F.col("max").alias(f"hi_{i}"),
+                     F.lit(0).cast("bigint").alias(f"before_{i}"), F.col("_n").alias(f"inside_{i}")]
+    many = 2 * len(qs)
+    brackets = stats.select("*", *cols, *[F.col("grid").alias(f"grid_{i}") for i in range(many)]).drop("grid")
+    return _cut_to_grid(vals, handed_off(brackets, "brackets"), many), many
+
+
+def _grid() -> list[float]:
+    return [x / GRID for x in range(GRID + 1)]
+
+
+def _beside(vals: DataFrame, brackets: DataFrame) -> DataFrame:
+    """Values with their group's brackets; the brackets are read from files, so a hot group is split."""
+    return vals.join(brackets.withColumnRenamed("__grp", "__b"), F.col("__grp").eqNullSafe(F.col("__b"))).drop("__b")
+
+
+def _narrowed(vals: DataFrame, brackets: DataFrame, many: int) -> DataFrame:
+    """Each wide bracket cut to the three steps of a sketch grid around its rank, then counted exactly.
+
+    Sketches are merged from partial ones (bounded, whatever the group's size)."""
+    wide = lambda i: (F.col(f"inside_{i}") > BRACKET_ROWS) & (F.col(f"lo_{i}") < F.col(f"hi_{i}"))
+    points = _beside(vals, brackets).groupBy("__grp").agg(
+        *[F.percentile_approx(F.when(_inside(i) & wide(i), F.col("__v")), _grid(), 10 * GRID).alias(f"grid_{i}") for i in range(many)])
+    met = brackets.join(points.withColumnRenamed("__grp", "__b"), F.col("__grp").eqNullSafe(F.col("__b"))).drop("__b")
+    return _cut_to_grid(vals, handed_off(met, "brackets"), many)
+
+
+def _inside(i: int) -> Column:
+    return F.col("__v").between(F.col(f"lo_{i}"), F.col(f"hi_{i}"))
+
+
+def _cut_to_grid(vals: DataFrame, met: DataFrame, many: int) -> DataFrame:
+    """Brackets with grids, cut and counted; should a sketch have missed its rank, the bracket stays as it was."""
+    step = lambda i: F.floor((F.col(f"rank_{i}") - F.col(f"before_{i}")) * GRID / F.col(f"inside_{i}")).cast("int")
+    tried = met.select("__grp", *[x for i in range(many) for x in (
+        F.coalesce(F.get(f"grid_{i}", F.greatest(step(i) - 1, F.lit(0))), F.col(f"lo_{i}")).alias(f"lo_{i}"),
+        F.coalesce(F.get(f"grid_{i}", F.least(step(i) + 2, F.lit(GRID))), F.col(f"hi_{i}")).alias(f"hi_{i}"))])
+    counts = _beside(vals, handed_off(tried, "brackets")).groupBy("__grp").agg(
+        *[x for i in range(many) for x in (F.count_if(F.col("__v") < F.col(f"lo_{i}")).alias(f"nb_{i}"), F.count_if(_inside(i)).alias(f"ni_{i}"),
+                                          F.first(f"lo_{i}").alias(f"nl_{i}"), F.first(f"hi_{i}").alias(f"nh_{i}"))])
+    kept = [c for c in met.columns if c.split("_")[0] not in ("lo", "hi", "before", "inside", "grid")]
+    met = met.join(counts.withColumnRenamed("__grp", "__b"), F.col("__grp").eqNullSafe(F.col("__b"))).drop("__b")
+    new = {"lo": "nl", "hi": "nh", "before": "nb", "inside": "ni"}
+    good = lambda i: (F.col(f"nb_{i}") <= F.col(f"rank_{i}")) & (F.col(f"rank_{i}") < F.col(f"nb_{i}") + F.col(f"ni_{i}"))
+    return handed_off(met.select(*kept, *[F.when(good(i), F.col(f"{b}_{i}")).otherwise(F.col(f"{a}_{i}")).alias(f"{a}_{i}")
+                                          for i in range(many) for a, b in new.items()]), "brackets")
+
+
+def _selected(vals: DataFrame, qs: list[float]) -> DataFrame:
+    """Per group: ``_n``, min, max, mean, std and the exact quantiles ``q_0``, ``q_1``, ... (pandas' linear rule).
+
+    Bracketed selection: brackets are narrowed by sketches and exact counts until each holds few rows or one
+    value; then the distinct values inside, with their counts, are walked to the rank.  Every pass is a partial
+    aggregate; no value is sorted or shuffled unless it lies in a last bracket."""
+    vals = handed_off(vals, "profile_values")
+    brackets, many = _brackets(vals, qs)
+    before = None
+    while True:
+        left = brackets.agg(*[F.sum(F.when(F.col(f"lo_{i}") < F.col(f"hi_{i}"), F.col(f"inside_{i}"))) for i in range(many)],
+                            *[F.max(F.when(F.col(f"lo_{i}") < F.col(f"hi_{i}"), F.col(f"inside_{i}"))) for i in range(many)]).first()
+        if max([x or 0 for x in left[many:]], default=0) <= BRACKET_ROWS or left == before:
+            break
+        before = left
+        brackets = _narrowed(vals, brackets, many)
+    wanted = [F.struct(F.lit(i).alias("i"), *[F.col(f"{c}_{i}").alias(c) for c in ("rank", "lo", "hi", "before")]) for i in range(many)]
+    hit = lambda x: F.col("__v").between(x["lo"], x["hi"]) & (x["lo"] < x["hi"])
+    near = _beside(vals, brackets.select("__grp", F.array(*wanted).alias("__w"))).filter(F.exists("__w", hit))
+    near = near.groupBy("__grp", "__v").agg(F.count(F.lit(1)).alias("__c"), F.first("__w").alias("__w"))
+    near = near.select("__grp", "__v", "__c", F.explode(F.filter("__w", hit)).alias("w")).select("__grp", "__v", "__c", "w.*")
+    upto = F.col("before") + F.sum("__c").over(Window.partitionBy("__grp", "i").orderBy("__v"))
+    near = near.withColumn("__upto", upto).filter((F.col("__upto") > F.col("rank")) & (F.col("__upto") - F.col("__c") <= F.col("rank")))
+    at = near.groupBy(F.col("__grp").alias("__b")).agg(*[F.max(F.when(F.col("i") == i, F.col("__v"))).alias(f"at_{i}") for i in range(many)])
+    got = brackets.join(at, F.col("__grp").eqNullSafe(F.col("__b")), "left")
+    value = lambda i: F.coalesce(F.col(f"at_{i}"), F.col(f"lo_{i}"))  # noqa: E731  a bracket of one value needs no look
+    out = []
+    for k, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        out.append((value(2 * k) + (value(2 * k + 1) - value(2 * k)) * (h - F.floor(h))).alias(f"q_{k}"))
+    return got.select("__grp", "_n", "min", "max", "mean", "std", *out)
+
+
+def _values(df: DataFrame, group: str, v: str) -> DataFrame:
+    vals = df.select(F.col(group).alias("__grp"), F.col(v).cast("double").alias("__v"))
+    return vals.filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
 
 
 def grouped_exact_quantiles(df: DataFrame, group: str, v: str, qs: list[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group.
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of ``v`` per group, by selection.
 
-    Distributed: one range-partitioned ranking of all (group, value) pairs, one partial
-    aggregate for each group's size and first rank, then only 2·len(qs) rows per group are
-    read back.  No task ever holds a whole group."""
-    ranked = _ranked_values(df, group, v)
-    per_group = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min("__g").alias("__g0"))
-    return _quantiles_at(ranked, per_group, group, qs)
+    No task ever holds a whole group, and no value is sorted but those of the last, narrow brackets."""
+    got = _selected(_values(df, group, v), qs)
+    each = F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col(f"q_{k}").alias("value")) for k, q in enumerate(qs)]))
+    return got.select(F.col("__grp").alias(group), each.alias("p")).select(group, "p.*")
 
 
 def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
@@ -159,25 +237,18 @@ def exact_quantiles(df: DataFrame, c: str, qs: list[float]) -> DataFrame:
 
 def numeric_profile(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     """A9 (``describe()``): per column count, mean, std, min, 25/50/75 %, max over the
-    non-missing values (NaN counts as missing, as in pandas).  A column with no value at
-    all has no row.
+    non-missing values (NaN counts as missing, as in pandas).  A column with no value at all has
+    count 0 and nulls.
 
-    All columns are unpivoted into (column, value) once and ranked in one shared pass; one
-    partial aggregate over the ranked frame gives the moments *and* each column's first
-    rank, from which the quartile rows are located."""
+    All columns are unpivoted into (column, value) once; moments come from one partial aggregate and the
+    quartiles from bracketed selection."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")).select("x.*")
-    ranked = _ranked_values(long, "column", "v")
-    v = F.col("__v")
-    stats = ranked.groupBy("column").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("__g").alias("__g0"), F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-    qs = [0.25, 0.5, 0.75]
-    quart = _quantiles_at(ranked, stats, "column", qs).groupBy("column").pivot("q", qs).agg(F.first("value"))
-    quart = quart.toDF("column", "p25", "p50", "p75")
-    row = stats.join(quart, on="column", how="left")  # both sides: one row per profiled column
+    got = _selected(_values(long, "column", "v"), [0.25, 0.5, 0.75])
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")  # one row per profiled column
+    row = named.join(got, F.col("column") == F.col("__grp"), "left").withColumnsRenamed({"q_0": "p25", "q_1": "p50", "q_2": "p75"})
     return row.select(
-        "column", F.col("_n").cast("bigint").alias("count"),
+        "column", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("count"),
         *[F.bround(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")],
     )
 
