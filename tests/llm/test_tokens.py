@@ -13,13 +13,13 @@ from tidewatch.llm import id_store, packing, token_count
 from tidewatch.llm.tokens import PieceIds, WordIds
 
 WORDS, PIECES = P.path("word_bpe_49k.json"), P.path("piece_bpe_32k.model")
-ALPHABET = "aàéßñABC019 .,'’\n\t  ́İΣς中文😀<|endoftext|>\x00\x85\xa0ªº²½'s're  don't"
+ALPHABET = "\u2581aàéßñABC019 .,'’\n\t  ́İΣς中文😀<|endoftext|>\x00\x85\xa0ªº²½'s're  don't"
 
 
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(3)
-    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 60))) for _ in range(500)] + ["<|endoftext|>a", "</s> <s>", "  ", " a ", "ab" * 3000]
+    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 60))) for _ in range(500)] + ["<|endoftext|>a", "</s> <s>", "  ", " a ", "ab" * 3000, "\u2581", "a\u2581\u2581b \u2581c" * 40]
 
 
 def test_memo_equals_the_libraries(texts):

@@ -35,7 +35,8 @@ LIMIT = 4096  # tokens
 
 def spliced_ids(tok: PieceIds, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> np.ndarray:
     """Ids of a non-empty text, encoded chunk by chunk and spliced at proven boundaries."""
-    body = " " + text  # the blank that the model puts in front
+    # a blank stands in front, and a blank mark in the text is a blank to the model, so it is one byte wide here too
+    body = " " + text.replace("\u2581", " ")
     out: list[np.ndarray] = []
     at, have, have_at = 0, None, 0  # ids kept so far end before byte have_at of chunk `have`
     start = 0  # character where the current left chunk begins
