@@ -119,6 +119,7 @@ class PieceIds:
         """Number of ids of each whole text."""
         if not self.by_word:
             return np.array([len(self.plain.encode(t)) for t in texts.to_pylist()], dtype=np.int64)
+        texts = pc.replace_substring(texts, "\u2581", " ")  # to the model a blank mark in a text is a blank
         parts = pc.split_pattern(texts, " ")
         flat, off = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
         off = off - off[0]
