@@ -10,6 +10,18 @@ def _csv(path, rows):
     write_lines(path, [header] + [",".join(r) for r in rows])
 
 
+def test_counters_and_the_stop_without_flows(spark, tmp_path, capsys):
+    log = write_lines(tmp_path / "eve.json", LINES)
+    assert main(["convert", log, str(tmp_path / "conv")]) == 0
+    assert "lines 14: events 11, skipped 3 (blank 1, malformed 2); flows 4, alerts 4" in capsys.readouterr().out
+    assert main(["ingest", log, str(tmp_path / "typed")]) == 0
+    assert "flows 4, alerts 4" in capsys.readouterr().out
+    quiet = write_lines(tmp_path / "quiet.json", [x for x in LINES if '"flow"' not in x])
+    assert main(["convert", quiet, str(tmp_path / "none")]) == 1
+    said = capsys.readouterr()
+    assert "flows 0, alerts 4" in said.out and "no flow events" in said.err
+
+
 def test_cli_workflows(spark, tmp_path):
     log = write_lines(tmp_path / "eve.json", LINES)
     csv_dir = tmp_path / "cic"

@@ -18,7 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
@@ -40,19 +40,39 @@ def _session() -> SparkSession:
     return SparkSession.builder.appName("tidewatch").getOrCreate()
 
 
+def _accounted(lines: Observation) -> dict:
+    """Print what the pass that just ended has read, kept and skipped; returns the counters."""
+    n = lines.get
+    print(f"lines {n['lines_total']}: events {n['events']}, skipped {n['lines_blank'] + n['lines_malformed']} "
+          f"(blank {n['lines_blank']}, malformed {n['lines_malformed']}); flows {n['flow_events']}, alerts {n['alert_events']}")
+    return n
+
+
+def _no_flows() -> int:
+    """the exit status of a command that needs flows and got none."""
+    print("no flow events in the input: is the flow type switched on in the sensor?", file=sys.stderr)
+    return 1
+
+
 def cmd_ingest(spark, a):
-    """S8 + parse-once table: typed events as Parquet partitioned by ``event_type``."""
-    ingest_events(read_events(spark, a.log), a.table)
+    """S8 K7 + parse-once table: typed events as Parquet partitioned by ``event_type``."""
+    lines = Observation("lines")
+    ingest_events(read_events(spark, a.log, lines), a.table)
+    _accounted(lines)
 
 
 def cmd_convert(spark, a):
-    """FX1 + K4: converted flow table with the source headers."""
-    write_csv(as_reference_headers(FX.flow_features_16(read_events(spark, a.log), keep=())), a.out)
+    """FX1 + K4 + K7 + F11: converted flow table with the source headers."""
+    lines = Observation("lines")
+    write_csv(as_reference_headers(FX.flow_features_16(read_events(spark, a.log, lines), keep=())), a.out)
+    return 0 if _accounted(lines)["flow_events"] else _no_flows()
 
 
 def cmd_alerts(spark, a):
-    """FX7 + K4."""
-    write_csv(FX.alert_extract(read_events(spark, a.log)).drop("ord"), a.out)
+    """FX7 + K4 + K7."""
+    lines = Observation("lines")
+    write_csv(FX.alert_extract(read_events(spark, a.log, lines)).drop("ord"), a.out)
+    _accounted(lines)
 
 
 def cmd_train(spark, a):
@@ -71,12 +91,17 @@ def cmd_train(spark, a):
 
 
 def cmd_compare(spark, a):
-    """S10 S8 FX2/FX3 ML6 A5 J1/J2 X17 A6 A7 K1: sensor vs forest per flow."""
+    """S10 S8 K7 F11 FX2/FX3 ML6 A5 J1/J2 X17 A6 A7 K1: sensor vs forest per flow."""
     model = L.load_model(a.model)
     if a.typed:  # an ingested table: partition pruning on event_type, no JSON parse
         events = spark.read.parquet(a.log)
+        if FX.flow_events(events).isEmpty():
+            return _no_flows()
     else:
-        events = ingest_events(read_events(spark, a.log), scratch_path(spark, "events"))
+        lines = Observation("lines")
+        events = ingest_events(read_events(spark, a.log, lines), scratch_path(spark, "events"))
+        if not _accounted(lines)["flow_events"]:
+            return _no_flows()
     feats = "cic11" if a.reliable else "cic18"
     cmp = C.compare(events, lambda f: L.score(model, f), verdict=a.verdict, features=feats)
     write_csv(as_reference_headers(cmp.drop("ord")), a.out)
@@ -134,8 +159,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--from-end", action="store_true", help="skip files that exist when the stream starts")
     s.set_defaults(fn=cmd_stream)
     a = p.parse_args(argv)
-    a.fn(_session(), a)
-    return 0
+    return a.fn(_session(), a) or 0
 
 
 if __name__ == "__main__":

@@ -358,13 +358,13 @@ def classification_report(pairs: DataFrame, y: str = "y", p: str = "p", digits:
 
 
 def top_k(df: DataFrame, by: str, k: int, desc: bool = True) -> DataFrame:
-    """O1: top-k report (TakeOrderedAndProject: per-task top-k, then a k-row merge)."""
-    return df.orderBy(F.desc(by) if desc else F.asc(by)).limit(k)
+    """O1: top-k report (TakeOrderedAndProject: per-task top-k, then a k-row merge); ties by the other columns."""
+    return ranking(df, by, desc).limit(k)
 
 
 def ranking(df: DataFrame, by: str, desc: bool = True) -> DataFrame:
-    """O2: full ranking."""
-    return df.orderBy(F.desc(by) if desc else F.asc(by))
+    """O2: full ranking; ties by the other columns, in their order."""
+    return df.orderBy(F.desc(by) if desc else F.asc(by), *[F.asc(c) for c in df.columns if c != by])
 
 
 def preview(df: DataFrame, order: str = "ord", n: int = 3) -> DataFrame:

@@ -9,7 +9,7 @@ batch and the streaming paths.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -106,9 +106,12 @@ def typed_events(parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """NDJSON files -> typed events (blank and malformed lines skipped)."""
-    return typed_events(parse_event_lines(read_event_lines(spark, path)))
+def read_events(spark: SparkSession, path: str | list[str], observation: Observation | None = None) -> DataFrame:
+    """NDJSON files -> typed events (blank and malformed lines skipped).
+
+    ``observation`` (K7) takes the line counters of the first action over the result, with no pass of its own."""
+    parsed = parse_event_lines(read_event_lines(spark, path))
+    return typed_events(parsed.observe(observation, *line_counters()) if observation is not None else parsed)
 
 
 def ingest_events(events: DataFrame, path: str) -> DataFrame:
