@@ -15,7 +15,8 @@ lists short), and the rest by hash.
 
 A list of at most ``SHORT_LIST`` sets gives its pairs, which are kept only if enough of their list
 entries agree; a longer list gives one edge from each set to its smallest.  So the rows stay linear
-in the list entries.  The edges' components are candidate clusters: every linked pair lies in one.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
+in the list entries.  Entries are shuffled once; keys that a block of entries holds very often are
+folded to one entry of the block before that.  The edges' components are candidate clusters: every linked pair lies in one.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
 leave room for a link with another; the clusters that are left are joined exactly, by counting
 overlaps through their own inverted lists, on texts read again.  Clusters beyond a task's bound are
 dealt as pairs of blocks.  Tasks
@@ -33,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import mix64, small_batches, split_words, table, texts_of, written
@@ -42,6 +43,7 @@ from tidewatch.llm.components import components
 HEAVY_MOST = 300_000  # n-grams whose counts go to all tasks: 5 MB
 BLOCK_BYTES = 16 << 20  # text among which an n-gram must recur to count as frequent
 SHORT_LIST = 32  # lists up to this length are paired one by one
+BLOCK_ENTRIES = 1 << 20  # list entries among which hot keys are folded before the shuffle
 TASK_SETS = 4000  # sets joined in one task
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
 GROUP_SETS = 1000  # sets of small clusters that share a task, on average
@@ -174,19 +176,60 @@ def keys_of(n: int, prefix: np.ndarray, t: Fraction, small: int) -> tuple[np.nda
 
 
 def entries_of(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
-    """(key, uid, n) of every list entry; n is negative in the lists of 2-subsets."""
+    """(key, uid, n, first, many) of every list entry; n is negative in the lists of 2-subsets.
+
+    Sets of one block of entries that hold a key more than ``SHORT_LIST`` times give one entry, of the
+    smallest uid, that stands for ``many``, and an edge to it from each other one (``first``, else
+    null).  So a key that very many sets hold sends at most SHORT_LIST entries of a block to its list."""
+
+    most, bound = SHORT_LIST, BLOCK_ENTRIES
+
+    def block(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        keys, uids, ns = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for uid, n, prefix in rows:
+            for k, m in zip(keys_of(n, prefix, t, small), (-n, n)):
+                keys.append(k)
+                uids.append(np.full(len(k), uid, np.int64))
+                ns.append(np.full(len(k), m, np.int64))
+        key, uid, n = np.concatenate(keys), np.concatenate(uids), np.concatenate(ns)
+        order = np.lexsort((uid, key))
+        key, uid, n = key[order], uid[order], n[order]
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        size = np.diff(np.append(head, len(key)))
+        many = np.ones(len(key), np.int64)
+        first, edge = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        for h, c in zip(head[size > most].tolist(), size[size > most].tolist()):
+            many[h] = c
+            first[h + 1:h + c], edge[h + 1:h + c] = uid[h], True
+        cols = [pa.array(key.view(np.int64)), pa.array(uid), pa.array(n), pa.array(first, mask=~edge), pa.array(many)]
+        return pa.RecordBatch.from_arrays(cols, names=["key", "uid", "n", "first", "many"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, entries = [], 0
         for b in small_batches(batches, "prefix", 1 << 20):
-            out: list[tuple[np.ndarray, int, int]] = []
             for uid, n, p in zip(*(b.column(c).to_pylist() for c in ("uid", "n", "prefix"))):
-                subsets, members = keys_of(n, np.frombuffer(p, "<u8"), t, small)
-                out += [(subsets, uid, -n), (members, uid, n)]
-            many = [len(k) for k, _, _ in out]
-            cols = [np.concatenate([k for k, _, _ in out]).view(np.int64), np.repeat(np.array([u for _, u, _ in out], np.int64), many), np.repeat(np.array([n for _, _, n in out], np.int64), many)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "uid", "n"])
+                rows.append((uid, n, np.frombuffer(p, "<u8")))
+                c = len(rows[-1][2])
+                entries += c + (c * (c - 1) // 2 if n <= small else 0)
+                if entries >= bound:
+                    yield block(rows)
+                    rows, entries = [], 0
+        if rows:
+            yield block(rows)
 
-    return classes.select("uid", "n", "prefix").mapInArrow(run, "key long, uid long, n long")
+    return classes.select("uid", "n", "prefix").mapInArrow(run, "key long, uid long, n long, first long, many long")
+
+
+def lists_of(entries: DataFrame) -> DataFrame:
+    """(total, least, first, u) of the keys that several sets hold, after one shuffle of the entries.
+
+    A list of at most SHORT_LIST sets is one row with all its sets in ``u``; each entry of a longer one,
+    and each edge of ``entries_of``, is a row of its own, so no long list is gathered."""
+    own = Window.partitionBy("key", "first")
+    found = entries.withColumn("total", F.sum("many").over(own)).withColumn("least", F.min("uid").over(own)).where(F.col("first").isNotNull() | (F.col("total") > 1))
+    apart = F.when(F.col("first").isNotNull() | (F.col("total") > SHORT_LIST), F.col("uid"))
+    rows = found.groupBy("key", "first", "total", "least", apart.alias("apart")).agg(F.collect_list(F.struct("uid", "n")).alias("u"))
+    return rows.select("total", "least", "first", "u")
 
 
 def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
@@ -194,14 +237,14 @@ def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
 
     Lists of at most SHORT_LIST sets give their pairs, and a pair is kept if its common list
     entries, with what longer lists and the members behind both prefixes may add, leave room for a
-    link (a common 2-subset always does).  A longer list gives one edge of each set to its smallest."""
-    entries = entries_of(classes, t, small)
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("uid").alias("first")).where("many > 1")
-    found = entries.join(sizes, "key")
-    short = found.where(F.col("many") <= SHORT_LIST).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("uid", "n"))).alias("u"))
+    link (a common 2-subset always does).  A longer list gives one edge of each set to its smallest
+    one, directly or by way of the smallest of its block."""
+    lists = written(lists_of(entries_of(classes, t, small)), "lists")
+    apart = F.col("first").isNotNull() | (F.col("total") > SHORT_LIST)
+    short = lists.where(~apart).select(F.sort_array("u").alias("u"))
     pairs = F.flatten(F.transform("u", lambda x, i: F.transform(F.slice("u", i + 2, SHORT_LIST), lambda y: F.struct(x["uid"].alias("b"), y["uid"].alias("a"), x["n"].alias("nb"), y["n"].alias("na")))))
     pairs = short.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count_if(F.col("p.na") > 0).alias("both"), F.max(F.abs("p.na")).alias("na"), F.max(F.abs("p.nb")).alias("nb"), F.bool_or(F.col("p.na") < 0).alias("sure"))
-    long = written(found.where((F.col("many") > SHORT_LIST) & (F.col("uid") != F.col("first"))).select("uid", "first"), "long_lists")
+    long = lists.where(apart).select(F.col("u")[0]["uid"].alias("uid"), F.coalesce("first", "least").alias("first")).where("uid <> first")
     first = long.groupBy(F.col("first").alias("uid")).count()  # at least the lists that it begins
     more = long.groupBy("uid").count().unionByName(first).groupBy("uid").agg(F.sum("count").alias("more"))
     more_of = lambda c: more.select(F.col("uid").alias(c), F.col("more").alias(f"more_{c}"))
