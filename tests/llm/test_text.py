@@ -236,6 +236,22 @@ def test_near_copies_outlast_one_contradiction(spark):
     assert (2, 2) in got and (3, 3) not in got  # verbatim windows stand; near slots that contradict each other still fall
 
 
+def test_verbatim_copies_whatever_the_marks(spark):
+    items = [
+        (1, "What is the capital of France"), (2, "Name the author of the play Hamlet please"), (3, "Who wrote Moby Dick"), (4, "What is 2 plus 2"),
+        (5, "Yes"), (6, "1 2 3 5 8 13 21 34 55"), (7, ""), (8, "two words"), (9, "the tall man went over the long bridge at noon with Anna"),
+    ]
+    rows = [
+        (1, "he was asked, What is the capital of France yesterday"), (2, "so Name the author of the play Hamlet please"), (3, "who wrote Moby Dick?"),
+        (4, "What is 2 plus 2"), (5, "yes"), (6, "add 1, 2, 3, 5, 8, 13, 21, 34 and go"), (7, ""), (8, "only two words here"),
+        (9, "THE TALL MAN WENT OVER THE LONG BRIDGE AT NOON WITH ANNA"), (10, "what is the capital of"), (11, "we wrote Moby Dick"),
+        (12, "Yes yes"), (13, "- Two words!"), (14, None), (15, "Tell me: what is 2 plus 2 now"),
+    ]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (9, 9), (13, 8), (15, 4)}
+    assert {(r.doc_id, r.item_id): r.verbatim for r in got.collect()} == dict.fromkeys(want, True)
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "Where is the red house?\nI look for it."), (1, 1, "assistant", "> where is the RED house\n\nOn the hill."),

@@ -9,9 +9,12 @@ stands whatever lies around it; else its slots and those of the alignment's hits
 tokens before and after it must map each item value to one document value and back (a consistent
 substitution).  A contradiction drops the windows near it, not the alignment.
 
-A window counts if at least ``LITERALS`` of its tokens are no placeholders.  Items shorter than a
-window, but of at least ``LITERALS`` + 1 tokens, are one window; shorter ones say nothing and are
-left out.  Null and empty texts have no window.
+A template window counts if at least ``LITERALS`` of its tokens are no placeholders.  Beside it the
+same tokens without marks, case folded, form a plain window, hashed and joined alike: it finds
+verbatim copies whatever the marks say (capitals, what stands before the copy, few literals) and
+always stands.  Items shorter than a window are one window of their own length, as a template if
+longer than ``LITERALS`` tokens; of fewer than ``LITERALS`` tokens only a whole document equal to
+the item is a copy.  Null and empty texts have no window.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from tidewatch.llm.common import table, written
 WINDOW = 8
 LITERALS = 4
 BROADCAST_ROWS = 500_000  # rows of two longs: 8 MB
+WINDOWS = "array<struct<at:int,t:bigint,p:bigint,size:int>>"
 
 # Units of measure, long forms and symbols.
 UNITS = [
@@ -56,10 +60,19 @@ def template(tokens: Column) -> Column:
     return F.regexp_replace(tokens, "([@#~])[^ ]*", "$1")
 
 
-def _windows(hashes: Column, size: Column) -> Column:
-    """Hashes of all windows of an array of token hashes; none if it is shorter."""
-    own = F.transform(F.sequence(F.lit(1), F.size(hashes) - size + 1), lambda i: F.xxhash64(F.slice(hashes, i, size)))
-    return F.when(F.size(hashes) >= size, own)
+def plain(tokens: Column) -> Column:
+    """Marked tokens without their marks."""
+    return F.translate(tokens, "@#~", "")
+
+
+def _windows(th: Column, ph: Column, size: Column) -> Column:
+    """(at, t, p, size) of all windows of a text by its template and plain token hashes; ``at`` counts from 0.
+
+    None if the text is shorter; sizes below ``LITERALS`` take texts of that very size."""
+    fits = (F.size(th) >= size) & ((size >= LITERALS) | (F.size(th) == size))
+    own = F.transform(F.sequence(F.lit(1), F.size(th) - size + 1), lambda i: F.struct(
+        (i - 1).alias("at"), F.xxhash64(F.slice(th, i, size)).alias("t"), F.xxhash64(F.slice(ph, i, size)).alias("p"), size.alias("size")))
+    return F.when(fits, own)
 
 
 def _hashes(tokens: Column) -> Column:
@@ -81,14 +94,14 @@ def _judged(at: Column, k: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, item_id, at, size) of the windows of all items; ``at`` counts from 0."""
-    t = F.split(template(F.col("m")), " ")
+    """(h, item_id, at, size) of the template and plain windows of all items; ``at`` counts from 0."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), marked(F.col("text")).alias("m")).where(F.length("m") > 0)
-    rows = rows.withColumn("t", t).withColumn("size", F.least(F.size("t"), F.lit(WINDOW))).where(F.col("size") > LITERALS)
-    rows = rows.withColumn("th", _hashes(F.col("t")))
-    rows = rows.select("item_id", "t", "size", F.posexplode(_windows(F.col("th"), F.col("size"))).alias("at", "h"))
-    plain = F.size(F.filter(F.slice("t", F.col("at") + 1, F.col("size")), lambda x: ~x.rlike("^[@#~]$")))
-    return rows.where(plain >= LITERALS).select("h", "item_id", "at", "size").distinct()
+    rows = rows.withColumn("t", F.split(template(F.col("m")), " ")).withColumn("size", F.least(F.size("t"), F.lit(WINDOW)))
+    rows = rows.withColumn("th", _hashes(F.col("t"))).withColumn("ph", _hashes(F.split(plain(F.col("m")), " ")))
+    rows = rows.select("item_id", "t", F.explode(_windows(F.col("th"), F.col("ph"), F.col("size"))).alias("w")).select("item_id", "t", "w.at", "w.size", F.col("w.t").alias("wt"), F.col("w.p").alias("wp"))
+    literals = F.size(F.filter(F.slice("t", F.col("at") + 1, F.col("size")), lambda x: ~x.rlike("^[@#~]$")))
+    own = F.when((F.col("size") > LITERALS) & (literals >= LITERALS), F.array("wt", "wp")).otherwise(F.array("wp"))
+    return rows.select(F.explode(own).alias("h"), "item_id", "at", "size").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -101,14 +114,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(item_windows(benchmark), "item_windows")
     n_items, sizes = items.count(), sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW sizes
     small = items.hint("broadcast") if n_items <= BROADCAST_ROWS else items
-    hits = None
-    for size in sizes or [WINDOW]:
-        t = F.split(template(marked(F.col("text"))), " ")
-        # no filter on the number of tokens: pushed down, it would parse every text twice
-        w = rows.select("doc_id", "t64", _hashes(t).alias("th"))
-        w = w.select("doc_id", "t64", F.posexplode(_windows(F.col("th"), F.lit(size))).alias("p", "h"))
-        own = w.join(small.where(F.col("size") == size), "h").select("doc_id", "t64", "item_id", "at", "p", "size")
-        hits = own if hits is None else hits.unionByName(own)
+    # one parse of each text for all sizes; no filter on the number of tokens: pushed down, it would parse every text twice
+    m = marked(F.col("text"))
+    w = rows.select("doc_id", "t64", _hashes(F.split(template(m), " ")).alias("th"), _hashes(F.split(plain(m), " ")).alias("ph"))
+    every = [F.coalesce(_windows(F.col("th"), F.col("ph"), F.lit(size)), F.array().cast(WINDOWS)) for size in sizes or [WINDOW]]
+    w = w.select("doc_id", "t64", F.explode(F.concat(*every)).alias("w"))
+    w = w.select("doc_id", "t64", F.col("w.at").alias("p"), "w.size", F.explode(F.when(F.col("w.t") == F.col("w.p"), F.array("w.t")).otherwise(F.array("w.t", "w.p"))).alias("h"))
+    hits = w.join(small, ["h", "size"])
     lines = written(hits.groupBy("doc_id", "t64", "item_id", "size", (F.col("p") - F.col("at")).alias("shift"))
                     .agg(F.sort_array(F.collect_set("at")).alias("ats")), "window_hits")  # at most the item's windows
     # the values of the aligned stretches, from the texts of the documents that were hit
@@ -138,21 +150,22 @@ def _marked_sql(col: str) -> str:
     return f"trim(regexp_replace(lower({s}), '{UNIT_STEP[0]}', '{UNIT_STEP[1]}', 'g'))"
 
 
-def _window_sql(src: str, key: str) -> str:
-    return f"""SELECT {key}, size, i - 1 AS pos, array_to_string(t[i:i + size - 1], ' ') AS w, t[i:i + size - 1] AS ws
-  FROM (SELECT {key}, t, size, unnest(range(1, len(t) - size + 2)) AS i FROM {src} WHERE len(t) >= size)"""
+def _window_sql(src: str, key: str, col: str) -> str:
+    return f"""SELECT {key}, size, i - 1 AS pos, array_to_string({col}[i:i + size - 1], ' ') AS w, {col}[i:i + size - 1] AS ws
+  FROM (SELECT {key}, {col}, size, unnest(range(1, len({col}) - size + 2)) AS i FROM {src} WHERE len({col}) >= size AND (size >= {LITERALS} OR len({col}) = size))"""
 
 
 ORACLE = f"""WITH
 im AS (SELECT item_id, string_split({_marked_sql('text')}, ' ') AS b FROM benchmark),
-it AS (SELECT item_id, list_transform(b, lambda x: regexp_replace(x, '^([@#~]).*', '\\1')) AS t, least(len(b), {WINDOW}) AS size FROM im
-       WHERE len(b) > {LITERALS}),
-iw AS (SELECT DISTINCT item_id, size, pos, w FROM ({_window_sql('it', 'item_id')})
-       WHERE len(list_filter(ws, lambda x: NOT regexp_matches(x, '^[@#~]$'))) >= {LITERALS}),
+it AS (SELECT item_id, list_transform(b, lambda x: regexp_replace(x, '([@#~]).*', '\\1')) AS t, list_transform(b, lambda x: translate(x, '@#~', '')) AS q,
+         least(len(b), {WINDOW}) AS size FROM im WHERE b <> ['']),
+iw AS (SELECT item_id, size, pos, w FROM ({_window_sql('it', 'item_id', 't')})
+       WHERE size > {LITERALS} AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^[@#~]$'))) >= {LITERALS}
+       UNION SELECT item_id, size, pos, w FROM ({_window_sql('it', 'item_id', 'q')})),
 dm AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM (SELECT DISTINCT doc_id, text, string_split({_marked_sql('text')}, ' ') AS d FROM documents)),
-dt AS (SELECT r, list_transform(d, lambda x: regexp_replace(x, '([@#~]).*', '\\1')) AS t FROM dm),
-dz AS (SELECT r, t, s.size FROM dt, (SELECT DISTINCT size FROM iw) s),
-dw AS ({_window_sql('dz', 'r')}),
+dt AS (SELECT r, list_transform(d, lambda x: regexp_replace(x, '([@#~]).*', '\\1')) AS t, list_transform(d, lambda x: translate(x, '@#~', '')) AS q FROM dm),
+dz AS (SELECT r, t, q, s.size FROM dt, (SELECT DISTINCT size FROM iw) s),
+dw AS ({_window_sql('dz', 'r', 't')} UNION {_window_sql('dz', 'r', 'q')}),
 l AS MATERIALIZED (SELECT DISTINCT r, item_id, dw.pos - iw.pos AS shift, iw.pos AS k, size FROM dw JOIN iw USING (w, size)),
 c AS (SELECT DISTINCT r, item_id, shift, unnest(range(k, k + size)) AS i FROM l),
 z AS (SELECT r, item_id, shift, i, b[i + 1] AS v, d[shift + i + 1] AS w FROM c JOIN dm USING (r) JOIN im USING (item_id)
