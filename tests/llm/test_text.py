@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import re
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -10,6 +12,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, language_id, lm_ctw, ngram_join, pii, quotes
@@ -109,6 +113,59 @@ def test_every_trained_disguise_is_proposed():
                 assert not label or span in pii.proposals(text), (text, span)
 
 
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _plain_base(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            luhn = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+            good = {"email": True, "ip": all(int(x) <= 255 for x in m.group().split(".")) if kind == "ip" else False, "card": 14 <= len(digits) <= 19 and luhn, "phone": 10 <= len(digits) <= 15}
+            out += [(m.start(), k, m.end())] if good[kind] else []
+    return [(list(PATTERNS)[k], s, e) for s, k, e in sorted(out)]
+
+
+@given(st.text(alphabet="a1240.@@+-( )%_x", max_size=60) | st.text(alphabet="0123456789 .-+", max_size=80))
+@settings(max_examples=400, deadline=None)
+def test_pii_base_equals_plain_patterns(text):
+    assert pii.base_spans(text) == _plain_base(text)
+
+
+def test_pii_base_of_a_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in pii.with_pii(docs, pii.Trees(), "doc_id").collect()}
+    for key, text in docs.collect():
+        want = _plain_base(text or "")
+        assert [got[key][f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in want) for k in pii.KINDS]
+        assert got[key].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert got[key].base_sha256 == hashlib.sha256(got[key].spans.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", [
+    "." + "7" * 400_000, "@" + "a" * 400_000, "a" * 400_000 + "@", "0" * 400_000 + ".1.2.3", "+1" + "(" * 400_000, "a dot " * 60_000 + "at b" + " dot c" * 60_000,
+    "jo@ex.com, " * 20_000, "a@" * 200_000, "1." * 200_000,
+], ids=str.__len__)
+def test_pii_of_long_runs_is_linear(text):
+    trees = pii.Trees()
+    trees.trees = [tuple(np.array([v]) for v in (-1, 0.0, 0, 0, 1.0))]
+    trees.thresholds = dict.fromkeys(pii.KINDS, 0.99)
+    start = time.process_time()
+    spans = pii.all_spans(text, pii.base_spans(text), trees)
+    assert time.process_time() - start < 40 and all(s < e for _, s, e in spans)
+
+
+def test_pii_fit_under_any_partitioning(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one, seven = (pii.fitted(docs.repartition(n), most_rows=200) for n in (1, 7))
+    assert one.thresholds == seven.thresholds
+    assert all(np.array_equal(x, y) for a, b in zip(one.trees, seven.trees, strict=True) for x, y in zip(a, b))
+
+
 def test_lm_base_and_tree(odd_documents, no_documents):
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
     docs = odd_documents.select("doc_id", "text", held.alias("held_out"), F.lit(1).cast("long").alias("block"))
