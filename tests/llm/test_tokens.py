@@ -63,6 +63,20 @@ def test_store_round_trip(spark, odd_documents, no_documents, tmp_path):
     assert id_store.read_all(spark, f"{tmp_path}/e", n).count() == 0
 
 
+@pytest.mark.parametrize("apart", [3, 10**6])
+def test_store_keeps_keys_of_equal_hash(spark, odd_documents, tmp_path, monkeypatch, apart):
+    """Keys that differ in less than ``apart`` get one hash; 10**6 leaves no key for the perfect hash."""
+    hashed = id_store.key_hash
+    monkeypatch.setattr(id_store, "key_hash", lambda k, c, z: hashed(np.asarray(k) // apart, np.zeros(len(k), int), np.zeros(len(k), bool)))
+    n = id_store.write_store(odd_documents, f"{tmp_path}/s", WORDS, bucket_keys=4)
+    got = sorted(id_store.read_all(spark, f"{tmp_path}/s", n).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in odd_documents.collect()), key=lambda k: k or 0)
+    assert [r.start for r in got[1:]] == np.cumsum([r.n_tokens for r in got])[:-1].tolist()
+    assert sum(len(r.shared) for r in spark.read.parquet(f"{tmp_path}/s/index").collect()) >= 8 * id_store.SHARED.itemsize
+    absent = spark.createDataFrame([(2, 7)], "key long, copy long")
+    assert apart == 3 or id_store.lookup(spark, f"{tmp_path}/s/index", absent, n).count() == 0
+
+
 def test_perfect_hash_is_minimal():
     h = id_store.key_hash(np.arange(5000), np.zeros(5000, int), np.zeros(5000, bool))
     salt, seeds, slots = id_store.perfect_hash(h)

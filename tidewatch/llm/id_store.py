@@ -9,6 +9,8 @@ Files, all written by Spark's Parquet writer (its commit protocol survives lost
   offsets, lengths): a minimal perfect hash by displacement.  A key's group picks a seed, the seed
   and the key's hash pick its slot; the slot holds a 32-bit fingerprint, the shard and the place
   in it.  A lookup reads one bucket row and touches one seed and one slot, whatever the size.
+  ``shared`` lists, with the key itself, the few keys whose 64-bit hash another key of the bucket has
+  too; they are looked up there and stand in no slot.
 
 A key is (doc_id, copy): rows that repeat a doc_id are told apart by their rank in text order.
 Null doc_ids sort first and are keys too.
@@ -36,7 +38,8 @@ BUCKET_KEYS = 16_384  # keys that share a bucket row, on average
 GROUP_KEYS = 4  # keys that share a displacement, on average
 
 PAYLOAD = "part int, seq int, n_docs long, n_ids long, keys binary, copies binary, nulls binary, lengths binary, width int, ids binary"
-INDEX = "bucket long, n_buckets long, salt long, n long, seeds binary, prints binary, parts binary, seqs binary, offsets binary, lengths binary"
+INDEX = "bucket long, n_buckets long, salt long, n long, seeds binary, prints binary, parts binary, seqs binary, offsets binary, lengths binary, shared binary"
+SHARED = np.dtype([("key", "<i8"), ("copy", "<i8"), ("null", "?"), ("part", "<i4"), ("seq", "<i4"), ("offset", "<i8"), ("length", "<i8")])
 
 
 def key_hash(keys: np.ndarray, copies: np.ndarray, nulls: np.ndarray) -> np.ndarray:
@@ -143,20 +146,24 @@ def write_index(spark: SparkSession, payload: str, out: str, bucket_keys: int =
         for pdf in frames:
             for r, k, c, z, lengths, offsets in _entries(pdf):
                 h = key_hash(k, c, z)
-                yield pd.DataFrame({"bucket": ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), "h": h.view(np.int64), "part": r.part, "seq": r.seq, "offset": offsets, "length": lengths})
+                yield pd.DataFrame({"bucket": ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), "h": h.view(np.int64), "key": k, "copy": c.astype(np.int64), "null": z.astype(bool), "part": r.part, "seq": r.seq, "offset": offsets, "length": lengths})
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(every: pd.DataFrame) -> pd.DataFrame:
+        twice = every["h"].duplicated(keep=False)
+        pdf, more = every[~twice], every[twice]
+        shared = np.array([tuple(x) for x in more[list(SHARED.names)].itertuples(index=False)], SHARED)
         h = pdf["h"].to_numpy(np.int64).view(np.uint64)
         salt, seeds, slots = perfect_hash(h)
         to = np.argsort(slots)
         put = lambda x, t: np.asarray(x)[to].astype(t).tobytes()
         return pd.DataFrame([{
-            "bucket": pdf["bucket"].iloc[0], "n_buckets": buckets, "salt": salt, "n": len(h), "seeds": seeds.astype("<i4").tobytes(),
+            "bucket": every["bucket"].iloc[0], "n_buckets": buckets, "salt": salt, "n": len(h), "seeds": seeds.astype("<i4").tobytes(),
             "prints": put(h & np.uint64(0xFFFFFFFF), "<u4"), "parts": put(pdf["part"], "<i4"), "seqs": put(pdf["seq"], "<i4"),
             "offsets": put(pdf["offset"], "<i8"), "lengths": put(pdf["length"], "<u4"),
+            "shared": shared.tobytes(),
         }])
 
-    rows = shards.select("part", "seq", "keys", "copies", "nulls", "lengths").mapInPandas(keys, "bucket long, h long, part int, seq int, offset long, length long")
+    rows = shards.select("part", "seq", "keys", "copies", "nulls", "lengths").mapInPandas(keys, "bucket long, h long, key long, copy long, null boolean, part int, seq int, offset long, length long")
     rows.groupBy("bucket").applyInPandas(build, INDEX).write.parquet(out)
     return buckets
 
@@ -179,10 +186,20 @@ def lookup(spark: SparkSession, index: str, keys: DataFrame, n_buckets: int) ->
             return pd.DataFrame({c: pd.Series(dtype="Int64" if c == "key" else "int64") for c in cols})
         r = rows.iloc[0]
         h = own["h"].to_numpy(np.int64).view(np.uint64)
-        slot = slot_of(h, int(r.n), int(r.salt), np.frombuffer(r.seeds, "<i4"))
-        hit = np.frombuffer(r.prints, "<u4")[slot] == (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        s, own = slot[hit], own[hit]
-        return pd.DataFrame({"key": own["key"].astype("Int64").to_numpy(), "copy": own["copy"].to_numpy(), "part": np.frombuffer(r.parts, "<i4")[s], "seq": np.frombuffer(r.seqs, "<i4")[s], "offset": np.frombuffer(r.offsets, "<i8")[s], "length": np.frombuffer(r.lengths, "<u4")[s].astype(np.int64)}, columns=cols)
+        if r.n:
+            slot = slot_of(h, int(r.n), int(r.salt), np.frombuffer(r.seeds, "<i4"))
+            hit = np.frombuffer(r.prints, "<u4")[slot] == (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        else:
+            slot, hit = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        shared = pd.DataFrame(np.frombuffer(r.shared, SHARED))
+        exact = pd.DataFrame({"key": own["key"].fillna(0).astype("int64"), "copy": own["copy"].astype("int64"), "null": own["key"].isna()}).merge(shared, "left", ["key", "copy", "null"])
+        listed = exact["part"].notna().to_numpy()
+        s, one = slot[hit & ~listed], own[hit & ~listed]
+        found = pd.DataFrame({"key": one["key"].astype("Int64").to_numpy(), "copy": one["copy"].to_numpy(), "part": np.frombuffer(r.parts, "<i4")[s], "seq": np.frombuffer(r.seqs, "<i4")[s], "offset": np.frombuffer(r.offsets, "<i8")[s], "length": np.frombuffer(r.lengths, "<u4")[s].astype(np.int64)}, columns=cols)
+        if not listed.any():
+            return found
+        places = exact.loc[listed, cols[2:]].astype("int64")
+        return pd.concat([found, places.assign(key=own["key"].astype("Int64").to_numpy()[listed], copy=own["copy"].to_numpy()[listed])[cols]])
 
     asked = keys.select(F.col("key").cast("long"), F.col("copy").cast("long")).mapInPandas(hashed, "key long, copy long, h long, bucket long")
     held = spark.read.schema(INDEX).parquet(index)
