@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import time
 import zlib
@@ -9,6 +10,7 @@ from collections import Counter
 from fractions import Fraction
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -322,3 +324,59 @@ def test_quotes(spark):
     assert by[1, 2].levels == 2 and by[1, 2].own_text == "Thanks" and by[1, 2].reply_to == 1 and by[1, 2].n_linked == 2
     assert by[1, 3].reply_to == 0 and (by[2, 0].from_conv, by[2, 0].from_turn, by[2, 0].reply_to) == (1, 1, None)
     assert by[2, 1].own_text == "" and by[None, 0].reply_to is None
+
+
+MESSAGES = "conv_id long, turn long, role string, text string"
+
+
+def test_quotes_wrapped_anew_and_trimmed(spark):
+    said = "We should move the whole archive to the new disks before the end of the month."
+    rows = [
+        (1, 0, "user", said), (1, 1, "assistant", "ok"), (1, 2, "user", "> We should move the\n> whole archive to the new\n>\n> disks before the end of the month.\nWhen?"),
+        (1, 3, "assistant", "> move the whole archive to the new disks\nToday."), (1, 4, "user", "> ok\nFine."), (3, 0, "user", "> ok\nNot mine."),
+        (4, 0, "user", "> the end of the month\nWhich month?"), (4, 1, "user", "It is the end of the month"), (5, 0, "user", "> quite another thing that nobody has said here\nHm."),
+    ]
+    by = {(r.conv_id, r.turn): r for r in quotes.linked(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert (by[1, 2].n_quoted, by[1, 2].n_linked, by[1, 2].reply_to) == (1, 1, 0) and by[1, 3].reply_to == 0 and by[1, 4].reply_to == 1
+    assert by[3, 0].n_linked == 0 and by[3, 0].from_conv is None  # so short a passage is no link to a stranger
+    assert (by[4, 0].from_conv, by[4, 0].from_turn) == (1, 0)  # the own conversation has it only later
+    assert by[5, 0].n_quoted == 1 and by[5, 0].n_linked == 0
+    assert [(by[1, t].thread, by[1, t].depth) for t in range(5)] == [(0, 0), (0, 1), (0, 1), (0, 1), (0, 2)]
+
+
+def test_quotes_of_odd_tables(spark):
+    empty = spark.createDataFrame([], MESSAGES)
+    assert quotes.linked(empty).count() == 0
+    own = "\n".join(f"line {i} says word{i * 7 % 1000}" for i in range(20_000))
+    rows = [(1, 0, "user", own), (1, 1, "user", "> " + own.replace("\n", "\n> ")), (None, 2, "user", None), (2, None, "user", "> a"), (7, 5, None, "x"), (7, 5, None, "> x")]
+    rows += [(9, t, "user", f"turn {t}") for t in range(40)]
+    clash = spark.createDataFrame(rows, MESSAGES).selectExpr("*", "1 AS key", "2 AS thread", "text AS ls", "3 AS level", "4 AS orig")
+    got = quotes.linked(clash).collect()
+    by = {(r.conv_id, r.turn): r for r in got}
+    assert len(got) == len(rows) and (by[1, 1].n_linked, by[1, 1].reply_to, by[1, 1].own_text) == (1, 0, "")
+    assert by[9, 39].depth == 39 and by[9, 39].thread == 0 and by[None, 2].depth is None and by[7, 5].depth == 0
+
+
+def test_quotes_equal_sql_on_quoting_messages(spark):
+    """The tables given hold no quotes, so the twin is compared on made-up conversations, too."""
+    rng = random.Random(7)
+    words = "we you move the old new disks house before after month day ok thanks red hill go now why".split()
+    rows = []
+    for conv in range(60):
+        for turn in range(rng.randint(1, 8)):
+            lines = [" ".join(rng.choices(words, k=rng.randint(1, 9))) for _ in range(rng.randint(0, 4))]
+            for _ in range(rng.randint(0, 2) if rows else 0):
+                said = (rng.choice(rows)[3] or "").replace("\n", " ").split()
+                s = rng.randint(0, len(said))
+                quote, size = said[s:s + rng.randint(2, 30)], rng.randint(2, 6)
+                level = rng.choice(["> ", ">> ", "> > "])
+                lines[:0] = [*rng.choice([[], ["Joe wrote:"]]), *(level + " ".join(quote[i:i + size]).upper() for i in range(0, len(quote), size)), *rng.choice([[], ["", ">"]])]
+            rows.append((conv, turn, rng.choice(["user", None]), rng.choice([None, "\n".join(lines)]) if turn % 5 == 4 else "\n".join(lines)))
+    rows += [(3, 0, "user", "ok\n> go now why"), (None, 1, "user", "> a"), (5, None, None, "red hill")]
+    got = quotes.linked(spark.createDataFrame(rows, MESSAGES))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = Counter(con.execute(f"SELECT {', '.join(got.columns)} FROM ({quotes.ORACLE})").fetchall())
+    have = Counter(tuple(r) for r in got.collect())
+    assert have == want and sum(r[6] for r in have) > 40 and any(r[8] not in (None, r[0]) for r in have) and any(r[5] > r[6] for r in have)
