@@ -115,8 +115,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_items, sizes = items.count(), sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW sizes
     small = items.hint("broadcast") if n_items <= BROADCAST_ROWS else items
     # one parse of each text for all sizes; no filter on the number of tokens: pushed down, it would parse every text twice
-    m = marked(F.col("text"))
-    w = rows.select("doc_id", "t64", _hashes(F.split(template(m), " ")).alias("th"), _hashes(F.split(plain(m), " ")).alias("ph"))
+    # the marked text is a column of its own: inside the two transforms each would parse it again
+    w = rows.select("doc_id", "t64", marked(F.col("text")).alias("m"))
+    w = w.select("doc_id", "t64", _hashes(F.split(template(F.col("m")), " ")).alias("th"), _hashes(F.split(plain(F.col("m")), " ")).alias("ph"))
     every = [F.coalesce(_windows(F.col("th"), F.col("ph"), F.lit(size)), F.array().cast(WINDOWS)) for size in sizes or [WINDOW]]
     w = w.select("doc_id", "t64", F.explode(F.concat(*every)).alias("w"))
     w = w.select("doc_id", "t64", F.col("w.at").alias("p"), "w.size", F.explode(F.when(F.col("w.t") == F.col("w.p"), F.array("w.t")).otherwise(F.array("w.t", "w.p"))).alias("h"))
