@@ -8,7 +8,8 @@ from tidewatch import schemas
 from tidewatch.operators import correlate as C
 from tidewatch.operators import features as FX
 from tidewatch.operators import reports as R
-from tidewatch.sources.events import parse_accounting, parse_event_lines, read_event_lines, read_events
+from tidewatch.session import dealt
+from tidewatch.sources.events import parse_accounting, parse_event_lines, read_event_lines, read_events, typed_events
 
 T0 = "2026-03-24T12:00:00.000000+0900"
 LINES = [
@@ -222,3 +223,17 @@ def test_encoding_policies(spark, tmp_path):
     assert (r.lines_total, r.lines_blank, r.lines_malformed, r.events) == (4, 1, 1, 2)
     with pytest.raises(ValueError):
         parse_event_lines(lines, encoding="latin")
+
+
+def test_each_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([(' \x0b\t{"event_type":"flow","flow_id":1}\r\x0c ', 0), ('\u00a0{"event_type":"flow","flow_id":2}', 1), ("\x0b\x0c", 2)], "value string, ord long")
+    parsed = parse_event_lines(lines)
+    assert [r.line_kind for r in parsed.orderBy("ord").collect()] == ["event", "malformed", "blank"]
+    plan = FX.flow_features_18(typed_events(parsed))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_few_splits_are_dealt_to_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert dealt(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
+    assert dealt(spark.range(100, numPartitions=cores + 3)).rdd.getNumPartitions() == cores + 3

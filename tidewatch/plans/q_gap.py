@@ -22,7 +22,7 @@ from tidewatch.plans import oracle as O
 from tidewatch.plans import views as V
 from tidewatch.plans.catalogue import register, rule_scorer
 from tidewatch.plans.q_learning import MAX_DEPTH, NUM_TREES
-from tidewatch.session import handed_off, scratch_path
+from tidewatch.session import dealt, handed_off, scratch_path
 from tidewatch.sources.events import event_lines_tail, parse_accounting, parse_event_lines, typed_events
 from tidewatch.streaming.scoring import read_scored, start_scoring_stream
 
@@ -37,7 +37,7 @@ _GAP_SQL = """gap AS (
 
 def gap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> (value: NDJSON line, ord: event_id); ids divisible by 7 give events of another type."""
-    e = V.table(spark, sf_dir, "events")
+    e = dealt(V.table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     cls = F.when(eid % 10 < 6, 0).when(eid % 10 < 8, 1).otherwise(2)
     flow = F.struct(

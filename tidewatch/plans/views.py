@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.session import scratch_path, spread
+from tidewatch.session import dealt, scratch_path, spread
 from tidewatch.sources.events import ingest_events, parse_event_lines, typed_events
 
 PROTOS = ["TCP", "UDP", "ICMP", "ICMPv6", "SCTP", "GRE"]
@@ -48,7 +48,7 @@ def _iso(ts: Column) -> Column:
 
 def eve_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> (value: NDJSON line, ord: event_id)."""
-    e = table(spark, sf_dir, "events")
+    e = dealt(table(spark, sf_dir, "events"))
     eid, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     src = F.col("event_type")

@@ -82,3 +82,9 @@ def spread(df: DataFrame) -> DataFrame:
     Only for inputs with fewer splits than cores (one row group), as in a benchmark on one machine."""
     n = df.sparkSession.conf.get("spark.tidewatch.spread", None)
     return df.repartition(int(n)) if n else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores to all of them, for much work on few bytes."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

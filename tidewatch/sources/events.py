@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType
 from tidewatch import schemas
 from tidewatch.session import package_for_workers
 
+WHITE_SPACE = " \t\n\x0b\f\r"  # taken off at both ends of a line
 
 def read_event_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text scan of NDJSON files -> (value string, ord struct).
@@ -50,9 +51,10 @@ def parse_event_lines(lines: DataFrame, value_col: str = "value", ord_col: str =
     raw = F.col(value_col)
     undecodable = (~F.is_valid_utf8(raw) if encoding == "strict" else F.lit(False)).alias("_undecodable")
     text = F.make_valid_utf8(raw) if encoding == "replace" else F.when(F.is_valid_utf8(raw), raw)
-    line = F.regexp_replace(text, r"^\s+|\s+$", "")
-    parsed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), ArrayType(schemas.EVE_SCHEMA), {"allowSingleQuotes": "false"})
-    df = lines.select(F.col(ord_col).alias("ord"), line.alias("_line"), parsed.alias("_all"), undecodable)
+    df = lines.select(F.col(ord_col).alias("ord"), F.btrim(text, F.lit(WHITE_SPACE)).alias("_line"), undecodable)
+    parsed = F.from_json(F.concat(F.lit("["), F.col("_line"), F.lit("]")), ArrayType(schemas.EVE_SCHEMA), {"allowSingleQuotes": "false"})
+    # one row each: filters on a parsed field stay above it, so no line is parsed a second time for them
+    df = df.select("ord", "_line", "_undecodable", F.explode(F.array(parsed)).alias("_all"))
     blank = F.col("_line").isNull() | (F.col("_line") == "")
     one = F.col("_line").startswith("{") & F.coalesce(F.size("_all") == 1, F.lit(False))
     kind = F.when(F.col("_undecodable"), F.lit("undecodable")).when(blank, F.lit("blank")).when(one, F.lit("event")).otherwise(F.lit("malformed"))
