@@ -111,3 +111,21 @@ def test_kafka_source_needs_connector(spark):
     else:  # connector present: the frame has the line schema
         assert df.columns == ["value", "ord"]
         pytest.skip("kafka connector available")
+
+
+def test_forest_is_the_same_without_cached_node_ids(spark):
+    df = spark.range(0, 4000, numPartitions=4).selectExpr("double(id % 97) AS a", "double(id * 7 % 31) AS b", "if(id % 97 > 40 AND id * 7 % 31 < 17, 'x', 'y') AS Label")
+    kept, walked = (L.train_forest(df, ["a", "b"], num_trees=5, max_depth=6, **x) for x in ({}, {"cached_ids": 0}))
+    trees = lambda m: [t.toDebugString.split("\n", 1)[1] for t in L.forest_of(m).trees]
+    assert trees(kept) == trees(walked)
+    assert L.forest_of(kept).getCacheNodeIds() and not L.forest_of(walked).getCacheNodeIds()
+
+
+def test_forest_deals_large_partitions_anew(spark, monkeypatch):
+    seen = []
+    fit = L.RandomForestClassifier.fit
+    monkeypatch.setattr(L.RandomForestClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    df = spark.range(0, 4000, numPartitions=1).selectExpr("double(id % 97) AS a", "if(id % 97 > 40, 'x', 'y') AS Label")
+    L.train_forest(df, ["a"], num_trees=5, max_depth=3)
+    L.train_forest(df, ["a"], num_trees=5, max_depth=3, task_ids=5000)
+    assert seen == [1, 8]

@@ -21,6 +21,8 @@ from tidewatch.session import cut_lineage
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
 HISTOGRAM_MB = 256  # fixed: the buffer groups tree nodes, and the grouping orders the random feature draws
 MAX_BROADCAST_CLASSES = 1_000_000
+CACHED_IDS = 200_000_000  # node ids (rows x trees) kept between levels; beyond it they'd be spilled and written at every level
+TASK_IDS = 25_000_000  # rows x trees of one task, some 150 MB
 
 
 def train_forest(
@@ -34,30 +36,38 @@ def train_forest(
     max_bins: int = 32,
     max_memory_mb: int = HISTOGRAM_MB,
     materialize: bool = True,
+    cached_ids: int = CACHED_IDS,
+    task_ids: int = TASK_IDS,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
     assembly by name, forest with sqrt feature subsets.
 
     The histogram buffer is the same everywhere, since another one may give another forest; a
-    depth beyond Spark's limit is refused.  Node ids are cached between levels (checkpointed
-    every 10 levels into the shared checkpoint folder)."""
+    depth beyond Spark's limit is refused.  Up to ``cached_ids`` node ids are cached between levels
+    (checkpointed every 10 levels into the shared checkpoint folder); with more, a row's node is found
+    by walking down its trees, which gives the same forest.  Rows are dealt anew if a partition
+    holds more than ``task_ids`` rows x trees."""
     if max_depth > MAX_DEPTH_CEILING:
         raise ValueError(f"max_depth {max_depth} is beyond Spark's limit of {MAX_DEPTH_CEILING}")
     indexer = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
+    # Fitting reads its input several times (label index, split candidates, training
+    # points): materialise only the needed columns once, in the shared checkpoint folder,
+    # instead of recomputing the upstream sample / lookup / join lineage on every pass.
+    if materialize:
+        df = cut_lineage(df.select(label, *features, *([weight_col] if weight_col else [])))
+    held = df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.sum("count"), F.max("count")).first()
+    ids, most = (num_trees * (x or 0) for x in held)
+    if most > task_ids:
+        df = df.repartition(2 * -(-ids // task_ids))
     rf = RandomForestClassifier(
         featuresCol="_features", labelCol="_label_idx", numTrees=num_trees,
         maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
         maxBins=max_bins, maxMemoryInMB=max_memory_mb,
-        cacheNodeIds=True, checkpointInterval=10, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
+        cacheNodeIds=ids <= cached_ids, checkpointInterval=10, predictionCol="_pred_idx", probabilityCol="_prob", rawPredictionCol="_raw",
     )
     if weight_col:
         rf.setWeightCol(weight_col)
-    # Fitting reads its input several times (label index, split candidates, training
-    # points): materialise only the needed columns once, in the shared checkpoint folder,
-    # instead of recomputing the upstream sample / lookup / join lineage on every pass.
-    if materialize:
-        df = cut_lineage(df.select(label, *features, *([weight_col] if weight_col else [])))
     # IndexToString needs the fitted labels, so fit in two steps.
     prep = Pipeline(stages=[indexer, assembler]).fit(df)
     labels = prep.stages[0].labels
