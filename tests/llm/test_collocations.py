@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,18 @@ def test_exact_beyond_64_bits(spark):
     totals = spark.createDataFrame([("x", 10**13 + 7)], "lang string, n long")
     r = C._scored(found, counts, totals, 5).first()
     assert r.score == 1000 * 3 * 10**9 * (10**13 + 7) // ((5 * 10**9 + 1) * (7 * 10**9 + 3))
+
+
+def test_blocks_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(C, "small_batches", lambda batches, col: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    monkeypatch.setattr(C, "GROUP_BYTES", 1 << 16)
+    texts = spark.range(30).coalesce(1).selectExpr("'en' AS lang", "concat_ws(' ', transform(sequence(1, 5000), i -> hash(i, id))) AS text")
+    key = "spark.sql.parquet.enableNestedColumnVectorizedReader"
+    before = spark.conf.get(key)
+    blocks = C.encoded(texts)
+    files = [pq.ParquetFile(f.split("file:")[-1]) for f in blocks.inputFiles()]
+    assert sum(f.metadata.num_rows for f in files) == 30
+    assert max(f.metadata.row_group(g).num_rows for f in files for g in range(f.num_row_groups)) <= 5
+    with C.block_by_block(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key) == before

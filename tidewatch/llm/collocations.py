@@ -34,6 +34,7 @@ read.  Arithmetic is in 38 decimal digits.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -44,8 +45,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tidewatch.llm.common import importable, mix64, small_batches, table, texts_of, written
+from tidewatch.session import scratch_path
 
 SKETCH_BITS = 1 << 25  # 4 MB; a corpus of billions of frequent phrases wants more, or filters less
+GROUP_BYTES = 16 << 20  # of a row group of blocks, which is what a reading task holds
 FIRST_SHARE = 8  # the first wave takes the rarest first words up to this part of their occurrences
 SALTS = 16  # parts of a language that are cut to the best before they meet
 
@@ -200,7 +203,23 @@ def encoded(texts: DataFrame) -> DataFrame:
         for b in small_batches(batches, "text"):
             yield encoded_block(b.column("lang"), texts_of(b))
 
-    return written(texts.mapInArrow(run, BLOCK), "phrase_blocks")
+    # the writer looks at its size after every block, not after 100 of them, so a task holds few at a time
+    path = scratch_path(texts.sparkSession, "phrase_blocks")
+    sizes = {"parquet.block.size": GROUP_BYTES, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1, "parquet.page.size.row.check.min": 1}
+    texts.mapInArrow(run, BLOCK).write.options(compression="zstd", **sizes).parquet(path)
+    return texts.sparkSession.read.schema(BLOCK).parquet(path)
+
+
+@contextmanager
+def block_by_block(spark: SparkSession) -> Iterator[None]:
+    """Parquet rows with arrays are read one at a time: the vectorised reader takes 4096, here all blocks of a split."""
+    key = "spark.sql.parquet.enableNestedColumnVectorizedReader"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _pass(blocks: DataFrame, schema: str, rows_of: Callable[[Block], Iterable[pa.RecordBatch]]) -> DataFrame:
@@ -303,6 +322,11 @@ def _best(scored: DataFrame, most: int) -> DataFrame:
 
 def collocations(docs: DataFrame, most: int = 2000, least: int = 100, longest: int = 5, first_share: int = FIRST_SHARE, bits: int = SKETCH_BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``most`` collocations."""
+    with block_by_block(docs.sparkSession):  # every pass over the blocks ends in here
+        return _collocations(docs, most, least, longest, first_share, bits)
+
+
+def _collocations(docs: DataFrame, most: int, least: int, longest: int, first_share: int, bits: int) -> DataFrame:
     importable(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     blocks = encoded(texts)
