@@ -168,6 +168,36 @@ def test_pii_fit_under_any_partitioning(spark, sf):
     assert all(np.array_equal(x, y) for a, b in zip(one.trees, seven.trees, strict=True) for x, y in zip(a, b))
 
 
+def test_pii_fit_reads_every_document(spark, monkeypatch):
+    docs = spark.range(0, 9000, numPartitions=4).selectExpr("id AS doc_id", "if(id % 2 = 0, concat('mail joe', id, '@example.com'), concat('room 12 34 ', id)) AS text")
+    counts, own = {}, pii.written
+
+    def spy(df, kind):
+        got = own(df, kind)
+        counts[kind] = got.count()
+        return got
+
+    monkeypatch.setattr(pii, "written", spy)
+    pii.fitted(docs)
+    assert counts["pii_fit"] >= 9000
+
+
+@pytest.mark.parametrize("n", [30, 3000])
+def test_pii_thresholds_are_the_lowest_of_wanted_precision(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.random((n, 1))
+    y = (rng.random(n) < np.where(x[:, 0] > 0.6, 0.999, 0.7)).astype(float)
+    trees = pii.Trees()
+    trees.trees = [tuple(map(np.array, ([0, -1, -1], [k / 50, 0.0, 0.0], [1, 0, 0], [2, 0, 0], [0.0, -0.1, 0.1]))) for k in range(50)]
+    trees.calibrate(spark.createDataFrame([("card", float(b), a.tolist()) for a, b in zip(x, y)], "kind string, label double, x array<double>"))
+    p, want = trees.probability(x), 2.0
+    for least in np.unique(p[p > 0.5]):
+        some = p >= least
+        if ((y[some].sum() + 1) / (some.sum() + 1) if n < 50 else y[some].mean()) >= pii.PRECISION:
+            want = min(want, float(least))
+    assert want < 1 and trees.thresholds == dict.fromkeys(pii.KINDS, 2.0) | {"card": want}
+
+
 def test_lm_base_and_tree(odd_documents, no_documents):
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
     docs = odd_documents.select("doc_id", "text", held.alias("held_out"), F.lit(1).cast("long").alias("block"))
