@@ -76,6 +76,35 @@ def test_join_of_nothing(no_documents):
     assert ngram_join.similar_documents(no_documents).count() == 0
 
 
+def test_only_texts_to_be_joined_are_shuffled(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(20)] + [(None, "none")], "doc_id long, payload string")
+    chosen = spark.createDataFrame([(3, 1), (3, 2), (None, 3)], "rep long, uid long")
+    got = ngram_join.wanted(texts, chosen)
+    assert sorted(r.payload for r in got.collect()) == ["none", "t3"]
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(ngram_join, "BROADCAST_REPS", 1)
+    assert ngram_join.wanted(texts, chosen).count() == 21
+
+
+def test_lists_of_the_same_sets_are_paired_once(spark, monkeypatch):
+    """Twelve near copies share very many lists; their pairs are made from the distinct ones."""
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(k, " ".join([*words[:200], f"own{k}", *words[200:]])) for k in range(12)], "doc_id long, text string")
+    plans = []
+    own = ngram_join.written
+
+    def spy(df, kind, *more):
+        plans.append((kind, df._jdf.queryExecution().optimizedPlan().toString()))
+        return own(df, kind, *more)
+
+    monkeypatch.setattr(ngram_join, "written", spy)
+    monkeypatch.setattr(ngram_join, "clusters_of", lambda e, real=ngram_join.clusters_of: plans.append(("edges", e._jdf.queryExecution().optimizedPlan().toString())) or real(e))
+    got = ngram_join.similar_documents(docs, 4, "0.85").collect()
+    assert {(r.component_id, r.n_links) for r in got} == {(0, 11)}
+    edges = next(p for kind, p in plans if kind == "edges")
+    assert "count(1) AS keys" in edges[edges.index("Generate"):]
+
+
 def test_boundary_follows_cost():
     t = Fraction("0.85")
     assert ngram_join.boundary({10: 100, 400: 100}, t, 1.0) <= ngram_join.boundary({10: 100, 400: 100}, t, 50.0)

@@ -46,6 +46,7 @@ SHORT_LIST = 32  # lists up to this length are paired one by one
 BLOCK_ENTRIES = 1 << 20  # list entries among which hot keys are folded before the shuffle
 TASK_SETS = 4000  # sets joined in one task
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
+BROADCAST_REPS = 1_000_000  # doc_ids that go to all tasks to pick the texts joined exactly
 GROUP_SETS = 1000  # sets of small clusters that share a task, on average
 
 
@@ -241,9 +242,9 @@ def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
     one, directly or by way of the smallest of its block."""
     lists = written(lists_of(entries_of(classes, t, small)), "lists")
     apart = F.col("first").isNotNull() | (F.col("total") > SHORT_LIST)
-    short = lists.where(~apart).select(F.sort_array("u").alias("u"))
+    short = lists.where(~apart).groupBy(F.sort_array("u").alias("u")).agg(F.count(F.lit(1)).alias("keys"))  # copies share many lists
     pairs = F.flatten(F.transform("u", lambda x, i: F.transform(F.slice("u", i + 2, SHORT_LIST), lambda y: F.struct(x["uid"].alias("b"), y["uid"].alias("a"), x["n"].alias("nb"), y["n"].alias("na")))))
-    pairs = short.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count_if(F.col("p.na") > 0).alias("both"), F.max(F.abs("p.na")).alias("na"), F.max(F.abs("p.nb")).alias("nb"), F.bool_or(F.col("p.na") < 0).alias("sure"))
+    pairs = short.select("keys", F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.sum(F.when(F.col("p.na") > 0, F.col("keys")).otherwise(0)).alias("both"), F.max(F.abs("p.na")).alias("na"), F.max(F.abs("p.nb")).alias("nb"), F.bool_or(F.col("p.na") < 0).alias("sure"))
     long = lists.where(apart).select(F.col("u")[0]["uid"].alias("uid"), F.coalesce("first", "least").alias("first")).where("uid <> first")
     first = long.groupBy(F.col("first").alias("uid")).count()  # at least the lists that it begins
     more = long.groupBy("uid").count().unionByName(first).groupBy("uid").agg(F.sum("count").alias("more"))
@@ -371,6 +372,12 @@ def stars_of(dealt: DataFrame, run) -> DataFrame:
     return written(rows.groupBy("c", "i", "j").applyInPandas(run, "uid long, root long, links long"), "stars")
 
 
+def wanted(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose doc_id is a ``rep`` of ``chosen``: the others aren't shuffled while the reps can be broadcast."""
+    reps = chosen.select("rep").distinct()
+    return texts.join(F.broadcast(reps), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi") if reps.count() <= BROADCAST_REPS else texts
+
+
 def clusters_of(edges: DataFrame) -> DataFrame:
     return written(components(edges).select(F.col("node").alias("uid"), F.col("root").alias("cluster")), "clusters")
 
@@ -404,7 +411,8 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: str = "0.8")
     chosen = classes.select("uid", "n", "size", "class", "rep").join(clusters_of(near.select(F.col("uid").alias("a"), F.col("root").alias("b"))), "uid")
     chosen = with_deal(chosen).drop("cluster")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("payload"))
-    stars = stars_of(texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["rep"])), _exact(words, t))
+    chosen = written(chosen, "chosen")
+    stars = stars_of(wanted(texts, chosen).join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))), _exact(words, t))
     root = components(stars.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     links = stars.groupBy("uid").agg(F.sum("links").alias("links"))
 
