@@ -39,8 +39,6 @@ ORACLE: dict[str, str] = {
     "op4_topk": topk.ORACLE,
     "op7_quotes": quotes.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
-    "op11_collocations": op11_collocations,
-    "op12_license_scan": op12_license_scan,
     "op11_collocations": collocations.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
