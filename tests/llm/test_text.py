@@ -370,6 +370,20 @@ def test_verbatim_copies_whatever_the_marks(spark):
     assert {(r.doc_id, r.item_id): r.verbatim for r in got.collect()} == dict.fromkeys(want, True)
 
 
+def test_windows_are_hashed_in_generated_code(spark):
+    texts = ["", "one", "Take 12 apples", "we ask Anna for 3 kg of flour", "then Bob gives Carl 12 coins and 7.5 kg of rice, then Dora 9 more"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("t64", F.xxhash64("text"))
+    sizes = [1, 3, 5, 8]
+    got = decontaminate.document_windows(rows, sizes)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "transform(sequence(" not in plan and plan.count("transform(") == 2  # the hashes of single tokens
+    m = rows.select("doc_id", decontaminate.marked(F.col("text")).alias("m"))
+    m = m.select("doc_id", *[decontaminate._hashes(F.split(f(F.col("m")), " ")).alias(c) for c, f in (("th", decontaminate.template), ("ph", decontaminate.plain))])
+    want = {(r.doc_id, w.at, w.size, h) for size in sizes for r in m.select("doc_id", decontaminate._windows(F.col("th"), F.col("ph"), F.lit(size)).alias("w")).collect() for w in r.w or [] for h in (w.t, w.p)}
+    assert {(r.doc_id, r.p, r.size, r.h) for r in got.where("h is not null").collect()} == want
+    assert len({w[2] for w in want}) == 4
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "Where is the red house?\nI look for it."), (1, 1, "assistant", "> where is the RED house\n\nOn the hill."),

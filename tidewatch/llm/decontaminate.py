@@ -27,7 +27,6 @@ from tidewatch.llm.common import table, written
 WINDOW = 8
 LITERALS = 4
 BROADCAST_ROWS = 500_000  # rows of two longs: 8 MB
-WINDOWS = "array<struct<at:int,t:bigint,p:bigint,size:int>>"
 
 # Units of measure, long forms and symbols.
 UNITS = [
@@ -75,6 +74,12 @@ def _windows(th: Column, ph: Column, size: Column) -> Column:
     return F.when(fits, own)
 
 
+def _window_at(hashes: Column, at: Column, size: int) -> Column:
+    """Hash of the window of ``size`` tokens at ``at``, as in ``_windows``; null if there is none."""
+    fits = (F.size(hashes) - at >= size) if size >= LITERALS else (F.size(hashes) == size) & (at == 0)
+    return F.when(fits, F.xxhash64(F.slice(hashes, at + 1, F.lit(size))))
+
+
 def _hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.xxhash64(x))
 
@@ -104,6 +109,19 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return rows.select(F.explode(own).alias("h"), "item_id", "at", "size").distinct()
 
 
+def document_windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(doc_id, t64, p, size, h) of the template and plain windows of all texts; ``p`` counts from 0, ``h`` is null where there is none."""
+    # one parse of each text for all sizes; no filter on the number of tokens: pushed down, it would parse every text twice
+    # the marked text is a column of its own: inside the two transforms each would parse it again
+    w = rows.select("doc_id", "t64", marked(F.col("text")).alias("m"))
+    w = w.select("doc_id", "t64", _hashes(F.split(template(F.col("m")), " ")).alias("th"), _hashes(F.split(plain(F.col("m")), " ")).alias("ph"))
+    # a row for each position first, so that slices and hashes run in generated code, not in an interpreted transform
+    w = w.select("doc_id", "t64", "th", "ph", F.explode(F.sequence(F.lit(0), F.size("th") - 1)).alias("p"))
+    w = w.select("doc_id", "t64", "p", *[_window_at(F.col(c), F.col("p"), size).alias(f"{c}{size}") for size in sizes for c in ("th", "ph")])
+    own = [F.struct(F.lit(size).alias("size"), h.alias("h")) for size in sizes for h in (F.col(f"th{size}"), F.when(F.col(f"th{size}") != F.col(f"ph{size}"), F.col(f"ph{size}")))]
+    return w.select("doc_id", "t64", "p", F.explode(F.array(*own)).alias("w")).select("doc_id", "t64", "p", "w.size", "w.h")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, t64, item_id, n_windows, verbatim) for each document and item that it holds.
 
@@ -114,14 +132,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(item_windows(benchmark), "item_windows")
     n_items, sizes = items.count(), sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW sizes
     small = items.hint("broadcast") if n_items <= BROADCAST_ROWS else items
-    # one parse of each text for all sizes; no filter on the number of tokens: pushed down, it would parse every text twice
-    # the marked text is a column of its own: inside the two transforms each would parse it again
-    w = rows.select("doc_id", "t64", marked(F.col("text")).alias("m"))
-    w = w.select("doc_id", "t64", _hashes(F.split(template(F.col("m")), " ")).alias("th"), _hashes(F.split(plain(F.col("m")), " ")).alias("ph"))
-    every = [F.coalesce(_windows(F.col("th"), F.col("ph"), F.lit(size)), F.array().cast(WINDOWS)) for size in sizes or [WINDOW]]
-    w = w.select("doc_id", "t64", F.explode(F.concat(*every)).alias("w"))
-    w = w.select("doc_id", "t64", F.col("w.at").alias("p"), "w.size", F.explode(F.when(F.col("w.t") == F.col("w.p"), F.array("w.t")).otherwise(F.array("w.t", "w.p"))).alias("h"))
-    hits = w.join(small, ["h", "size"])
+    w = document_windows(rows, sizes or [WINDOW])
+    # the hash alone is the key of the join: one long, looked up faster than a pair
+    by_hash = small.withColumnsRenamed({"h": "i_h", "size": "i_size"})
+    hits = w.join(by_hash, (F.col("h") == F.col("i_h")) & (F.col("size") - F.col("i_size") == 0))
     lines = written(hits.groupBy("doc_id", "t64", "item_id", "size", (F.col("p") - F.col("at")).alias("shift"))
                     .agg(F.sort_array(F.collect_set("at")).alias("ats")), "window_hits")  # at most the item's windows
     # the values of the aligned stretches, from the texts of the documents that were hit
@@ -132,7 +146,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.select("doc_id", "t64", F.split(marked(F.col("text")), " ").alias("d")).dropDuplicates(["doc_id", "t64"])
     own = benchmark.select(F.col("item_id").cast("long").alias("i_id"), F.split(marked(F.col("text")), " ").alias("b"))
     x = lines.join(texts.withColumnsRenamed({"doc_id": "x_id", "t64": "x_t64"}), F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("t64") == F.col("x_t64")))
-    x = x.join(own, F.col("item_id") == F.col("i_id")).withColumn("w", F.transform("ats", _judged))
+    # one row each: the filter on the judged windows stays above them, so they are judged once
+    x = x.join(own, F.col("item_id") == F.col("i_id")).select("doc_id", "t64", "item_id", F.explode(F.array(F.transform("ats", _judged))).alias("w"))
     x = x.withColumn("n_windows", F.size(F.filter("w", lambda w: w["stands"])).cast("long")).where(F.col("n_windows") > 0)
     same = F.forall("w", lambda w: w["same"])
     return x.groupBy("doc_id", "t64", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max(F.struct("n_windows", same.alias("same")))["same"].alias("verbatim"))
