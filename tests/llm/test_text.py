@@ -305,6 +305,22 @@ def test_rare_language_is_a_label(spark):
     assert field.labels == ["de", "en"] and field.predict(pa.array(["das haus und der garten"]))[0] == ["de"]
 
 
+def test_pipeline_holds_little_text_at_a_time(spark, odd_documents, monkeypatch):
+    import corpus_pipeline
+    from tidewatch.llm import packing
+
+    field = language_id.fitted(odd_documents, F.lit(True))
+    rows = [sorted(map(str, language_id.with_language(odd_documents, field, "doc_id", lean=x).collect())) for x in (False, True)]
+    assert rows[0] == rows[1]
+    seen = []
+    plain, packed = language_id.with_language, packing.packed_documents
+    monkeypatch.setattr(language_id, "with_language", lambda *a, **b: seen.append(b) or plain(*a, **b))
+    monkeypatch.setattr(packing, "packed_documents", lambda *a, **b: seen.append(b) or packed(*a, **b))
+    corpus_pipeline.language(spark, odd_documents, "")
+    corpus_pipeline.pack(spark, odd_documents, "")
+    assert seen == [{"lean": True}, {"most": 2 << 20}]
+
+
 def test_language_of_text_without_blanks():
     rows = [("en", "the house and the garden with that thing which they have".split())] * 20 + [("de", "das haus und der garten mit dem ding welches sie haben".split())] * 20
     field = language_id.fit(rows)

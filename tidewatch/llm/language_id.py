@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import ragged, small_batches, split_words, table, texts_of, written
+from tidewatch.llm.common import TAKE_BYTES, ragged, small_batches, split_words, table, texts_of, written
 
 BITS = 15
 FIT_DOCS = 1500
@@ -37,6 +37,7 @@ LEXICON = 200  # frequent words of each language
 STEPS = 60
 LETTERS = 48  # of a position
 MEMO_WORDS = 200_000
+LEAN_BYTES = 2 << 20  # text handled at a time beside other stages; scores and messages of its positions take some 15 times that
 NEW_WORDS = 16_384  # words without a memo whose features are held at a time
 LETTER = regex.compile(r"\p{L}")
 
@@ -271,21 +272,24 @@ def fitted(docs: DataFrame, learn, most: int = FIT_DOCS) -> Field | None:
     return fit([(r["lang"], r["words"].split()) for r in got])
 
 
-def with_language(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
+def with_language(docs: DataFrame, field: Field | None, *keep: str, lean: bool = False) -> DataFrame:
     """``keep`` columns plus (lang_pred, score) of every row; no shuffle.
 
     ``und`` with score 0 stands for null and empty texts, texts without a letter, and everything
-    if there was nothing to learn from.  Repeated rows are labelled each on its own."""
+    if there was nothing to learn from.  Repeated rows are labelled each on its own.  ``lean``: less text at a time
+    and no hashes kept after a task, for workers that hold the memory of other stages too."""
     shared = docs.sparkSession.sparkContext.broadcast(field)  # 2 ** BITS weights a label and the lexicon
     names = list(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = shared.value
-        for b in small_batches(batches, "text__"):
+        for b in small_batches(batches, "text__", LEAN_BYTES if lean else TAKE_BYTES):
             texts = texts_of(b, "text__")
             lang, score = field.predict(texts) if field else (["und"] * len(texts), np.zeros(len(texts)))
             cols = [b.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang), pa.array(score)], names=[*names, "lang_pred", "score"])
+        if lean:
+            _HASHED.clear()
 
     out = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return docs.select(*keep, F.col("text").cast("string").alias("text__")).mapInArrow(run, out)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches, table, texts_of, written
+from tidewatch.llm.common import TAKE_BYTES, small_batches, table, texts_of, written
 from tidewatch.llm.tokens import WordIds, loaded
 
 CAPACITY = 4096
@@ -39,15 +39,15 @@ PIECES = "doc_id long, uid long, piece int, start long, length long, ids_crc32 l
 STATE = "shard long, island int, elite boolean, uids binary, lens binary, bins binary, fitness double"
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, *keep: str) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, *keep: str, most: int = TAKE_BYTES) -> DataFrame:
     """(doc_id, uid, piece, start, length, ids_crc32) of every piece of every row; no shuffle.
 
     Null text counts as empty, and an empty text is the end id alone.  ``uid`` tells repeated rows
-    apart.  Other columns are not read."""
+    apart.  Other columns are not read.  ``most``: bytes of text handled at a time."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, uid = loaded(WordIds, tokenizer), TaskContext.get().partitionId() << 36
-        for b in small_batches(batches, "text"):
+        for b in small_batches(batches, "text", most):
             ids, off = tok.encode(texts_of(b))
             n = np.diff(off) + 1
             cuts = -(-n // capacity)
@@ -244,9 +244,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     return out
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, most: int = TAKE_BYTES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
-    pieces = written(pieces_of(docs, tokenizer, capacity, end_id), "pieces")
+    pieces = written(pieces_of(docs, tokenizer, capacity, end_id, most=most), "pieces")
     return pieces.join(pack(pieces, capacity), "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
