@@ -82,3 +82,24 @@ def test_joins_split_a_hot_key(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_rows_of_one_row_group_are_dealt(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidewatch.session import dealt
+
+    pq.write_table(pa.table({"a": list(range(50_000)), "b": [f"x{i * 7919 % 50_021}" for i in range(50_000)]}), tmp_path / "one.parquet")
+    known = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in known:
+            spark.conf.set(c, "16k")
+        df = spark.read.parquet(str(tmp_path / "one.parquet"))
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism  # many splits, one of them with rows
+        sizes = [len(x) for x in dealt(df).rdd.glom().collect()]
+        assert sum(sizes) == 50_000 and max(sizes) <= 2 * 50_000 / spark.sparkContext.defaultParallelism
+        assert dealt(df.limit(0)).count() == 0
+    finally:
+        for c, v in known.items():
+            spark.conf.set(c, v)

@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the engine relies on; everything else is left to the cluster's defaults.
 DEFAULT_CONF = {
@@ -85,6 +86,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores to all of them, for much work on few bytes."""
+    """Deal the rows of a scan to all cores if its largest split holds more than twice a core's share, for much
+    work on few bytes.  Splits are counted by rows: a file of one row group has many splits, of which one has rows."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    total, most = df.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    return df.repartition(n) if most and most * n > 2 * total else df
