@@ -103,3 +103,35 @@ def test_rows_of_one_row_group_are_dealt(spark, tmp_path):
     finally:
         for c, v in known.items():
             spark.conf.set(c, v)
+
+
+def _events(spark, folder, n=400):
+    kinds = "element_at(array('click', 'view', 'error', 'purchase', 'signup'), int(id % 5) + 1)"
+    spark.range(0, n, 1, 2).selectExpr(
+        "id AS event_id", "timestamp_micros(id * 1000000) AS ts", "id % 23 AS user_id", f"{kinds} AS event_type", "double(id % 9) AS value",
+        "concat('{\"k\": ', id % 101, '}') AS props").write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_log_lines_are_made_in_code_the_jit_compiles(spark, tmp_path):
+    from tidewatch.plans import views as V
+
+    sf = _events(spark, tmp_path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = V.eve_events(spark, sf)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        code = df._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x.split(";")[0]) for x in code.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000  # HotSpot interprets longer methods
+
+
+def test_counts_parse_the_log_once(spark, tmp_path):
+    from tidewatch.plans import q_reports as Q
+
+    got = Q.q_count_reconciliation(spark, _events(spark, tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "JsonToStructs" not in plan and "from_json" not in plan  # both inputs read the flows written by the one parse
+    assert got.first().rows_a > got.first().rows_b > 0

@@ -15,6 +15,7 @@ from tidewatch.plans import oracle as O
 from tidewatch.plans import views as V
 from tidewatch.plans.catalogue import _compare, register
 from tidewatch.plans.q_tables import CIC_SQL, KISTI_SQL, _snake
+from tidewatch.session import handed_off
 
 # ---------------------------------------------------------------------------------------
 # A1 A2 A3 W2 A11
@@ -323,7 +324,7 @@ SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) FILTER (WHERE dur_micro
 FROM eve WHERE event_type = 'flow'""")
 def q_count_reconciliation(spark, sf_dir):
     """Row counts of the two zipped inputs and whether they agree."""
-    ev = FX.flow_events(V.eve_events(spark, sf_dir))
+    ev = handed_off(FX.flow_events(V.eve_events(spark, sf_dir)).select("flow_start", "flow_end"), "flow_times")  # parsed once for both inputs
     return C.count_reconciliation(ev, ev.filter(F.col("flow_end").isNotNull() & F.col("flow_start").isNotNull()))
 
 

@@ -111,7 +111,9 @@ def eve_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         tcp.alias("tcp"),
         alert.alias("alert"),
     )
-    line = F.to_json(record)
+    # the text once, in a column of its own: a copy of it in each branch makes generated code too long for the JIT
+    base = base.select("eid", F.to_json(record).alias("text"))
+    line = F.col("text")
     line = (
         F.when(eid % 89 == 0, F.substring(line, 1, 30))  # cut-off line
         .when(eid % 71 == 0, F.concat(line, F.lit(" trailing")))  # trailing garbage
