@@ -129,3 +129,15 @@ def test_forest_deals_large_partitions_anew(spark, monkeypatch):
     L.train_forest(df, ["a"], num_trees=5, max_depth=3)
     L.train_forest(df, ["a"], num_trees=5, max_depth=3, task_ids=5000)
     assert seen == [1, 8]
+
+
+def test_forest_has_no_more_tasks_than_needed(spark, monkeypatch):
+    seen = []
+    fit = L.RandomForestClassifier.fit
+    monkeypatch.setattr(L.RandomForestClassifier, "fit", lambda self, df: seen.append((df.rdd.getNumPartitions(), df.count())) or fit(self, df))
+    df = spark.range(0, 4000, numPartitions=100).selectExpr("double(id % 97) AS a", "if(id % 97 > 40, 'x', 'y') AS Label")
+    L.train_forest(df, ["a"], num_trees=5, max_depth=3)  # each task would shuffle the statistics of all nodes
+    monkeypatch.setattr(L, "DEALT_IDS", 5000)
+    L.train_forest(df.coalesce(1), ["a"], num_trees=5, max_depth=3)
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [(cores, 4000), (cores, 4000)]

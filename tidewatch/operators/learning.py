@@ -22,7 +22,8 @@ MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
 HISTOGRAM_MB = 256  # fixed: the buffer groups tree nodes, and the grouping orders the random feature draws
 MAX_BROADCAST_CLASSES = 1_000_000
 CACHED_IDS = 200_000_000  # node ids (rows x trees) kept between levels; beyond it they'd be spilled and written at every level
-TASK_IDS = 25_000_000  # rows x trees of one task, some 150 MB
+TASK_IDS = 200_000_000  # rows x trees of one task, some 1.2 GB at most and 0.6 GB once dealt
+DEALT_IDS = 25_000_000  # rows x trees of a partition from which dealing them to idle cores pays
 
 
 def train_forest(
@@ -46,7 +47,9 @@ def train_forest(
     depth beyond Spark's limit is refused.  Up to ``cached_ids`` node ids are cached between levels
     (checkpointed every 10 levels into the shared checkpoint folder); with more, a row's node is found
     by walking down its trees, which gives the same forest.  Rows are dealt anew if a partition
-    holds more than ``task_ids`` rows x trees."""
+    holds more than ``task_ids`` rows x trees, or much more than a core's share.  Every partition, an
+    empty one too, shuffles the statistics of all nodes at each level (some 400 MB a fit of 100 trees), so there
+    are no more partitions than cores and ``task_ids`` ask for."""
     if max_depth > MAX_DEPTH_CEILING:
         raise ValueError(f"max_depth {max_depth} is beyond Spark's limit of {MAX_DEPTH_CEILING}")
     indexer = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
@@ -58,8 +61,12 @@ def train_forest(
         df = cut_lineage(df.select(label, *features, *([weight_col] if weight_col else [])))
     held = df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.sum("count"), F.max("count")).first()
     ids, most = (num_trees * (x or 0) for x in held)
-    if most > task_ids:
-        df = df.repartition(2 * -(-ids // task_ids))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, 2 * -(-ids // task_ids))
+    if most > task_ids or (most > DEALT_IDS and most * cores > 2 * ids):
+        df = df.repartition(tasks)
+    elif df.rdd.getNumPartitions() > 2 * tasks:
+        df = df.coalesce(tasks)
     rf = RandomForestClassifier(
         featuresCol="_features", labelCol="_label_idx", numTrees=num_trees,
         maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
