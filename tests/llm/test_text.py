@@ -321,6 +321,40 @@ def test_pipeline_holds_little_text_at_a_time(spark, odd_documents, monkeypatch)
     assert seen == [{"lean": True}, {"most": 2 << 20}]
 
 
+def test_pipeline_workers_keep_little_after_a_task(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import public_tokenizers
+    from tidewatch.llm import packing
+    from tidewatch.llm.tokens import WordIds, loaded
+
+    class Frame:
+        select = lambda self, *a: self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+
+    path, frame, rows = public_tokenizers.path("word_bpe_49k.json"), Frame(), []
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["some words to remember", None, "words again"]})
+    for most, kept in ((packing.TAKE_BYTES, 5), (packing.TAKE_BYTES // 4, 0)):
+        loaded(WordIds, path).forget()
+        packing.pieces_of(frame, path, most=most)
+        rows.append([x.to_pylist() for x in frame.run([batch])])
+        assert len(loaded(WordIds, path).words) == kept
+    assert rows[0] == rows[1] and sum(map(len, rows[0])) == 3
+
+
+def test_sets_of_a_block_are_made_a_few_texts_at_a_time(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"text": [f"a b c d{i % 3} e{i % 50}" for i in range(200)]})
+    want = [x.to_pylist() for x in ngram_join._recurring(2)([batch])]
+    sizes, plain = [], ngram_join.gram_sets
+    monkeypatch.setattr(ngram_join, "gram_sets", lambda texts, words: sizes.append(len(texts)) or plain(texts, words))
+    monkeypatch.setattr(ngram_join, "SET_BYTES", 100)
+    assert [x.to_pylist() for x in ngram_join._recurring(2)([batch])] == want and want[0]
+    assert max(sizes) <= 20 and sum(sizes) == 150  # the distinct ones of the whole block
+
+
 def test_language_of_text_without_blanks():
     rows = [("en", "the house and the garden with that thing which they have".split())] * 20 + [("de", "das haus und der garten mit dem ding welches sie haben".split())] * 20
     field = language_id.fit(rows)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import TAKE_BYTES, ragged, small_batches, split_words, table, texts_of, written
+from tidewatch.llm.common import TAKE_BYTES, give_back, ragged, small_batches, split_words, table, texts_of, written
 
 BITS = 15
 FIT_DOCS = 1500
@@ -290,6 +290,7 @@ def with_language(docs: DataFrame, field: Field | None, *keep: str, lean: bool =
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang), pa.array(score)], names=[*names, "lang_pred", "score"])
         if lean:
             _HASHED.clear()
+            give_back()
 
     out = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return docs.select(*keep, F.col("text").cast("string").alias("text__")).mapInArrow(run, out)

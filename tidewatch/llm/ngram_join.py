@@ -37,11 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import mix64, small_batches, split_words, table, texts_of, written
+from tidewatch.llm.common import give_back, mix64, small_batches, split_words, table, texts_of, written
 from tidewatch.llm.components import components
 
 HEAVY_MOST = 300_000  # n-grams whose counts go to all tasks: 5 MB
 BLOCK_BYTES = 16 << 20  # text among which an n-gram must recur to count as frequent
+SET_BYTES = 4 << 20  # text whose sets are made at a time; the work arrays take some ten times that
 SHORT_LIST = 32  # lists up to this length are paired one by one
 BLOCK_ENTRIES = 1 << 20  # list entries among which hot keys are folded before the shuffle
 TASK_SETS = 4000  # sets joined in one task
@@ -92,12 +93,13 @@ def can_link(n: int, t: Fraction) -> bool:
 def _recurring(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", BLOCK_BYTES):
-            sets = gram_sets(texts_of(b).unique(), words)
-            every = np.sort(np.concatenate([np.zeros(0, np.uint64), *sets]))
-            head = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
-            n = np.diff(np.append(head, len(every)))
-            keep = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(every[head][keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["gram", "n"])
+            own = pa.RecordBatch.from_arrays([texts_of(b).unique()], names=["text"])
+            every = np.concatenate([np.zeros(0, np.uint64), *(s for x in small_batches([own], "text", SET_BYTES) for s in gram_sets(x.column("text"), words))])
+            every.sort()
+            same = np.concatenate([[False], every[1:] == every[:-1], [False]])  # as the one before
+            first, last = (np.flatnonzero(x) for x in (~same[:-1] & same[1:], same[:-1] & ~same[1:]))  # of those that recur
+            yield pa.RecordBatch.from_arrays([pa.array(every[first].view(np.int64)), pa.array(last - first + 1)], names=["gram", "n"])
+        give_back()
 
     return run
 
@@ -135,11 +137,12 @@ def sets_of(docs: DataFrame, words: int, t: Fraction, heavy) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, count = heavy.value
-        for b in small_batches(batches, "text"):
+        for b in small_batches(batches, "text", SET_BYTES):
             sets = gram_sets(texts_of(b), words)
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             pre = [ordered(s, prefix_length(len(s), t, 2), gram, count).tobytes() if can_link(len(s), t) else b"" for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t64"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(pre, pa.binary())], names=["doc_id", "t64", "n", "class", "prefix"])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t64"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, t64 long, n long, class binary, prefix binary")

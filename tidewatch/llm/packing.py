@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import TAKE_BYTES, small_batches, table, texts_of, written
+from tidewatch.llm.common import TAKE_BYTES, give_back, small_batches, table, texts_of, written
 from tidewatch.llm.tokens import WordIds, loaded
 
 CAPACITY = 4096
@@ -43,7 +43,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     """(doc_id, uid, piece, start, length, ids_crc32) of every piece of every row; no shuffle.
 
     Null text counts as empty, and an empty text is the end id alone.  ``uid`` tells repeated rows
-    apart.  Other columns are not read.  ``most``: bytes of text handled at a time."""
+    apart.  Other columns are not read.  ``most``: bytes of text handled at a time; with less than ``TAKE_BYTES``, for
+    workers that hold the memory of other stages too, no words are remembered after a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, uid = loaded(WordIds, tokenizer), TaskContext.get().partitionId() << 36
@@ -61,6 +62,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
                 [b.column("doc_id").take(pa.array(row)), pa.array(uid + np.arange(len(row))), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                 names=["doc_id", "uid", "piece", "start", "length", "ids_crc32"])
             uid += len(row)
+        if most < TAKE_BYTES:
+            tok.forget()
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, PIECES)

@@ -80,6 +80,11 @@ class WordIds:
             return self._piece(low[:-1]) + self._piece(low[-1])
         return b"".join(map(self._piece, WORD_PIECES.findall(low)))
 
+    def forget(self) -> None:
+        """Drop the memo."""
+        self.words.clear()
+        self.pieces.clear()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offset of each text)."""
         codes, uniq, off = split_words(texts)
