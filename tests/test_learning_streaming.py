@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_lines
@@ -141,3 +142,35 @@ def test_forest_has_no_more_tasks_than_needed(spark, monkeypatch):
     L.train_forest(df.coalesce(1), ["a"], num_trees=5, max_depth=3)
     cores = spark.sparkContext.defaultParallelism
     assert seen == [(cores, 4000), (cores, 4000)]
+
+
+def counted(spark, df):
+    """``df`` and an accumulator of its rows that were computed, over all passes."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+@pytest.fixture
+def small_tables():
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("driver tables not present")
+    return path
+
+
+def test_gap_forest_parses_the_log_once(spark, monkeypatch, small_tables):
+    from tidewatch.plans import q_gap
+
+    lines, parsed = counted(spark, q_gap.gap_lines(spark, small_tables))
+    monkeypatch.setattr(q_gap, "gap_lines", lambda *a: lines)
+    for name, value in (("_FORESTS", {}), ("NUM_TREES", 2), ("MAX_DEPTH", 2)):
+        monkeypatch.setattr(q_gap, name, value)
+    _, flows = q_gap.gap_forest(spark, small_tables)
+    assert flows.filter("is_test").count()
+    assert parsed.value == spark.read.parquet(f"{small_tables}/events.parquet").count()

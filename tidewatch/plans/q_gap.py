@@ -61,7 +61,9 @@ _FORESTS: dict = {}
 
 
 def gap_forest(spark: SparkSession, sf_dir: str):
-    """(model, flows): the model saved and loaded again, and all labelled flows with ``is_test`` (written once).
+    """(model, flows): the model saved and loaded again, and all labelled flows with ``is_test``.
+
+    The flows are written before the split, whose draw reads them several times, so the log is parsed once.
 
     One forest a session and table folder; the first query that asks for it pays for the fit."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -69,7 +71,8 @@ def gap_forest(spark: SparkSession, sf_dir: str):
         flows = FX.flow_features_18(gap_events(spark, sf_dir))
         packets = F.col("total_fwd_packets")
         label = F.when(packets >= 2000, "PortScan").when(packets >= 1000, "DDoS").otherwise("BENIGN")
-        flows = handed_off(M.stratified_split(flows.withColumn("label", label), "label", "flow_id", 0.2, 42), "gap_flows")
+        flows = handed_off(flows.withColumn("label", label), "gap_labelled")
+        flows = handed_off(M.stratified_split(flows, "label", "flow_id", 0.2, 42), "gap_flows")
         model = L.train_forest(flows.filter(~F.col("is_test")), schemas.CIC_18, label="label", num_trees=NUM_TREES, max_depth=MAX_DEPTH, materialize=False)
         path = scratch_path(spark, "model_gap")
         L.save_model(model, path)  # K5
