@@ -174,3 +174,15 @@ def test_gap_forest_parses_the_log_once(spark, monkeypatch, small_tables):
     _, flows = q_gap.gap_forest(spark, small_tables)
     assert flows.filter("is_test").count()
     assert parsed.value == spark.read.parquet(f"{small_tables}/events.parquet").count()
+
+
+def test_kisti_rows_are_joined_once(spark, monkeypatch, small_tables):
+    from tidewatch.plans import q_learning, views
+
+    raw, joined = counted(spark, views.kisti_frame(spark, small_tables))
+    monkeypatch.setattr(views, "kisti_frame", lambda *a: raw)
+    monkeypatch.setattr(q_learning, "_MODELS", {})
+    _, rows = q_learning.kisti_model(spark, small_tables, 2, 2)
+    assert rows.filter("is_test").count()
+    lines, orders = (spark.read.parquet(f"{small_tables}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert joined.value == lines.join(orders, F.expr("l_orderkey = o_orderkey")).count()
