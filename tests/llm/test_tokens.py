@@ -103,6 +103,43 @@ def test_packing_over_levels(spark):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 1000) * 1.02
 
 
+def test_packing_takes_every_genetic_step(monkeypatch):
+    """Crossover runs as often whether or not the first packings meet the bound, and never makes a packing worse."""
+    made, plain = [], packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: made.append(1) or plain(*a))
+    rng = np.random.default_rng(7)
+    for lens in (np.sort(rng.integers(1, 100, 400))[::-1], np.repeat([34, 33, 33], 50), np.array([70])):
+        first = [packing.first_packing(lens, 100, rng, x) for x in (0.0, 0.05, 0.05)]
+        before = len(made)
+        packings = packing._evolved(first, lens, 100, rng)
+        assert len(made) - before == packing.CHILDREN == len(packings) - len(first)
+        for p in packings:
+            assert len(p) == len(lens) and np.bincount(p, weights=lens).max() <= 100
+
+
+def test_genetic_steps_reach_fewer_sequences_than_best_fit():
+    """Two or three tight pieces a sequence: best-fit from the longest misses the bound."""
+    rng = np.random.default_rng(2)
+    lens = np.sort(rng.integers(260, 420, 300))[::-1]
+    packings = [packing.first_packing(lens, 1000, rng, x) for x in (0.0, 0.05, 0.05)]
+    first = int(packings[0].max()) + 1
+    for _ in range(12):
+        packings = sorted(packing._evolved(packings, lens, 1000, rng), key=lambda p: packing.fitness(p, lens, 1000))[-3:]
+    assert int(packings[-1].max()) + 1 < first
+
+
+@pytest.mark.parametrize(("lengths", "capacity", "sequences"), [
+    ("600", 1000, 3000),  # no two pieces go together
+    ("if(id % 3 = 0, 1, 601)", 1000, 2000),
+    ("1", 1000, 3),  # one sequence holds more pieces than a shard
+])
+def test_packing_again_does_not_stop_where_most_is_ill_filled(spark, lengths, capacity, sequences):
+    rows = spark.range(3000).select(F.col("id").alias("uid"), F.expr(lengths).cast("long").alias("length"))
+    got = packing.pack(rows, capacity, 400).join(rows, "uid").toPandas()
+    assert len(got) == 3000 == got.uid.nunique() and got.groupby("sequence_id").length.sum().max() <= capacity
+    assert got.sequence_id.nunique() == sequences
+
+
 def test_word_ids_equal_the_library_for_every_simple_letter():
     tok = WordIds(P.path("word_bpe_49k.json"))
     letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]

@@ -6,9 +6,13 @@ of pieces by a hash of their row.  Each shard has several islands, each a Spark
 small population of packings.  An epoch evolves every island; then each island's elite moves on to
 the next one (a shuffle).  Crossover injects well-filled sequences of one parent whole into the
 other, takes out the sequences that hold duplicates, and places the displaced pieces best-fit, from
-the longest.  After the last epoch the best packing of each shard stands, but for its ill-filled
+the longest.  Every island takes all its steps, also where its first packing already has as few
+sequences as the lengths allow: the fill may still be shifted into fewer of them.  After the last
+epoch the best packing of each shard stands, but for its ill-filled
 sequences: their pieces are pooled over all shards and packed again, level by level, until one shard
-holds them.  So the unavoidable rest is one sequence in all, not one in each shard.
+holds them.  Where most pieces lie in ill-filled sequences (long pieces that leave no room for another),
+only the least filled sequence of each shard is packed again.  So the unavoidable rest is one sequence
+in all, not one in each shard.
 """
 
 from __future__ import annotations
@@ -163,10 +167,7 @@ def _states(shard, island, uids, lens, packings, capacity) -> pd.DataFrame:
 
 
 def _evolved(packings: list[np.ndarray], lens: np.ndarray, capacity: int, rng: np.random.Generator) -> list[np.ndarray]:
-    bound = -(-int(lens.sum()) // capacity)
     for _ in range(CHILDREN):
-        if min(int(p.max()) + 1 for p in packings) <= bound:  # as few as the sum of lengths allows
-            break
         i, j = rng.choice(len(packings), 2, replace=len(packings) < 2)
         packings = [*packings, crossover(packings[i], packings[j], lens, capacity, rng)]
     return packings
@@ -206,7 +207,8 @@ def evolve(pieces: DataFrame, shards: int, level: int, capacity: int = CAPACITY,
 
 
 def _places(level: int, capacity: int, last: bool):
-    """(uid, length, sequence_id, offset, again) of the pieces; again: in an ill-filled sequence."""
+    """(uid, length, sequence_id, offset, again) of the pieces; again: 0, or in an ill-filled sequence 1, in the
+    least filled one of its shard 2."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -219,7 +221,8 @@ def _places(level: int, capacity: int, last: bool):
                 offset = total - np.repeat(total[head], np.diff(np.append(np.flatnonzero(head), len(b))))
                 fill = np.bincount(bins, weights=lens)[b]
                 seq = (level << 56) + (int(r.shard) << 20) + b.astype(np.int64)
-                again = (fill < WELL_FILLED * capacity) & (not last)
+                again = ((fill < WELL_FILLED * capacity) & (not last)).astype(np.int32)
+                again[(again > 0) & (b == b[np.argmin(fill)])] = 2
                 yield pd.DataFrame({"uid": uids[order], "length": n, "sequence_id": seq, "offset": offset, "again": again})
 
     return run
@@ -234,14 +237,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     left, level = rest.count(), 0
     while left:
         shards = max(1, -(-left // shard_pieces))
-        got = evolve(rest, shards, level, capacity).mapInPandas(_places(level, capacity, shards == 1), "uid long, length long, sequence_id long, offset long, again boolean")
+        got = evolve(rest, shards, level, capacity).mapInPandas(_places(level, capacity, shards == 1), "uid long, length long, sequence_id long, offset long, again int")
         got = written(got, "packing")
-        again = got.where("again").count() if shards > 1 else 0
-        if again > left // 2:  # most pieces do not fill sequences well: keep this packing
-            placed.append(got.select("uid", "sequence_id", "offset"))
-            break
-        placed.append(got.where(~F.col("again")).select("uid", "sequence_id", "offset"))
-        rest, left, level = got.where("again").select("uid", "length"), again, level + 1
+        ill, tails = got.agg(F.count_if(F.col("again") > 0), F.count_if(F.col("again") > 1)).first()
+        if ill <= left // 2:
+            again = F.col("again") > 0
+        else:  # most pieces do not fill sequences well
+            again, ill = F.col("again") > 1, tails
+        if ill > left // 2:  # a sequence holds most of a shard; it has at most ``capacity`` pieces, so larger shards leave fewer
+            shard_pieces = max(shard_pieces, 4 * capacity)
+        placed.append(got.where(~again).select("uid", "sequence_id", "offset"))
+        rest, left, level = got.where(again).select("uid", "length"), ill, level + 1
     out = placed[0]
     for p in placed[1:]:
         out = out.unionByName(p)
