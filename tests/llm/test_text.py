@@ -72,6 +72,67 @@ def test_join_in_block_pairs_and_long_lists(spark, monkeypatch):
     assert got == _brute(rows, 4, Fraction("0.85"))
 
 
+@pytest.mark.parametrize("hot", [16_000, 5])
+def test_common_ngrams_do_not_chain_most_sets(spark, monkeypatch, hot):
+    """Texts that share passages but not enough of them stay apart before the tasks' joins; lists beyond HOT_LIST chain them."""
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 4)
+    monkeypatch.setattr(ngram_join, "HEAVY_MOST", 0)
+    monkeypatch.setattr(ngram_join, "HOT_LIST", hot)
+    monkeypatch.setattr(ngram_join, "TASK_SETS", 20)
+    passage = [[f"p{k}w{i}" for i in range(12)] for k in range(6)]
+    rows = [(i, " ".join([f"own{i}x{k}" for k in range(60)] + passage[i % 6] + passage[(i // 6) % 6])) for i in range(120)]
+    rows += [(200 + i, rows[i][1] + " end") for i in range(0, 120, 10)]
+    sizes = []
+    real = ngram_join.clusters_of
+
+    def spy(edges):
+        got = real(edges)
+        sizes.append([r["count"] for r in got.groupBy("cluster").count().collect()])
+        return got
+
+    monkeypatch.setattr(ngram_join, "clusters_of", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similar_documents(docs, 4, "0.85").collect())
+    assert got == _brute(rows, 4, Fraction("0.85"))
+    assert (max(sizes[0]) > 60) if hot == 5 else (max(sizes[0]) == 2 and len(sizes[0]) == 12)
+
+
+def test_bitmaps_keep_every_linked_pair():
+    rng = np.random.default_rng(3)
+    t = Fraction("0.8")
+    for n in (1, 5, 100, 255, 256, 257, 300, 3000, 80_000):
+        s = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for m in (ngram_join.least_overlap(len(s), t), len(s)):
+            less = np.sort(rng.choice(s, max(1, m), replace=False))
+            a, b = (np.frombuffer(ngram_join.bitmap(x), "<u8") for x in (s, less))
+            words = min(len(a), len(b))
+            assert (ngram_join.folded(b, words) == np.frombuffer(ngram_join.bitmap(less), "<u8")[:words]).all() or len(b) > words
+            differ = np.bitwise_count(ngram_join.folded(a, words) ^ ngram_join.folded(b, words)).sum()
+            assert differ <= len(s) - len(less)
+            assert ngram_join.leaves_room(differ, np.array([len(s)]), np.array([len(less)]), t).all()
+    apart = [np.unique(rng.integers(0, 2**64, 400, dtype=np.uint64)) for _ in range(2)]
+    a, b = (np.frombuffer(ngram_join.bitmap(x), "<u8") for x in apart)
+    assert not ngram_join.leaves_room(np.bitwise_count(a ^ b).sum(), np.array([400]), np.array([400]), t).any()
+
+
+def test_shuffle_files_are_freed_after_a_write(spark):
+    import glob
+
+    from tidewatch.llm import common
+
+    before = spark.conf.get(common.FREE_SHUFFLE, None)
+    common.written(spark.range(5).groupBy("id").count(), "freed")  # the folders of this session
+    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    files = set(glob.glob(f"{root}/*/shuffle_*"))
+    common.written(spark.range(100_000).groupBy("id").count(), "freed")
+    for _ in range(50):
+        left = set(glob.glob(f"{root}/*/shuffle_*")) - files
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(common.FREE_SHUFFLE, None) == before
+
+
 def test_join_of_nothing(no_documents):
     assert ngram_join.similar_documents(no_documents).count() == 0
 

@@ -38,11 +38,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, kind: str, codec: str = "zstd") -> DataFrame:
-    """``df`` written as Parquet into the shared scratch folder and read back: lineage ends there."""
+    """``df`` written as Parquet into the shared scratch folder and read back: lineage ends there.
+
+    The write's shuffle files, which nothing reads again, are freed at its end and not at some later garbage collection."""
     spark = df.sparkSession
     path = scratch_path(spark, kind)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(FREE_SHUFFLE, None)
+    spark.conf.set(FREE_SHUFFLE, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLE, before) if before is not None else spark.conf.unset(FREE_SHUFFLE)
     return spark.read.schema(df.schema).parquet(path)
 
 

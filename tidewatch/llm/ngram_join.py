@@ -14,8 +14,11 @@ lists short), and the rest by hash.
   list entries times the expected list length.
 
 A list of at most ``SHORT_LIST`` sets gives its pairs, which are kept only if enough of their list
-entries agree; a longer list gives one edge from each set to its smallest.  So the rows stay linear
-in the list entries.  Entries are shuffled once; keys that a block of entries holds very often are
+entries agree; a longer one is joined inside tasks and gives one edge from each set that is kept, and one beyond
+``HOT_LIST`` sets an edge from each set to its smallest.  So the rows stay linear
+in the list entries.  A pair of either kind is kept only if the parity bitmaps of its sets (a bit or two for each
+member) leave room for a link: each bit in which they differ stands for a member that only one of them has.  So chance pairs
+that share a common n-gram don't grow into clusters of most sets, whose prefixes each of many tasks would need.  Entries are shuffled once; keys that a block of entries holds very often are
 folded to one entry of the block before that.  The edges' components are candidate clusters: every linked pair lies in one.  Tasks count the clusters' common prefix members and keep the sets whose prefixes
 leave room for a link with another; the clusters that are left are joined exactly, by counting
 overlaps through their own inverted lists, on texts read again.  Clusters beyond a task's bound are
@@ -44,8 +47,10 @@ HEAVY_MOST = 300_000  # n-grams whose counts go to all tasks: 5 MB
 BLOCK_BYTES = 16 << 20  # text among which an n-gram must recur to count as frequent
 SET_BYTES = 4 << 20  # text whose sets are made at a time; the work arrays take some ten times that
 SHORT_LIST = 32  # lists up to this length are paired one by one
+LEAST_BITS, MOST_BITS = 256, 1 << 16  # of a set's bitmap
 BLOCK_ENTRIES = 1 << 20  # list entries among which hot keys are folded before the shuffle
 TASK_SETS = 4000  # sets joined in one task
+HOT_LIST = 4 * TASK_SETS  # lists up to this length are joined by bitmaps, at most 8 times the rows of the list
 TASK_GRAMS = 4_000_000  # n-grams joined in one task
 BROADCAST_REPS = 1_000_000  # doc_ids that go to all tasks to pick the texts joined exactly
 GROUP_SETS = 1000  # sets of small clusters that share a task, on average
@@ -87,6 +92,29 @@ def can_link(n: int, t: Fraction) -> bool:
     return n > 0 and Fraction(n, n + 1) >= t
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """The parity of the number of members at each bit; a power of two of bits, for each member one up to MOST_BITS.
+
+    Its halves' xor is the bitmap of half as many bits."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (len(s) - 1).bit_length()))
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (a row of 64-bit words each) with fewer words."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def leaves_room(differ: np.ndarray, n: np.ndarray, m: np.ndarray, t: Fraction) -> np.ndarray:
+    """Whether sets of n and m members whose bitmaps differ in so many bits can link."""
+    most = np.minimum((n + m - differ) // 2, np.minimum(n, m))
+    return most * t.denominator >= t.numerator * (n + m - most)
+
+
 # --- pass 1: frequent n-grams, sets' prefixes ---------------------------------------------
 
 
@@ -133,7 +161,7 @@ def ordered(s: np.ndarray, most: int, gram: np.ndarray, count: np.ndarray) -> np
 
 
 def sets_of(docs: DataFrame, words: int, t: Fraction, heavy) -> DataFrame:
-    """(doc_id, t64, n, class, prefix) of every row; the class is a 128-bit digest of the set."""
+    """(doc_id, t64, n, class, prefix, bits) of every row; the class is a 128-bit digest of the set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, count = heavy.value
@@ -141,11 +169,12 @@ def sets_of(docs: DataFrame, words: int, t: Fraction, heavy) -> DataFrame:
             sets = gram_sets(texts_of(b), words)
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             pre = [ordered(s, prefix_length(len(s), t, 2), gram, count).tobytes() if can_link(len(s), t) else b"" for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t64"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(pre, pa.binary())], names=["doc_id", "t64", "n", "class", "prefix"])
+            bits = [bitmap(s) if can_link(len(s), t) else b"" for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t64"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(pre, pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "t64", "n", "class", "prefix", "bits"])
         give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t64"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, t64 long, n long, class binary, prefix binary")
+    return rows.mapInArrow(run, "doc_id long, t64 long, n long, class binary, prefix binary, bits binary")
 
 
 # --- candidates ---------------------------------------------------------------------------
@@ -225,15 +254,15 @@ def entries_of(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
 
 
 def lists_of(entries: DataFrame) -> DataFrame:
-    """(total, least, first, u) of the keys that several sets hold, after one shuffle of the entries.
+    """(key, total, least, first, u) of the keys that several sets hold, after one shuffle of the entries.
 
-    A list of at most SHORT_LIST sets is one row with all its sets in ``u``; each entry of a longer one,
+    A list of at most SHORT_LIST sets is one row with all its sets in ``u``, its key null; each entry of a longer one,
     and each edge of ``entries_of``, is a row of its own, so no long list is gathered."""
     own = Window.partitionBy("key", "first")
     found = entries.withColumn("total", F.sum("many").over(own)).withColumn("least", F.min("uid").over(own)).where(F.col("first").isNotNull() | (F.col("total") > 1))
     apart = F.when(F.col("first").isNotNull() | (F.col("total") > SHORT_LIST), F.col("uid"))
     rows = found.groupBy("key", "first", "total", "least", apart.alias("apart")).agg(F.collect_list(F.struct("uid", "n")).alias("u"))
-    return rows.select("total", "least", "first", "u")
+    return rows.select(F.when(F.col("apart").isNotNull(), F.col("key")).alias("key"), "total", "least", "first", "u")
 
 
 def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
@@ -241,14 +270,15 @@ def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
 
     Lists of at most SHORT_LIST sets give their pairs, and a pair is kept if its common list
     entries, with what longer lists and the members behind both prefixes may add, leave room for a
-    link (a common 2-subset always does).  A longer list gives one edge of each set to its smallest
-    one, directly or by way of the smallest of its block."""
+    link (a common 2-subset always does) and their bitmaps do.  A longer list gives the edges of ``_listed``, one beyond
+    HOT_LIST one edge of each set to its smallest one, directly or by way of the smallest of its block."""
     lists = written(lists_of(entries_of(classes, t, small)), "lists")
     apart = F.col("first").isNotNull() | (F.col("total") > SHORT_LIST)
     short = lists.where(~apart).groupBy(F.sort_array("u").alias("u")).agg(F.count(F.lit(1)).alias("keys"))  # copies share many lists
     pairs = F.flatten(F.transform("u", lambda x, i: F.transform(F.slice("u", i + 2, SHORT_LIST), lambda y: F.struct(x["uid"].alias("b"), y["uid"].alias("a"), x["n"].alias("nb"), y["n"].alias("na")))))
     pairs = short.select("keys", F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.sum(F.when(F.col("p.na") > 0, F.col("keys")).otherwise(0)).alias("both"), F.max(F.abs("p.na")).alias("na"), F.max(F.abs("p.nb")).alias("nb"), F.bool_or(F.col("p.na") < 0).alias("sure"))
-    long = lists.where(apart).select(F.col("u")[0]["uid"].alias("uid"), F.coalesce("first", "least").alias("first")).where("uid <> first")
+    every = lists.where(apart).select("key", F.col("u")[0]["uid"].alias("uid"), F.abs(F.col("u")[0]["n"]).alias("n"), F.coalesce("first", "least").alias("first"))
+    long = every.where("uid <> first")
     first = long.groupBy(F.col("first").alias("uid")).count()  # at least the lists that it begins
     more = long.groupBy("uid").count().unionByName(first).groupBy("uid").agg(F.sum("count").alias("more"))
     more_of = lambda c: more.select(F.col("uid").alias(c), F.col("more").alias(f"more_{c}"))
@@ -259,8 +289,64 @@ def candidate_edges(classes: DataFrame, t: Fraction, small: int) -> DataFrame:
     most = F.col("both") + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0))) + F.greatest(behind(F.col("na")), behind(F.col("nb"))) + 1  # one more: division is in floating point
     most = F.least(most, "na", "nb")
     room = most * F.lit(den) >= F.lit(num) * (F.col("na") + F.col("nb") - most)
-    near = pairs.where(F.col("sure") | room).select("a", "b")
-    return near.unionByName(long.select(F.col("uid").alias("a"), F.col("first").alias("b")))
+    near = pairs.where(F.col("sure") | room).select("a", "b", "na", "nb")
+    bits = classes.select("uid", "bits")
+    for c in "ab":
+        near = near.join(bits.select(F.col("uid").alias(c), F.col("bits").alias(f"bits_{c}")), c)
+    near = near.mapInPandas(_roomy(t), "a long, b long")
+    hot = written(every.groupBy("key").count().where(F.col("count") > HOT_LIST).select("key"), "hot_lists")
+    hot_edges = long.join(hot, "key", "left_semi").select(F.col("uid").alias("a"), F.col("first").alias("b"))
+    warm = every.join(hot, "key", "left_anti").select("uid", "n", F.col("key").alias("cluster"))
+    dealt = with_deal(warm).join(bits, "uid").withColumn("d", F.explode("deal")).select("d.*", "cluster", "uid", "n", "bits")
+    warm_edges = dealt.groupBy("c", "i", "j").applyInPandas(_listed(t), "a long, b long")
+    return near.unionByName(hot_edges).unionByName(warm_edges)
+
+
+def _roomy(t: Fraction):
+    """The pairs whose bitmaps leave room for a link."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for _, own in pdf.groupby([pdf["bits_a"].str.len(), pdf["bits_b"].str.len()]):
+                a, b = (np.frombuffer(b"".join(own[c]), "<u8").reshape(len(own), -1) for c in ("bits_a", "bits_b"))
+                words = min(a.shape[1], b.shape[1])
+                differ = np.bitwise_count(folded(a, words) ^ folded(b, words)).sum(axis=1, dtype=np.int64)
+                yield own.loc[leaves_room(differ, own["na"].to_numpy(np.int64), own["nb"].to_numpy(np.int64), t), ["a", "b"]]
+
+    return run
+
+
+def _listed(t: Fraction):
+    """Edges (a, b) from each set to the smallest one that it reaches by pairs of its list whose bitmaps leave room for a link."""
+
+    def edges(uid: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[bytes]) -> np.ndarray:
+        root = np.arange(len(uid))
+        words = np.array([len(x) // 8 for x in bits])
+        sizes = [(w, np.flatnonzero(words == w)) for w in np.unique(words)]
+        rows = {w: np.frombuffer(b"".join(bits[k] for k in at), "<u8").reshape(len(at), w) for w, at in sizes}
+        for w, at in sizes:
+            for v, to in sizes:
+                if v > w or n[to].max() * t.denominator < n[at].min() * t.numerator:
+                    continue
+                own, other = folded(rows[w], v), rows[v]
+                for k, x in enumerate(at):
+                    differ = np.bitwise_count(other ^ own[k]).sum(axis=1, dtype=np.int64)
+                    ok = leaves_room(differ, n[to], n[x], t) & ((side[to] != side[x]) | (side[x] == 2)) & (to != x)
+                    if ok.any():
+                        met = np.union1d(root[to[ok]], root[x])
+                        if len(met) > 1:
+                            root[np.isin(root, met)] = met[0]
+        return root
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [np.zeros((0, 2), np.int64)]
+        for _, own in pdf.sort_values("uid").groupby("cluster"):
+            uid = own["uid"].to_numpy(np.int64)
+            root = edges(uid, own["n"].to_numpy(np.int64), own["side"].to_numpy(), own["bits"].tolist())
+            found.append(np.stack([uid, uid[root]], axis=1)[root != np.arange(len(uid))])
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    return run
 
 
 # --- joins inside tasks -------------------------------------------------------------------
@@ -398,7 +484,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: str = "0.8")
     heavy = spark.sparkContext.broadcast(frequent(docs, words))
     member = written(sets_of(docs, words, t, heavy), "sets")
     some = member.where("n > 0")
-    classes = some.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    classes = some.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     classes = written(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
 
     able = classes.where(F.length("prefix") > 0)
