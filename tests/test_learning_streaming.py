@@ -186,3 +186,71 @@ def test_kisti_rows_are_joined_once(spark, monkeypatch, small_tables):
     assert rows.filter("is_test").count()
     lines, orders = (spark.read.parquet(f"{small_tables}/{t}.parquet") for t in ("lineitem", "orders"))
     assert joined.value == lines.join(orders, F.expr("l_orderkey = o_orderkey")).count()
+
+
+def _rule_rows(spark, n=4000):
+    b = F.pmod(F.hash("id"), F.lit(1000))
+    label = F.when(b > 600, "A").when(F.col("id") % 7 > 3, "B").otherwise("C")
+    return spark.range(0, n, 1, 3).select((F.col("id") % 7).cast("double").alias("a"), b.cast("double").alias("b"), F.lit(0.0).alias("c"), label.alias("Label"))
+
+
+def test_forest_in_blocks_learns_as_sparks_does(spark, monkeypatch, tmp_path):
+    """A fit of many rows x trees leaves Spark's forest; same settings, and what it says of a rule with gaps."""
+    from tidewatch.operators import forest as B
+
+    monkeypatch.setattr(B, "BLOCK_ROWS", 500)
+    used = []
+    plain = B.fitted
+    monkeypatch.setattr(B, "fitted", lambda *a: used.append(1) or plain(*a))
+    rows = _rule_rows(spark)
+    kept = L.train_forest(rows, ["a", "b", "c"], num_trees=12, max_depth=6)
+    assert not used
+    model, again = (L.train_forest(rows, ["a", "b", "c"], num_trees=12, max_depth=6, block_ids=10_000) for _ in range(2))
+    assert len(used) == 2 and L.forest_of(model).toDebugString.split("\n")[1:] == L.forest_of(again).toDebugString.split("\n")[1:]
+    assert L.describe_model(model, spark).first() == L.describe_model(kept, spark).first()
+    assert L.forest_of(model).getMaxDepth() == 6 and max(t.depth for t in L.forest_of(model).trees) <= 6
+    L.save_model(model, str(tmp_path / "m"))
+    for m in (kept, L.load_model(str(tmp_path / "m"))):
+        assert L.score(m, rows).filter("model_label <> Label").count() < 0.05 * rows.count()
+    x, y = (L.forest_of(m).featureImportances.toArray() for m in (model, kept))
+    assert x[2] == 0 and abs(x - y).max() < 0.15
+    deep = L.train_forest(rows.limit(300), ["a", "b"], num_trees=2, max_depth=B.DEEPEST + 1, block_ids=0)
+    assert len(used) == 2 and L.forest_of(deep).getNumTrees == 2  # too deep for it: Spark's
+
+
+def test_forest_in_blocks_on_odd_rows(spark):
+    rows = _rule_rows(spark, 1000).withColumn("d", F.when(F.col("a") < 3, F.lit(None).cast("double")).otherwise(F.lit(float("nan"))))
+    none = L.train_forest(rows, ["c", "d"], num_trees=3, max_depth=4, block_ids=0)  # nothing to split by
+    assert L.forest_of(none).totalNumNodes == 3
+    weighted = L.train_forest(L.class_balanced_weights(rows, "Label"), ["a", "b", "d"], num_trees=8, max_depth=5, weight_col="weight", block_ids=0)
+    assert L.score(weighted, rows).filter("model_label <> Label").count() < 100
+    one = L.train_forest(rows.withColumn("Label", F.lit("A")), ["a", "b"], num_trees=2, max_depth=3, block_ids=0)
+    assert {r.model_label for r in L.score(one, rows).select("model_label").distinct().collect()} == {"A"}
+
+
+def test_blocks_count_each_row_in_each_tree():
+    import numpy as np
+    import pandas as pd
+
+    from tidewatch.operators import forest as B
+
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 4, (2, 300)).astype(np.uint8), rng.integers(0, 3, 300).astype("<u2")
+    frame = pd.DataFrame({"block": [7], "n": [300], "bins": [x.tobytes()], "y": [y.tobytes()], "w": [b""]})
+    level = B._Level(1, 2, 3, 4, 42)
+    level.add(3, np.array([-1, 1]), np.array([0, 2]), [2, 3], [[0, 1], [0]])  # the root asks feature 1 for more than 2
+    found = np.frombuffer(next(level.histograms([frame]))["found"][0])[:-3].reshape(3, 4, 3)
+    times = B._poisson()[np.random.Generator(np.random.SFC64([42, 7, 3])).integers(0, 65536, 300, dtype=np.uint16)]
+    want = np.zeros((3, 4, 3))
+    for r in range(300):
+        if x[1, r] > 2:
+            want[2, x[0, r], y[r]] += times[r]
+        else:
+            want[0, x[0, r], y[r]] += times[r]
+            want[1, x[1, r], y[r]] += times[r]
+    assert (found == want).all() and 0.9 < B._poisson().mean() < 1.1
+    leaf = lambda *s: (list(s), None, None, None)
+    tree = {1: ([9, 3], 0.1, 0, 1.5), 2: leaf(4, 3), 3: ([5, 0], 0.0, 1, 2.5), 6: leaf(3, 0), 7: leaf(2, 0)}
+    assert [(r[1][0], r[1][1], r[1][6]) for r in B.node_rows(0, tree)] == [(0, 0.0, -1)]  # all leaves say class 0
+    tree[2] = leaf(1, 3)
+    assert [(r[1][0], r[1][1], r[1][6], r[1][7]) for r in B.node_rows(0, tree)] == [(0, 0.0, 1, 2), (1, 1.0, -1, -1), (2, 0.0, -1, -1)]

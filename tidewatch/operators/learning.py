@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewatch.functions.scalar import max_probability
+from tidewatch.operators import forest as B
 from tidewatch.session import cut_lineage
 
 MAX_DEPTH_CEILING = 30  # Spark's limit; an unlimited depth is not offered
@@ -23,6 +24,7 @@ HISTOGRAM_MB = 256  # fixed: the buffer groups tree nodes, and the grouping orde
 MAX_BROADCAST_CLASSES = 1_000_000
 CACHED_IDS = 200_000_000  # node ids (rows x trees) kept between levels; beyond it they'd be spilled and written at every level
 TASK_IDS = 200_000_000  # rows x trees of one task, some 1.2 GB at most and 0.6 GB once dealt
+BLOCK_IDS = 200_000_000  # rows x trees beyond which the forest is fitted on blocks of binned rows (``forest.py``)
 DEALT_IDS = 25_000_000  # rows x trees of a partition from which dealing them to idle cores pays
 
 
@@ -39,11 +41,13 @@ def train_forest(
     materialize: bool = True,
     cached_ids: int = CACHED_IDS,
     task_ids: int = TASK_IDS,
+    block_ids: int = BLOCK_IDS,
 ) -> PipelineModel:
     """ML1 + ML4 (+ ML5 via ``weight_col``): label encoder with lexicographic classes, vector
     assembly by name, forest with sqrt feature subsets.
 
-    The histogram buffer is the same everywhere, since another one may give another forest; a
+    Beyond ``block_ids`` rows x trees the forest is fitted by ``forest.fitted``, the same method with other random draws,
+    unless it is too deep or has too many bins for it; else by Spark.  The histogram buffer is the same everywhere, since another one may give another forest; a
     depth beyond Spark's limit is refused.  Up to ``cached_ids`` node ids are cached between levels
     (checkpointed every 10 levels into the shared checkpoint folder); with more, a row's node is found
     by walking down its trees, which gives the same forest.  Rows are dealt anew if a partition
@@ -63,7 +67,11 @@ def train_forest(
     ids, most = (num_trees * (x or 0) for x in held)
     cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(cores, 2 * -(-ids // task_ids))
-    if most > task_ids or (most > DEALT_IDS and most * cores > 2 * ids):
+    in_blocks = ids > block_ids and max_depth <= B.DEEPEST and max_bins <= B.MOST_BINS
+    if in_blocks:
+        if most * cores > 2 * ids:
+            df = df.repartition(cores)
+    elif most > task_ids or (most > DEALT_IDS and most * cores > 2 * ids):
         df = df.repartition(tasks)
     elif df.rdd.getNumPartitions() > 2 * tasks:
         df = df.coalesce(tasks)
@@ -79,7 +87,10 @@ def train_forest(
     prep = Pipeline(stages=[indexer, assembler]).fit(df)
     labels = prep.stages[0].labels
     decoder = IndexToString(inputCol="_pred_idx", outputCol="model_label", labels=labels)
-    forest = rf.fit(prep.transform(df))
+    if in_blocks:
+        forest = B.fitted(prep.stages[0].transform(df), rf, list(features), len(labels), seed, weight_col)
+    else:
+        forest = rf.fit(prep.transform(df))
     return PipelineModel(stages=[*prep.stages, forest, decoder])
 
 
